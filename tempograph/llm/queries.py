@@ -1,10 +1,12 @@
 """Queries of this subpackage, with DuckDB SQL where it can express them."""
 
-from . import exact_dedup, license_scan, topk
+from . import exact_dedup, license_scan, quality, topk, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_topk_search": topk.op2_topk_search,
+    "op3_quality": quality.op3_quality,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
