@@ -1,12 +1,14 @@
 """Queries of this subpackage, with DuckDB SQL where it can express them."""
 
-from . import exact_dedup, license_scan, quality, topk, toxicity
+from . import bpe, exact_dedup, license_scan, packing, quality, topk, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_topk_search": topk.op2_topk_search,
     "op3_quality": quality.op3_quality,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_bpe": bpe.op7_bpe,
+    "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
