@@ -1,11 +1,12 @@
 """Queries of this subpackage, with DuckDB SQL where it can express them."""
 
-from . import bpe, exact_dedup, license_scan, packing, quality, topk, toxicity
+from . import bpe, exact_dedup, license_scan, near_dedup, packing, quality, topk, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_topk_search": topk.op2_topk_search,
     "op3_quality": quality.op3_quality,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_bpe": bpe.op7_bpe,
     "op9_packing": packing.op9_packing,
@@ -14,5 +15,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_topk_search": topk.ORACLE,
+    "op4_near_dedup": near_dedup.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
