@@ -1,14 +1,16 @@
 """Queries of this subpackage, with DuckDB SQL where it can express them."""
 
-from . import bpe, exact_dedup, license_scan, near_dedup, packing, quality, topk, toxicity
+from . import bpe, exact_dedup, license_scan, near_dedup, packing, pii, quality, secrets_scan, topk, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_topk_search": topk.op2_topk_search,
     "op3_quality": quality.op3_quality,
     "op4_near_dedup": near_dedup.op4_near_dedup,
+    "op5_secret_scan": secrets_scan.op5_secret_scan,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_bpe": bpe.op7_bpe,
+    "op8_pii": pii.op8_pii,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
