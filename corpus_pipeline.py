@@ -1,8 +1,50 @@
-"""Corpus pipeline; its stages follow with the operators."""
+"""Corpus pipeline: quality, exact and near copies, personal data, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last
+return the columns of ``documents``.
+"""
+
+from tempograph.llm.common import stored, table
+from tempograph.llm.exact_dedup import drop_exact
+from tempograph.llm.near_dedup import drop_near
+from tempograph.llm.packing import pack
+from tempograph.llm.pii import redact
+from tempograph.llm.quality import keep_quality
+
+#: A trained network and sketches decide here, so SQL can't express the result.
 ORACLE_SQL = None
 
 
+def quality(spark, docs, sf_dir):
+    """Documents that the classifier rejects go."""
+    return keep_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def exact(spark, docs, sf_dir):
+    """Of equal texts, the row with the largest id stays."""
+    return drop_exact(docs)
+
+
+def near(spark, docs, sf_dir):
+    """Of each group of near copies (five words, similarity 0.8), the document with the smallest id stays."""
+    return drop_near(docs)
+
+
+def private(spark, docs, sf_dir):
+    """Personal data is replaced by its kind."""
+    return redact(docs)
+
+
+def packed(spark, docs, sf_dir):
+    """Pieces of sequences of 1024 tokens."""
+    return pack(docs)
+
+
+STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("pii", private), ("packing", packed)]
+
+
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
