@@ -6,9 +6,11 @@ coordinates of two sketches concentrates around t times their Jaccard similarity
 
 Bands of coordinates propose candidates, and every link is verified on the two full sets of 64-bit
 shingle hashes. Texts of equal sets form one class, so that copies never meet each other. In a bucket
-the members are compared with its smallest id; after the components of these links are known, buckets
-that still hold several components compare the members across them. Within one component no pair is
-needed, so that large groups of near copies cost a star and not a square.
+the members are compared with its centre, the one that shares most buckets with others. Once the
+components of these links are known, only buckets that still hold several components go on: their members
+outside the centre's component meet all others, in tiles of bounded size, where products of 0/1 matrices
+count the intersections. Within one component no pair is needed, so that large groups of near copies cost
+a star and not a square, and what is emitted are links, not pairs.
 
 A pair of similarity s shares no bucket with probability (1 - s^ROWS)^BANDS, 5e-7 at 0.8.
 """
@@ -25,6 +27,8 @@ from .common import stored, table
 
 BANDS, ROWS = 48, 6
 SALTS = 64
+#: Members and shingles of a tile, about; columns of a matrix.
+TILE, TILE_SHINGLES, COLUMNS = 256, 1 << 17, 4096
 #: Ids that may be broadcast, 8 bytes each; beyond, a shuffled join does it.
 SMALL = 500_000
 M1, M2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -94,6 +98,67 @@ def _sets(width: int):
     return run
 
 
+def common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``a`` with each of ``b``, by products of 0/1 matrices over the shingles that both sides have."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (a, b)]
+    values = [np.concatenate(x) for x in (a, b)]
+    shared = np.intersect1d(*map(np.unique, values), assume_unique=True)
+    place = [np.searchsorted(shared, v) for v in values]
+    hit = [(p < len(shared)) & (shared[np.minimum(p, len(shared) - 1)] == v) if len(shared) else np.zeros(len(v), bool) for p, v in zip(place, values, strict=True)]
+    kept = []
+    for r, p, h in zip(rows, place, hit, strict=True):
+        order = np.argsort(p[h], kind="stable")
+        kept.append((r[h][order], p[h][order]))
+    for low in range(0, len(shared), COLUMNS):
+        m = []
+        for n, (r, p) in zip((len(a), len(b)), kept, strict=True):
+            own = slice(*np.searchsorted(p, [low, low + COLUMNS]))
+            x = np.zeros((n, min(COLUMNS, len(shared) - low)), np.float32)
+            x[r[own], p[own] - low] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out
+
+
+def _links(percent: int):
+    """Of each pair of tiles, links between members of different components: for each member outside the main one, one link to each other component."""
+
+    def links(m, o):
+        m = [x for x in m if x["outside"]]
+        if not m:
+            return
+        sets = [[np.frombuffer(x["set"], np.int64) for x in part] for part in (m, o)]
+        both = common(*sets)
+        sizes = [np.array([len(x) for x in part]) for part in sets]
+        roots = [np.array([x["root"] for x in part]) for part in (m, o)]
+        near = (100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)) & (roots[0][:, None] != roots[1][None, :])
+        seen = set()
+        for i, j in zip(*np.nonzero(near), strict=True):
+            if (own := (m[i]["id"], int(roots[1][j]))) not in seen:
+                seen.add(own)
+                yield m[i]["id"], o[j]["id"]
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for same, left, right in zip(pdf["same"], pdf["left"], pdf["right"], strict=True):
+                out += links(left, right)
+                if not same:
+                    out += links(right, left)
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def _packed_sets(width: int):
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["doc_id"], "set": [shingles(t, width).tobytes() for t in pdf["text"]]})
+
+    return run
+
+
 def few(ids: DataFrame) -> DataFrame:
     """A stored table of ids, to be broadcast if counted to be small."""
     return F.broadcast(ids) if ids.count() <= SMALL else ids
@@ -143,22 +208,32 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     classes = stored(classes, "classes")
 
     heads = rows.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    placed = heads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
+    placed = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     bucket = Window.partitionBy("key")
-    shared = placed.select("id", "key", F.min("id").over(bucket).alias("pivot"), F.max("id").over(bucket).alias("top")).where("pivot <> top").select("id", "key", "pivot")
+    shared = placed.select("*", F.count(F.lit(1)).over(bucket).alias("members"), (F.min("id").over(bucket) != F.max("id").over(bucket)).alias("several")).where("several").drop("several")
     shared = stored(shared, "buckets")
-    edges = verify(shared.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), docs, width, percent)
+    degree = shared.groupBy("id").agg(F.sum("members").alias("degree"))
+    shared = shared.join(degree, "id").select("id", "n", "key", (-F.max(F.struct("degree", (-F.col("id")).alias("neg"))).over(bucket)["neg"]).alias("centre"))
+    shared = stored(shared, "centres")
+    edges = verify(shared.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), docs, width, percent)
     stars = components(edges)
 
-    owned = shared.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", "key", "pivot", F.coalesce("root", "id").alias("root"))
-    open_keys = owned.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("id") == F.col("pivot"), F.col("root"))).alias("main")).where("low <> high")
-    mixed = owned.where("id <> pivot").join(open_keys.select("key", "main"), "key").select("key", "id", "root", "main")
+    owned = shared.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", "n", "key", "centre", F.coalesce("root", "id").alias("root"))
+    open_keys = owned.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("id") == F.col("centre"), F.col("root"))).alias("main"), F.count(F.lit(1)).alias("members"), F.sum("n").alias("total")
+    )
+    open_keys = open_keys.where("low <> high").select("key", "main", F.greatest(F.ceil(F.col("members") / TILE), F.ceil(F.col("total") / TILE_SHINGLES)).alias("tiles"))
+    mixed = owned.where("id <> centre").join(open_keys, "key").select("key", "id", "root", (F.col("root") != F.col("main")).alias("outside"), F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"))
     mixed = stored(mixed, "mixed")
-    others = mixed.where("root <> main").select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
-    meet = others.join(mixed, "key").where((F.col("root") != F.col("ra")) & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("id"))))
-    more = verify(meet.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), docs, width, percent)
-    if not more.isEmpty():
-        stars = components(more.union(stars.select(F.col("v").alias("a"), F.col("u").alias("b"))), "stars2")
+    if not mixed.isEmpty():
+        sets = docs.select("doc_id", "text").join(few(stored(mixed.select(F.col("id").alias("doc_id")).distinct(), "ids")), "doc_id", "left_semi")
+        sets = stored(sets.mapInPandas(_packed_sets(width), "id long, set binary"), "packed")
+        tiles = mixed.join(sets, "id").groupBy("key", "tile").agg(F.max("outside").alias("any"), F.collect_list(F.struct("id", "root", "outside", "set")).alias("members"))
+        left, right = tiles.select("key", F.col("tile").alias("t"), F.col("any").alias("x"), F.col("members").alias("left")), tiles.select("key", "tile", "any", F.col("members").alias("right"))
+        meet = left.join(right, "key").where((F.col("t") <= F.col("tile")) & (F.col("x") | F.col("any")))
+        links = stored(meet.select((F.col("t") == F.col("tile")).alias("same"), "left", "right").mapInPandas(_links(percent), "a long, b long").distinct(), "links")
+        if not links.isEmpty():
+            stars = components(links.union(stars.select(F.col("v").alias("a"), F.col("u").alias("b"))), "stars2")
 
     roots = classes.join(stars.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left")
     roots = roots.select("digest", F.coalesce("root", "rep").alias("component_id"), F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftrightunsigned(mask, s) & 1 = 1)")).alias("salt"))
