@@ -1,2 +1,359 @@
-QUERIES = {}
-ORACLES = {}
+"""Queries over the test tables, each with DuckDB SQL for the same rows where SQL can express it.
+
+A user's ordered events play a movie's timeline: movie_id, idx from 1, sec from 2024-01-01, label, sig.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import scalars as S
+from ..operators import intervals as I
+from ..operators import timeline as T
+from ..sources import documents, subtitles
+
+QUERIES, ORACLES = {}, {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ctes, rest = list(CTES.values()), oracle.strip()
+            ORACLES[f.__name__] = "WITH RECURSIVE " + ", ".join(ctes) + (rest if rest.startswith(",") else " " + rest)
+        return f
+
+    return add
+
+
+CTES = {
+    "tl": """tl AS (SELECT user_id AS movie_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)::INTEGER AS idx,
+ (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6 AS sec, event_type AS label, 1 + CAST(json_extract(props, '$.k') AS INTEGER) % 10 AS sig, value, event_id FROM events)""",
+    "li": """li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice)::INTEGER AS idx FROM lineitem)""",
+    "br": """br AS (SELECT *, CASE WHEN sec - lag(sec) OVER (PARTITION BY movie_id ORDER BY idx) <= 21600 THEN 0 ELSE 1 END AS b FROM tl )""",
+    "ru": """ru AS (SELECT *, sum(b) OVER (PARTITION BY movie_id ORDER BY idx) AS g FROM br )""",
+    "pc": """pc AS (SELECT *, (row_number() OVER (PARTITION BY movie_id, g ORDER BY idx) - 1) // 6 AS p FROM ru )""",
+    "sc": """sc AS (SELECT *, dense_rank() OVER (PARTITION BY movie_id ORDER BY g, p)::INTEGER AS scene FROM pc )""",
+}
+
+
+def table(spark, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def timeline(spark, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    idx = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01', ts)")
+    sig = (1 + documents.field(F.col("props"), "$.k", "int", 0) % 10).cast("int")
+    return e.select(F.col("user_id").alias("movie_id"), idx.alias("idx"), (micros / 1e6).alias("sec"), F.col("event_type").alias("label"), sig.alias("sig"), "value", "event_id")
+
+
+def lines(spark, sf_dir: str) -> DataFrame:
+    """Line items with an ordinal within their order; line numbers repeat in the data."""
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return table(spark, sf_dir, "lineitem").withColumn("idx", F.row_number().over(order))
+
+
+def scenes(spark, sf_dir: str) -> DataFrame:
+    return T.sessionize(timeline(spark, sf_dir), T.by_gap(6 * 3600), 6)
+
+
+def _frames_and_cues(spark, sf_dir):
+    t = timeline(spark, sf_dir)
+    return t.select(F.col("event_id").alias("id"), F.col("sec").alias("t")), t.select(F.col("event_id").alias("cue"), F.col("sec").alias("rs"), (F.col("sec") + F.col("value") * 0.1).alias("re"))
+
+
+CUES = """SELECT f.event_id AS id, count(c.event_id) AS n_cues, coalesce(string_agg(c.event_id::VARCHAR, ',' ORDER BY c.sec, c.event_id), '') AS cues
+FROM tl f {how} JOIN tl c ON c.sec <= f.sec + 3 AND c.sec + c.value * 0.1 >= greatest(0, f.sec - 3) GROUP BY f.event_id"""
+
+
+@query(" " + CUES.format(how=""))
+def interval_overlap_join(spark, sf_dir):
+    return interval_overlap_left_counts(spark, sf_dir).where("n_cues > 0")
+
+
+@query(" " + CUES.format(how="LEFT"))
+def interval_overlap_left_counts(spark, sf_dir):
+    frames, cues = _frames_and_cues(spark, sf_dir)
+    return I.match_cues(frames, cues, 3.0).select("id", F.size("cues").cast("long").alias("n_cues"), F.array_join("cues", ",").alias("cues"))
+
+
+@query(" SELECT movie_id, idx, coalesce(string_agg(label, '|') OVER (PARTITION BY movie_id ORDER BY idx ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), '') AS context FROM tl ")
+def rolling_context_last4(spark, sf_dir):
+    return T.rolling_context(timeline(spark, sf_dir), "label").select("movie_id", "idx", F.array_join("context", "|").alias("context"))
+
+
+@query(""" , d AS (SELECT movie_id, max(sec) - min(sec) AS duration FROM tl GROUP BY movie_id)
+SELECT movie_id, k, round(greatest(0, least(k * 43200.0, duration)), 3) AS t FROM d, unnest(range(0, floor((duration + 1e-4) / 43200.0 + 1e-9)::BIGINT + 1)) AS u(k)""")
+def time_grid(spark, sf_dir):
+    spans = timeline(spark, sf_dir).groupBy("movie_id").agg((F.max("sec") - F.min("sec")).alias("duration"))
+    return I.time_grid(spans, 43200.0).select("movie_id", "k", "t")
+
+
+@query(" SELECT movie_id, idx, scene FROM sc ")
+def scene_sessionize(spark, sf_dir):
+    return scenes(spark, sf_dir).select("movie_id", "idx", "scene")
+
+
+@query(""" , m AS (SELECT movie_id, scene, label, count(*) AS n, min(idx) AS f FROM sc GROUP BY ALL),
+b AS (SELECT movie_id, scene, label AS location FROM m QUALIFY row_number() OVER (PARTITION BY movie_id, scene ORDER BY n DESC, f) = 1)
+SELECT s.movie_id, s.scene, min(sec) AS start_seconds, max(sec) + 30 AS end_seconds, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS event_indices,
+ array_to_string(list_sort(list_distinct(list(label))), ',') AS characters, max(sig) AS importance, any_value(location) AS location
+FROM sc s JOIN b ON s.movie_id = b.movie_id AND s.scene = b.scene GROUP BY s.movie_id, s.scene""")
+def scene_records(spark, sf_dir):
+    return T.scene_records(scenes(spark, sf_dir)).withColumns({"event_indices": F.array_join(F.col("event_indices").cast("array<string>"), ","), "characters": F.array_join("characters", ",")})
+
+
+FUNCTIONS = {"click": "SETUP", "view": "DISCOVERY", "purchase": "INTRODUCTION", "error": "CONFLICT", "signup": "TRANSITION"}
+
+
+@query(""" , f AS (SELECT movie_id, idx, CASE label WHEN 'click' THEN 'SETUP' WHEN 'view' THEN 'DISCOVERY' WHEN 'purchase' THEN 'INTRODUCTION' WHEN 'error' THEN 'CONFLICT' ELSE 'TRANSITION' END AS s FROM tl ),
+k AS (SELECT *, lag(s) OVER (PARTITION BY movie_id ORDER BY idx) AS p FROM f),
+w AS (SELECT movie_id, idx, 1 AS beat, 1 AS size FROM k WHERE idx = 1 UNION ALL
+ SELECT k.movie_id, k.idx, CASE WHEN x.act = 'new' THEN w.beat + 1 ELSE w.beat END, CASE WHEN x.act = 'new' THEN 1 ELSE w.size + 1 END
+ FROM w JOIN k ON k.movie_id = w.movie_id AND k.idx = w.idx + 1,
+ LATERAL (SELECT CASE WHEN p IN ('SETUP', 'DISCOVERY') AND s IN ('SETUP', 'DISCOVERY') OR p = 'CONFLICT' AND s = 'CONFLICT' THEN 'add'
+   WHEN s = 'INTRODUCTION' AND p <> 'INTRODUCTION' THEN 'new' WHEN w.size >= 2 THEN 'new' ELSE 'add' END AS act) x)
+SELECT movie_id, idx, beat FROM w""")
+def beat_automaton(spark, sf_dir):
+    function = F.coalesce(*[F.when(F.col("label") == k, v) for k, v in FUNCTIONS.items()])
+    return T.beats(timeline(spark, sf_dir).withColumn("function", function)).select("movie_id", "idx", "beat")
+
+
+@query(""" , g AS (SELECT movie_id, label, min(idx) AS first_idx, arg_min(sec, idx) AS first_seen, arg_max(sec, idx) AS last_seen, count(*) AS appearances FROM tl GROUP BY ALL)
+SELECT *, printf('CHARACTER_%03d', row_number() OVER (PARTITION BY movie_id ORDER BY first_idx, label)) AS character_id FROM g""")
+def identity_first_occurrence(spark, sf_dir):
+    return T.identities(timeline(spark, sf_dir))
+
+
+@query(""" , p AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem)
+SELECT a.p AS source, b.p AS target, min(a.o) AS first_event FROM p a JOIN p b ON a.o = b.o AND a.p <> b.p GROUP BY ALL""")
+def copresence_edges(spark, sf_dir):
+    return T.edges(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+
+
+@query(""" , c AS (SELECT movie_id, label, count(*) AS votes, max(round(value / 100, 6)) AS top, min(idx) AS f FROM tl GROUP BY ALL),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY movie_id ORDER BY votes DESC, top DESC, f) = 1)
+SELECT movie_id, votes, top, CASE WHEN votes >= 2 THEN 'high' WHEN top >= 0.85 THEN 'medium' WHEN top >= 0.6 THEN 'low' ELSE 'unknown' END AS name_confidence,
+ CASE WHEN votes >= 2 OR top >= 0.6 THEN label END AS name FROM b""")
+def name_vote_argmax(spark, sf_dir):
+    return T.vote(timeline(spark, sf_dir).select("movie_id", "idx", F.col("label").alias("candidate"), F.round(F.col("value") / 100, 6).alias("confidence")))
+
+
+@query(" SELECT movie_id, label, sig, min(idx) AS idx FROM tl GROUP BY ALL")
+def evidence_dedup_first(spark, sf_dir):
+    return T.first_of(timeline(spark, sf_dir), ["movie_id", "label", "sig"]).select("movie_id", "label", "sig", "idx")
+
+
+@query(""" , m AS (SELECT l_orderkey, l_returnflag, count(*) AS n, min(idx) AS f FROM li GROUP BY ALL)
+SELECT l_orderkey, l_returnflag FROM m QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, f) = 1""")
+def dominant_mode(spark, sf_dir):
+    return T.modes(lines(spark, sf_dir), ["l_orderkey"], "l_returnflag", "idx")
+
+
+@query(""" , w AS (SELECT movie_id, count(DISTINCT idx) AS events, greatest(1.0, max(sec)) AS duration FROM tl GROUP BY movie_id),
+o AS (SELECT movie_id, label, count(DISTINCT idx) AS n, max(sec) - min(sec) AS span, sum(sig) AS sig, count(*) AS k, min(idx) AS f FROM tl GROUP BY ALL),
+x AS (SELECT o.*, events, round(span / duration, 3) AS screen_ratio FROM o JOIN w USING (movie_id)),
+y AS (SELECT *, round(least(1.0, greatest(0.0, 0.40::DOUBLE * n / events + 0.30::DOUBLE * screen_ratio + 0.20::DOUBLE * least(1.0::DOUBLE, sig / k / 10.0::DOUBLE) + 0.10::DOUBLE)), 3) AS score FROM x)
+SELECT movie_id, label, n, screen_ratio, score, row_number() OVER (PARTITION BY movie_id ORDER BY score DESC, n DESC, f)::INTEGER AS rank FROM y""")
+def prominence_score(spark, sf_dir):
+    return T.prominence(timeline(spark, sf_dir)).select("movie_id", "label", "n", "screen_ratio", "score", "rank")
+
+
+@query(""" , g AS (SELECT movie_id, count(*) AS n, max(sec) AS reached FROM tl GROUP BY movie_id)
+SELECT movie_id, CASE WHEN n > 0 AND (CASE WHEN movie_id % 2 = 0 THEN n >= 58 ELSE reached >= 2592000 * 0.8 END) THEN 'COMPLETE' ELSE 'PARTIAL' END AS status FROM g""")
+def coverage_status(spark, sf_dir):
+    g = timeline(spark, sf_dir).groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"), F.max("sec").alias("reached"))
+    samples = F.when(F.col("movie_id") % 2 == 0, 69)
+    return g.select("movie_id", T.coverage(F.col("n"), samples, F.col("reached"), F.lit(2592000.0)).alias("status"))
+
+
+@query(""" , o AS (SELECT o_custkey AS movie_id, o_orderkey, o_totalprice::DECIMAL(18,2) AS w FROM orders),
+t AS (SELECT movie_id, greatest(45.0::DOUBLE, least(900.0::DOUBLE * (count(*) / 40.0::DOUBLE) * 1.25::DOUBLE, 900.0::DOUBLE)) AS target FROM o GROUP BY 1),
+s AS (SELECT o.*, target, round(greatest(10.0::DOUBLE, w::DOUBLE / sum(w) OVER (PARTITION BY movie_id)::DOUBLE * target), 1)::DECIMAL(18,1) AS share FROM o JOIN t USING (movie_id))
+SELECT movie_id, o_orderkey, round(share::DOUBLE * target / sum(share) OVER (PARTITION BY movie_id)::DOUBLE, 1) AS seconds FROM s""")
+def proportional_allocation(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("movie_id"), "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("w"))
+    o = o.withColumn("target", T.target_seconds(F.count(F.lit(1)).over(Window.partitionBy("movie_id")) / 40.0, F.lit(False)))
+    return T.allocate(o, "w", "target").select("movie_id", "o_orderkey", "seconds")
+
+
+@query(""" , n AS (SELECT *, count(*) OVER w AS c, max(sig) OVER w AS imp, row_number() OVER (PARTITION BY movie_id, scene ORDER BY idx) - 1 AS pos FROM sc WINDOW w AS (PARTITION BY movie_id, scene)),
+k AS (SELECT *, CASE WHEN imp >= 7 THEN CASE WHEN c <= 1 THEN 1 ELSE least(3, c) END WHEN imp >= 4 THEN least(2, c) ELSE 1 END AS k FROM n)
+SELECT movie_id, scene, idx FROM k WHERE len(list_filter(range(0, k), lambda i: (i * c) // k = pos)) > 0""")
+def importance_budget_subsample(spark, sf_dir):
+    w = Window.partitionBy("movie_id", "scene")
+    s = scenes(spark, sf_dir).withColumns({"c": F.count(F.lit(1)).over(w), "imp": F.max("sig").over(w)})
+    return T.subsample(s, ["movie_id", "scene"], "idx", T.clip_budget(F.col("imp"), F.col("c"))).select("movie_id", "scene", "idx")
+
+
+@query(" SELECT movie_id, scene, idx FROM sc QUALIFY sig >= 8 OR NOT bool_or(sig >= 8) OVER (PARTITION BY movie_id, scene)")
+def fallback_filter(spark, sf_dir):
+    return T.or_all(scenes(spark, sf_dir), ["movie_id", "scene"], F.col("sig") >= 8).select("movie_id", "scene", "idx")
+
+
+@query(""" , e AS (SELECT movie_id, idx, sec / 3600 AS t FROM tl ), z AS (SELECT movie_id, max(t) + 5 AS stop FROM e GROUP BY 1),
+c AS (SELECT movie_id, 0 AS idx, -999.0::DOUBLE AS pe, 0.0::DOUBLE AS s, 0.0::DOUBLE AS d, false AS pushed, stop FROM z UNION ALL
+ SELECT e.movie_id, e.idx, b.e1, b.s1, round(b.e1 - b.s1, 2), a.push, c.stop FROM c JOIN e ON e.movie_id = c.movie_id AND e.idx = c.idx + 1,
+ LATERAL (SELECT greatest(0.0, e.t - 0.5) AS s0, least(c.stop, greatest(0.0, e.t - 0.5) + 3.0) AS e0, greatest(0.0, e.t - 0.5) < c.pe + 1 AS push) a,
+ LATERAL (SELECT CASE WHEN push THEN c.pe + 2 ELSE s0 END AS s1, CASE WHEN push THEN least(c.stop, c.pe + 2 + round(e0 - s0, 2)) ELSE e0 END AS e1) b)
+SELECT movie_id, idx AS ord, round(s, 2) AS start, round(pe, 2) AS stop, d AS duration, pushed FROM c WHERE idx > 0""")
+def clip_packing(spark, sf_dir):
+    t = timeline(spark, sf_dir).select("movie_id", F.col("idx").alias("ord"), (F.col("sec") / 3600).alias("t"))
+    return T.pack_clips(t.withColumn("movie_end", F.max("t").over(Window.partitionBy("movie_id")) + 5))
+
+
+@query(""" , c AS (SELECT l_orderkey AS movie_id, idx, CASE WHEN idx % 5 = 0 THEN 'x' ELSE l_partkey::VARCHAR END AS clip_id, l_quantity AS start, l_quantity + l_discount * 40 AS stop, l_tax * 50 AS duration, l_suppkey % 7 AS event FROM li),
+n AS (SELECT *, start - lag(stop) OVER w AS gap, lag(start) OVER w - start AS back, count(*) OVER (PARTITION BY movie_id, clip_id) AS same FROM c WINDOW w AS (PARTITION BY movie_id ORDER BY idx))
+SELECT movie_id, idx, concat_ws(',', CASE WHEN same > 1 THEN 'duplicate_id' END, CASE WHEN duration <= 0 THEN 'no_duration' END, CASE WHEN duration > 3.01 THEN 'too_long' END, CASE WHEN stop <= start THEN 'end_before_start' END,
+ CASE WHEN abs(duration - (stop - start)) > 0.15 THEN 'duration_mismatch' END, CASE WHEN stop > 46 THEN 'past_end' END, CASE WHEN event <= 0 THEN 'no_event' END, CASE WHEN gap < 0 THEN 'overlap' END) AS errors,
+ concat_ws(',', CASE WHEN gap >= 0 AND gap < 0.5 THEN 'touching' END, CASE WHEN gap >= 0.5 AND gap < 5 THEN 'close' END, CASE WHEN back > 5 THEN 'backwards' END) AS warnings FROM n""")
+def validator_pairs(spark, sf_dir):
+    c = lines(spark, sf_dir).select(
+        F.col("l_orderkey").alias("movie_id"), "idx", F.when(F.col("idx") % 5 == 0, "x").otherwise(F.col("l_partkey").cast("string")).alias("clip_id"), F.col("l_quantity").alias("start"),
+        (F.col("l_quantity") + F.col("l_discount") * 40).alias("stop"), (F.col("l_tax") * 50).alias("duration"), (F.col("l_suppkey") % 7).cast("int").alias("event"), F.lit("s").alias("scene"), F.lit("r").alias("reason"), F.lit(45.0).alias("movie_end"),
+    )
+    return T.validate_clips(c).select("movie_id", "idx", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"))
+
+
+ITEMS = """ , i AS (SELECT l_orderkey AS movie_id, idx, CASE l_returnflag WHEN 'A' THEN 'STILL_FREEZE' WHEN 'R' THEN 'BLACK_TRANSITION' ELSE 'SOURCE_CLIP' END AS item_type, (l_quantity * 0.06)::DECIMAL(12,2) AS duration FROM li)
+"""
+
+
+def _items(spark, sf_dir):
+    kind = F.when(F.col("l_returnflag") == "A", "STILL_FREEZE").when(F.col("l_returnflag") == "R", "BLACK_TRANSITION").otherwise("SOURCE_CLIP")
+    return lines(spark, sf_dir).select(F.col("l_orderkey").alias("movie_id"), "idx", kind.alias("item_type"), (F.col("l_quantity") * 0.06).cast("decimal(12,2)").alias("duration"))
+
+
+@query(ITEMS + "SELECT movie_id, idx, (e - duration)::DOUBLE AS start_seconds, e::DOUBLE AS end_seconds FROM (SELECT *, sum(duration) OVER (PARTITION BY movie_id ORDER BY idx) AS e FROM i)")
+def timeline_layout(spark, sf_dir):
+    return T.layout(_items(spark, sf_dir)).select("movie_id", "idx", F.col("start_seconds").cast("double").alias("start_seconds"), F.col("end_seconds").cast("double").alias("end_seconds"))
+
+
+@query(ITEMS + """SELECT movie_id, count(*) FILTER (item_type = 'SOURCE_CLIP') AS clips, coalesce(sum(duration) FILTER (item_type = 'SOURCE_CLIP'), 0)::DOUBLE AS footage, coalesce(sum(duration) FILTER (item_type = 'STILL_FREEZE'), 0)::DOUBLE AS freeze,
+ coalesce(sum(duration) FILTER (item_type = 'BLACK_TRANSITION'), 0)::DOUBLE AS black, sum(duration)::DOUBLE AS total, round(coalesce(sum(duration) FILTER (item_type = 'SOURCE_CLIP'), 0)::DOUBLE / greatest(0.01, sum(duration)::DOUBLE) * 100, 1) AS moving_percent FROM i GROUP BY movie_id""")
+def manifest_metrics(spark, sf_dir):
+    m = T.metrics(_items(spark, sf_dir))
+    return m.withColumns({c: F.col(c).cast("double") for c in ("footage", "freeze", "black", "total")})
+
+
+@query(r""" , c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '\\[Nn]', ' ', 'g'), '\{[^}]*\}', '', 'g'), '<[^>]*>', '', 'g') AS h FROM pages)
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(h, '(align|position|size|line):[^ \t\r\n]+', '', 'g'), '[\r\n]+', ' ', 'g'), '[ \t\f\x0B]+', ' ', 'g')) AS text FROM c""")
+def clean_markup(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", S.clean_text(F.col("html")).alias("text"))
+
+
+@query(r""" , c AS (SELECT doc_id, len(regexp_extract_all(text, '[\p{L}\p{N}_]+'))::INTEGER AS words FROM documents) SELECT doc_id, words, round(words / 150.0::DOUBLE * 60.0::DOUBLE, 1) AS seconds FROM c""")
+def word_count_duration(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", S.word_count(F.col("text")).alias("words"))
+    return d.withColumn("seconds", S.speech_seconds(F.col("words")))
+
+
+@query()
+def caption_chunks(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(S.caption_chunks(F.col("text"))).alias("pos", "chunk"))
+    return c.withColumn("wrapped", S.wrap_caption(F.col("chunk")))
+
+
+@query(""" , m AS (SELECT event_id, round(sec * 1000)::BIGINT AS ms FROM tl )
+SELECT event_id, printf('%02d:%02d:%02d.%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS clock, printf('%02d:%02d:%02d,%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS srt, round(ms / 1000.0::DOUBLE, 3) AS back FROM m""")
+def format_timestamps(spark, sf_dir):
+    t = timeline(spark, sf_dir).select("event_id", S.format_timestamp(F.col("sec")).alias("clock"), S.format_srt_time(F.col("sec")).alias("srt"))
+    return t.withColumn("back", S.parse_timestamp(F.col("srt")))
+
+
+@query(r""" , b AS (SELECT page_id, regexp_replace(regexp_replace(url, '^.*/', ''), '(.)\.[^.]*$', '\1') AS x FROM pages),
+c AS (SELECT page_id, lower(regexp_replace(regexp_replace(x, '[^A-Za-z0-9_\-]+', '_', 'g'), '^_+|_+$', '', 'g')) AS y FROM b) SELECT page_id, coalesce(nullif(y, ''), 'unnamed_movie') AS id FROM c""")
+def sanitize_ids(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", S.sanitize_id(F.col("url")).alias("id"))
+
+
+@query(" , n AS (SELECT doc_id, n_chars * 37 AS n FROM documents) SELECT doc_id, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN printf('%.2f KB', n / 1024.0::DOUBLE) ELSE printf('%.2f MB', n / 1048576.0::DOUBLE) END AS size FROM n")
+def file_size_ladder(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", S.file_size(F.col("n_chars") * 37).alias("size"))
+
+
+@query(""" , s AS (SELECT *, CASE WHEN s_acctbal > 9000 THEN 0 WHEN s_name LIKE '%7' THEN 1 ELSE 2 END AS rule FROM supplier)
+SELECT s_nationkey, s_suppkey, rule FROM s QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY rule, s_suppkey) = 1""")
+def ranked_choice(spark, sf_dir):
+    return T.choose_track(table(spark, sf_dir, "supplier"), ["s_nationkey"], [F.col("s_acctbal") > 9000, F.col("s_name").endswith("7")], ["s_suppkey"]).select("s_nationkey", "s_suppkey", "rule")
+
+
+@query(""" , f AS (SELECT movie_id, scene, label, min(idx) AS f FROM sc GROUP BY ALL) SELECT movie_id, scene, string_agg(label, ' ' ORDER BY f) AS labels FROM f GROUP BY ALL""")
+def ordered_distinct_concat(spark, sf_dir):
+    return scenes(spark, sf_dir).groupBy("movie_id", "scene").agg(T.ordered_distinct("label").alias("labels"))
+
+
+@query(""" , u AS (SELECT o_custkey, max(CASE WHEN o_orderpriority[1] = '1' THEN 3 WHEN o_orderpriority[1] IN ('2', '3') THEN 2 ELSE 1 END) AS r FROM orders GROUP BY 1)
+SELECT o_custkey, CASE r WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS uncertainty FROM u""")
+def uncertainty_ordinal_max(spark, sf_dir):
+    p = F.substring("o_orderpriority", 1, 1)
+    level = F.when(p == "1", "high").when(p.isin("2", "3"), "medium").otherwise("low")
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(T.ordinal_max(level).alias("uncertainty"))
+
+
+@query(" , p AS (SELECT movie_id, idx, label AS cause, lead(label) OVER w AS effect, lead(idx) OVER w AS effect_idx, row_number() OVER w AS n FROM tl WINDOW w AS (PARTITION BY movie_id ORDER BY idx)) SELECT movie_id, idx, cause, effect, effect_idx FROM p WHERE n <= 3 AND effect IS NOT NULL")
+def causal_pairs_top3(spark, sf_dir):
+    return T.causal_pairs(timeline(spark, sf_dir).withColumn("title", F.col("label"))).select("movie_id", "idx", F.col("title").alias("cause"), "effect", "effect_idx")
+
+
+@query(" , a AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), b AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_suppkey % 10 = 0) SELECT DISTINCT l_orderkey, l_suppkey FROM a JOIN b USING (l_partkey)")
+def array_overlap_join(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem")
+    return T.overlap_join(items.select("l_orderkey", "l_partkey").distinct(), items.where("l_suppkey % 10 = 0").select("l_suppkey", "l_partkey").distinct(), "l_partkey")
+
+
+@query(" , x AS (SELECT movie_id, idx, CASE WHEN label <> 'error' THEN event_id END AS path FROM tl ) SELECT movie_id, idx, coalesce(path, lag(path) OVER w, lead(path) OVER w) AS path FROM x WINDOW w AS (PARTITION BY movie_id ORDER BY idx)")
+def neighbour_fill(spark, sf_dir):
+    t = timeline(spark, sf_dir).withColumn("path", F.when(F.col("label") != "error", F.col("event_id")))
+    return t.select("movie_id", "idx", T.neighbour_fill(F.col("path")).alias("path"))
+
+
+@query(" SELECT movie_id, idx FROM tl WHERE idx <= 20 AND idx % 3 <> 0")
+def resume_antijoin(spark, sf_dir):
+    t = timeline(spark, sf_dir).select("movie_id", "idx")
+    return T.pending(t, t.where("idx % 3 = 0"), 20)
+
+
+@query(" SELECT event_id, coalesce(CAST(json_extract(props, '$.k') AS INTEGER), -1) AS k, coalesce(json_extract_string(props, '$.missing'), 'none') AS missing FROM events")
+def json_tolerant_extract(spark, sf_dir):
+    p = F.col("props")
+    return table(spark, sf_dir, "events").select("event_id", documents.field(p, "$.k", "int", -1).alias("k"), documents.field(p, "$.missing", "string", "none").alias("missing"))
+
+
+LINES = ["Hello, Anna Smith", "Ben, come here", "My name is Clara", "This is Dora Lane and Hi Ed", "i am tired", "Nothing here"]
+VALUES = ", ".join(f"({k}, '{x}')" for k, x in enumerate(LINES))
+
+
+@query(f""" , v(id, text) AS (VALUES {VALUES}), n AS (SELECT id, regexp_extract_all(text, '(?:Hello|Hi|Hey|Thanks|Thank you),? ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) || regexp_extract_all(text, '(?i)([A-Z][a-z]+), (?:come|look|wait|listen|stop|go)', 1)
+ || regexp_extract_all(text, '(?i)(?:my name is|i am|i''m) ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) || regexp_extract_all(text, '(?i)(?:this is|meet) ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) AS names FROM v)
+SELECT id, array_to_string(list_filter(names, lambda x: length(x) >= 3), ',') AS names FROM n""")
+def name_patterns(spark, sf_dir):
+    return spark.createDataFrame(list(enumerate(LINES)), "id int, text string").select("id", F.array_join(S.candidate_names(F.col("text")), ",").alias("names"))
+
+
+def _cues(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").where(F.trim("text") != "")
+    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    return c.select(F.col("conv_id").cast("string").alias("movie_id"), n.alias("idx"), (n * 4.0).alias("start_seconds"), (n * 4.0 + 2.5).alias("end_seconds"), S.clean_text(F.col("text")).alias("text"))
+
+
+@query()
+def srt_round_trip(spark, sf_dir):
+    return subtitles.parse_srt(subtitles.to_srt(_cues(spark, sf_dir)))
+
+
+@query()
+def vtt_parse(spark, sf_dir):
+    srt = subtitles.to_srt(_cues(spark, sf_dir).withColumn("text", F.concat(F.lit("<v Speaker>"), "text")))
+    return subtitles.parse_vtt(srt.select("movie_id", F.concat(F.lit("WEBVTT\n\nNOTE skipped\n\n"), F.replace("content", F.lit(","), F.lit("."))).alias("content")))
+
+
+@query()
+def ass_parse(spark, sf_dir):
+    c = _cues(spark, sf_dir)
+    line = F.concat(F.lit("Dialogue: 0,"), S.format_timestamp(F.col("start_seconds")), F.lit(","), S.format_timestamp(F.col("end_seconds")), F.lit(",Name,{\\pos(1,2)}"), "text")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(-F.col("idx"), line.alias("l")))), lambda x: x["l"]), "\n")
+    return subtitles.parse_ass(c.groupBy("movie_id").agg(F.concat(F.lit("[Script Info]\n\n[Events]\nFormat: Layer, Start, End, Name, Text\n"), body).alias("content")))
