@@ -23,7 +23,7 @@ from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Pieces remembered in each of two generations.
-MEMO = 250_000
+MEMO = 500_000
 LONGEST = 48
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 NONE = 1 << 62
@@ -77,7 +77,9 @@ class Bpe:
         self.token |= {i: t.encode() for t, i in self.special.items()}
         self.start = {b: vocab[c] for c, b in letters.items()}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
-        self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.merge: list[dict[int, tuple[int, int]]] = [{} for _ in range(max(vocab.values()) + 1)]
+        for rank, (a, b) in enumerate(pairs):
+            self.merge[vocab[a]][vocab[b]] = rank, vocab[a + b]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known = Known(self)
 
@@ -87,8 +89,8 @@ class Bpe:
         n = len(ids)
         if n < 2:
             return ids
-        merge, size = self.merge.get, 1 << (n - 1).bit_length()
-        leaves = [m[0] * n + i if (m := merge(pair)) else NONE for i, pair in enumerate(zip(ids, ids[1:], strict=False))]
+        merge, size = self.merge, 1 << (n - 1).bit_length()
+        leaves = [m[0] * n + i if (m := merge[a].get(b)) else NONE for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))]
         level = leaves + [NONE] * (size - n + 1)
         levels = [level]
         while len(level) > 1:
@@ -99,17 +101,17 @@ class Bpe:
         while (low := tree[1]) != NONE:
             i = low % n
             j = after[i]
-            new = ids[i] = merge((ids[i], ids[j]))[1]
+            new = ids[i] = merge[ids[i]][ids[j]][1]
             k = after[i] = after[j]
             ids[j] = -1
             changed = [(j, NONE)]
             if k < n:
                 before[k] = i
-                changed.append((i, m[0] * n + i if (m := merge((new, ids[k]))) else NONE))
+                changed.append((i, m[0] * n + i if (m := merge[new].get(ids[k])) else NONE))
             else:
                 changed.append((i, NONE))
             if (h := before[i]) >= 0:
-                changed.append((h, m[0] * n + h if (m := merge((ids[h], new))) else NONE))
+                changed.append((h, m[0] * n + h if (m := merge[ids[h]].get(new)) else NONE))
             for p, value in changed:
                 p += size
                 if tree[p] != value:

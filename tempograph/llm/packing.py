@@ -39,7 +39,8 @@ class Ids:
         self.slow.no_truncation()
         bpe = Bpe(path)
         self.fast = None
-        if sorted(bpe.merge.values()) == [(k, 256 + k) for k in range(len(bpe.merge))] and len(bpe.start) == 256:
+        merges = sorted(m for right in bpe.merge for m in right.values())
+        if merges == [(k, 256 + k) for k in range(len(merges))] and len(bpe.start) == 256:
             ranks = {t: i for i, t in bpe.token.items() if i not in bpe.special.values()}
             self.fast = tiktoken.Encoding("file", pat_str=PIECE.pattern, mergeable_ranks=ranks, special_tokens=bpe.special)
 
