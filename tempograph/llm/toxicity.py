@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import held_out, stored, table
 from .quality import training_rows
 
 SAMPLE, SENTENCES, MIN_DOCS, RATIO, STEPS, RATE, L1 = 8000, 400, 4, 8.0, 250, 0.1, 1e-4
@@ -78,35 +78,44 @@ class Model:
         return float(-np.expm1(-total)), [(s, e, float(1 / (1 + np.exp(-z)))) for s, e, z in found if z >= 0]
 
 
-def fit(bags: list[list[str]], y: np.ndarray) -> Model:
-    counts: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    bags = [[{f for w in s.split() for f in features(w)} for s in bag] for bag in bags]
-    for bag, label in zip(bags, y, strict=True):
-        n = counts[int(label)]
-        for f in set().union(*bag):
-            n[f] = n.get(f, 0) + 1
-    clean, toxic = counts
-    odds = RATIO * y.sum() / max(1, len(y) - y.sum())
-    vocabulary = {f: i for i, f in enumerate(sorted(f for f, n in toxic.items() if n >= MIN_DOCS and n > odds * clean.get(f, 0)))}
-    words, of, doc = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            ids = [vocabulary[f] for f in sorted(s) if f in vocabulary]
-            words += ids
-            of += [len(doc)] * len(ids)
-            doc.append(d)
-    if not doc or not vocabulary or len(set(y.tolist())) < 2:
-        return Model({}, -12.0 if not len(y) or y.mean() < 0.5 else 0.0)
-    words, of, doc = np.array(words), np.array(of), np.array(doc)
+def _by_feature(batches):
+    for pdf in batches:
+        yield pd.DataFrame([(f, y) for bag, y in zip(pdf["bag"], pdf["y"], strict=True) for f in {f for s in bag for w in s.split() for f in features(w)}], columns=["feature", "y"])
+
+
+def _as_numbers(vocabulary: dict[str, int]):
+    """Of each document: the numbers of its sentences' features, sentence by sentence, and how many sentences have none."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for i, y, bag in zip(pdf["doc_id"], pdf["y"], pdf["bag"], strict=True):
+                ids = [sorted({vocabulary[f] for w in s.split() for f in features(w) if f in vocabulary}) for s in bag]
+                full = [x for x in ids if x]
+                out.append((i, y, len(ids) - len(full), [len(x) for x in full], [k for x in full for k in x]))
+            yield pd.DataFrame(out, columns=["doc_id", "y", "empty", "sizes", "ids"])
+
+    return run
+
+
+def fit(rows: pd.DataFrame, vocabulary: dict[str, int]) -> Model:
+    """Gradient through the noisy-or. rows: y, empty, sizes, ids of each document."""
+    y, empty = rows["y"].to_numpy(np.float64), rows["empty"].to_numpy(np.float64)
+    if not vocabulary or len(set(y.tolist())) < 2:
+        return Model({}, -12.0)
+    sizes = [np.asarray(x, np.int64) for x in rows["sizes"]]
+    words = np.concatenate([np.asarray(x, np.int64) for x in rows["ids"]])
+    doc = np.repeat(np.arange(len(y)), [len(x) for x in sizes])
+    of = np.repeat(np.arange(len(doc)), np.concatenate(sizes))
     w, b = np.zeros(len(vocabulary)), -5.0
     m1, m2 = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     weight = np.where(y == 1, min(5.0, (len(y) - y.sum()) / max(1, y.sum())), 1.0)
     for step in range(1, STEPS + 1):
         z = b + np.bincount(of, w[words], len(doc))
-        total = np.maximum(np.bincount(doc, np.logaddexp(0, z), len(y)), 1e-9)
+        total = np.maximum(np.bincount(doc, np.logaddexp(0, z), len(y)) + empty * np.logaddexp(0, b), 1e-9)
         ds = weight * np.where(y == 1, -np.exp(-total) / -np.expm1(-total), 1.0) / len(y)
         dz = ds[doc] / (1 + np.exp(-z))
-        g = np.append(np.bincount(words, dz[of], len(w)), dz.sum())
+        g = np.append(np.bincount(words, dz[of], len(w)), dz.sum() + (ds * empty).sum() / (1 + np.exp(-b)))
         m1 += 0.1 * (g - m1)
         m2 += 0.001 * (g * g - m2)
         move = RATE * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-6)
@@ -117,11 +126,19 @@ def fit(bags: list[list[str]], y: np.ndarray) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    """Fit on the bounded sample. Without labels of both kinds no word has weight."""
-    rows = training_rows(docs, labels, label, SAMPLE).mapInPandas(_bags, "doc_id long, y int, bag array<string>").toPandas()
-    rows["key"] = rows["bag"].map("\n".join)
-    rows = rows.sort_values(["doc_id", "key"], ignore_index=True)
-    return fit([list(b) for b in rows["bag"]], rows["y"].to_numpy(np.float64))
+    """Fit on the bounded sample. Without labels of both kinds no feature has weight.
+
+    What reaches the driver are the features that pass the screen and the sample's sentences as their numbers.
+    """
+    sample = stored(training_rows(docs, labels, label, SAMPLE).mapInPandas(_bags, "doc_id long, y int, bag array<string>"), "toxic-sample")
+    n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    odds = RATIO * n.get(1, 0) / max(1, n.get(0, 0))
+    counts = sample.mapInPandas(_by_feature, "feature string, y int").groupBy("feature").agg(F.count_if(F.col("y") == 1).alias("toxic"), F.count_if(F.col("y") == 0).alias("clean"))
+    passed = counts.where((F.col("toxic") >= MIN_DOCS) & (F.col("toxic") > odds * F.col("clean"))).select("feature").collect()
+    vocabulary = {f: i for i, f in enumerate(sorted(r["feature"] for r in passed))}
+    rows = sample.mapInPandas(_as_numbers(vocabulary), "doc_id long, y int, empty int, sizes array<int>, ids array<int>").toPandas()
+    rows = rows.assign(key=rows["ids"].map(list).map(str)).sort_values(["doc_id", "y", "empty", "key"], ignore_index=True)
+    return fit(rows, vocabulary)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
