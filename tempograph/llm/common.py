@@ -31,6 +31,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids or digests that may be broadcast, some 100 bytes each; beyond, a shuffled join does it.
+SMALL = 500_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """A stored table of keys, to be broadcast if counted to be small."""
+    return F.broadcast(keys) if keys.count() <= SMALL else keys
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only. Texts of ASCII alone take the fast ``lower``."""
     ascii_only = F.length(text) == F.octet_length(text)

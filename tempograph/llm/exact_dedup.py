@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, table, whole_text
+from .common import few, lower_ascii, stored, table, whole_text
 
 SALTS = 64
 
@@ -52,11 +52,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs`` with all their columns, one for each distinct text."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
+    """The kept rows of ``docs`` with all their columns, one for each distinct text.
+
+    What is joined are the dropped rows' ids and digests; texts aren't shuffled again. Of repeated rows of
+    one id and text, one stays.
+    """
+    out = stored(exact_groups(docs).where("not kept").select(F.col("doc_id").alias("_i"), F.col("keep_id").alias("_k"), F.col("text_sha256").alias("_d")), "dropped")
+    same_id = F.col("_i").eqNullSafe(F.col("_k"))
+    match = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_d"))
     keyed = docs.withColumns({"_id": F.col("doc_id"), "_digest": F.sha2(lower_ascii(whole_text(F.col("text"))), 256)})
-    same = keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_digest"] == kept["_digest"])
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["_id", "_digest"]).drop("_id", "_digest")
+    left = keyed.join(few(out.where(~same_id).drop("_k")), match, "left_anti")
+    twice = out.where(same_id).drop("_k").distinct()
+    if not twice.isEmpty():
+        left = left.join(few(twice), match, "left_anti").unionByName(left.join(few(twice), match, "left_semi").dropDuplicates(["_id", "_digest"]))
+    return left.select(docs.columns)
 
 
 def op10_exact_dedup(spark, sf_dir):

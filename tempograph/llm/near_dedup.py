@@ -23,14 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import few, stored, table
 
 BANDS, ROWS = 48, 6
 SALTS = 64
 #: Members and shingles of a tile, about; columns of a matrix.
 TILE, TILE_SHINGLES, COLUMNS = 256, 1 << 17, 4096
-#: Ids that may be broadcast, 8 bytes each; beyond, a shuffled join does it.
-SMALL = 500_000
 M1, M2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -159,11 +157,6 @@ def _packed_sets(width: int):
     return run
 
 
-def few(ids: DataFrame) -> DataFrame:
-    """A stored table of ids, to be broadcast if counted to be small."""
-    return F.broadcast(ids) if ids.count() <= SMALL else ids
-
-
 def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union, stored."""
     pairs = stored(pairs, "pairs")

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, table, whole_text
-from .near_dedup import few
+from .common import few, stored, table, whole_text
 from .spans import apart, digits, find, named, written
 
 #: The base kinds. Possessive loops keep Java from recursing on long runs; at the end of an expression they match the same.
