@@ -5,28 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ORDER = Window.partitionBy("movie_id").orderBy("idx")
+
+def order():
+    """A movie's rows by their ordinal; made when asked for, since a window needs a session."""
+    return Window.partitionBy("movie_id").orderBy("idx")
 
 
 def rolling_context(df: DataFrame, line: str, most: int = 4) -> DataFrame:
-    return df.withColumn("context", F.collect_list(line).over(ORDER.rowsBetween(-most, -1)))
+    return df.withColumn("context", F.collect_list(line).over(order().rowsBetween(-most, -1)))
 
 
 def sessionize(df: DataFrame, new: Column, cap: int = 6) -> DataFrame:
     """Scene numbers from 1: a scene starts where ``new`` holds, and where it already has ``cap`` events."""
-    runs = df.withColumn("run", F.sum(F.coalesce(new, F.lit(True)).cast("int")).over(ORDER))
+    runs = df.withColumn("run", F.sum(F.coalesce(new, F.lit(True)).cast("int")).over(order()))
     runs = runs.withColumn("piece", F.floor((F.row_number().over(Window.partitionBy("movie_id", "run").orderBy("idx")) - 1) / cap))
-    starts = (F.col("run") != F.lag("run", 1, -1).over(ORDER)) | (F.col("piece") != F.lag("piece", 1, -1).over(ORDER))
-    return runs.withColumn("scene", F.sum(starts.cast("int")).over(ORDER).cast("int")).drop("run", "piece")
+    starts = (F.col("run") != F.lag("run", 1, -1).over(order())) | (F.col("piece") != F.lag("piece", 1, -1).over(order()))
+    return runs.withColumn("scene", F.sum(starts.cast("int")).over(order()).cast("int")).drop("run", "piece")
 
 
 def by_gap(limit: float) -> Column:
-    return F.col("sec") - F.lag("sec").over(ORDER) > limit
+    return F.col("sec") - F.lag("sec").over(order()) > limit
 
 
-def modes(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
+def modes(df: DataFrame, keys: list[str], value: str, by: str) -> DataFrame:
     """The most frequent value of each group; of equal ones, the one that comes first."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), F.min(by).alias("first"))
     return counts.groupBy(*keys).agg(F.max_by(value, F.struct("n", -F.col("first"))).alias(value))
 
 
@@ -54,14 +57,14 @@ def beats(df: DataFrame, function: str = "function") -> DataFrame:
     scene starts one if the cluster is long, else it appends and makes it long. So the state at an "other" is
     the parity of the others since the last scene of another kind.
     """
-    s, p = F.col(function), F.lag(function).over(ORDER)
+    s, p = F.col(function), F.lag(function).over(order())
     alike = (p.isin(APPEND_FROM) & s.isin(APPEND_TO)) | (p.isin(TENSION) & s.isin(TENSION))
     kind = F.when(p.isNull(), "c").when(alike, "a").when((s == "INTRODUCTION") & (p != "INTRODUCTION"), "c").otherwise("d")
-    df = df.withColumn("_kind", kind).withColumn("_run", F.sum((F.col("_kind") != "d").cast("int")).over(ORDER))
+    df = df.withColumn("_kind", kind).withColumn("_run", F.sum((F.col("_kind") != "d").cast("int")).over(order()))
     run = Window.partitionBy("movie_id", "_run").orderBy("idx")
     df = df.withColumn("_nth", F.row_number().over(run) - 1).withColumn("_head", F.first("_kind").over(run))
     starts = (F.col("_kind") == "c") | ((F.col("_kind") == "d") & (F.when(F.col("_head") == "a", F.col("_nth") % 2 == 1).otherwise(F.col("_nth") % 2 == 0)))
-    return df.withColumn("beat", F.sum(starts.cast("int")).over(ORDER).cast("int")).drop("_kind", "_run", "_nth", "_head")
+    return df.withColumn("beat", F.sum(starts.cast("int")).over(order()).cast("int")).drop("_kind", "_run", "_nth", "_head")
 
 
 def identities(df: DataFrame, label: str = "label") -> DataFrame:
@@ -161,13 +164,13 @@ def pack_clips(events: DataFrame, length: float = 3.0) -> DataFrame:
 
 def layout(items: DataFrame) -> DataFrame:
     """Start and end of items on a timeline, from exact decimal durations."""
-    end = F.sum("duration").over(ORDER.rowsBetween(Window.unboundedPreceding, 0))
+    end = F.sum("duration").over(order().rowsBetween(Window.unboundedPreceding, 0))
     return items.withColumn("end_seconds", end).withColumn("start_seconds", F.col("end_seconds") - F.col("duration"))
 
 
 def validate_clips(clips: DataFrame, longest: float = 3.0, apart: float = 5.0) -> DataFrame:
     """Errors and warnings of clips (movie_id, idx, clip_id, start, stop, duration, event, scene, reason, movie_end), by clip."""
-    last = F.lag("stop").over(ORDER)
+    last = F.lag("stop").over(order())
     gap = F.col("start") - last
     rule = lambda cond, code: F.when(cond, F.lit(code))
     computed = F.col("stop") - F.col("start")
@@ -184,7 +187,7 @@ def validate_clips(clips: DataFrame, longest: float = 3.0, apart: float = 5.0) -
         rule(F.coalesce("scene", F.lit("")) == "", "no_scene"),
         rule(gap < 0, "overlap"),
     ]
-    warnings = [rule(F.coalesce("reason", F.lit("")) == "", "no_reason"), rule((gap >= 0) & (gap < 0.5), "touching"), rule((gap >= 0.5) & (gap < apart), "close"), rule(F.lag("start").over(ORDER) - F.col("start") > 5, "backwards")]
+    warnings = [rule(F.coalesce("reason", F.lit("")) == "", "no_reason"), rule((gap >= 0) & (gap < 0.5), "touching"), rule((gap >= 0.5) & (gap < apart), "close"), rule(F.lag("start").over(order()) - F.col("start") > 5, "backwards")]
     return clips.withColumns({"errors": F.array_compact(F.array(*errors)), "warnings": F.array_compact(F.array(*warnings))}).withColumn("valid", F.size("errors") == 0)
 
 
@@ -197,7 +200,7 @@ def metrics(items: DataFrame) -> DataFrame:
 
 def causal_pairs(df: DataFrame, most: int = 3) -> DataFrame:
     """Consecutive pairs, at most ``most`` of each movie."""
-    pairs = df.withColumns({"effect": F.lead("title").over(ORDER), "effect_idx": F.lead("idx").over(ORDER), "_n": F.row_number().over(ORDER)})
+    pairs = df.withColumns({"effect": F.lead("title").over(order()), "effect_idx": F.lead("idx").over(order()), "_n": F.row_number().over(order())})
     return pairs.where((F.col("_n") <= most) & F.col("effect").isNotNull()).drop("_n")
 
 
@@ -207,7 +210,7 @@ def overlap_join(a: DataFrame, b: DataFrame, item: str) -> DataFrame:
 
 
 def neighbour_fill(x: Column) -> Column:
-    return F.coalesce(x, F.lag(x).over(ORDER), F.lead(x).over(ORDER))
+    return F.coalesce(x, F.lag(x).over(order()), F.lead(x).over(order()))
 
 
 def ordinal_max(x: Column) -> Column:
@@ -222,7 +225,7 @@ def ordered_distinct(value: str, order: str = "idx") -> Column:
 def pending(frames: DataFrame, done: DataFrame, limit: int | None = None, force: bool = False) -> DataFrame:
     """Frames still to be processed: the prefix limit applies first, per movie; ``force`` takes all."""
     if limit and limit > 0:
-        frames = frames.withColumn("_n", F.row_number().over(ORDER)).where(F.col("_n") <= limit).drop("_n")
+        frames = frames.withColumn("_n", F.row_number().over(order())).where(F.col("_n") <= limit).drop("_n")
     return frames if force else frames.join(done.select("movie_id", "idx"), ["movie_id", "idx"], "left_anti")
 
 
