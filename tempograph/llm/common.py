@@ -53,3 +53,10 @@ def whole_text(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """The fold that no model learns from: crc32 of the id as text, mod 5, is 0. A null id counts as an empty one."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
+
+
+def slices(batches, rows: int = 500):
+    """Smaller frames, so that a worker holds the results of few rows at a time."""
+    for pdf in batches:
+        for k in range(0, len(pdf), rows):
+            yield pdf.iloc[k : k + rows]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import PIECE, Bpe, vocabulary_path
-from .common import stored, table
+from .common import slices, stored, table
 
 WINDOW, END = 1024, 0
 
@@ -32,18 +32,23 @@ class Ids:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(path)
-        self.slow.no_padding()
-        self.slow.no_truncation()
+        self.path, self.slow, self.fast = path, None, None
         bpe = Bpe(path)
-        self.fast = None
         merges = sorted(m for right in bpe.merge for m in right.values())
         if merges == [(k, 256 + k) for k in range(len(merges))] and len(bpe.start) == 256:
             ranks = {t: i for i, t in bpe.token.items() if i not in bpe.special.values()}
             self.fast = tiktoken.Encoding("file", pat_str=PIECE.pattern, mergeable_ranks=ranks, special_tokens=bpe.special)
 
+    def by_tokenizers(self, text: str) -> list[int]:
+        if self.slow is None:
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.path)
+            self.slow.no_padding()
+            self.slow.no_truncation()
+        return self.slow.encode(text, add_special_tokens=False).ids
+
     def __call__(self, text: str) -> bytes:
         if self.fast:
             try:
@@ -51,7 +56,7 @@ class Ids:
             except BaseException as error:  # the library panics on runs beyond its limits
                 if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
                     raise
-        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.by_tokenizers(text), "<u4").tobytes()
 
 
 def _tokenize(path: str):
@@ -59,7 +64,7 @@ def _tokenize(path: str):
         from pyspark import TaskContext
 
         ids, at, part = Ids(path), 0, TaskContext.get().partitionId()
-        for pdf in batches:
+        for pdf in slices(batches):
             out = []
             for i, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 raw = ids(text or "") + END.to_bytes(4, "little")
@@ -72,7 +77,7 @@ def _tokenize(path: str):
 
 def _cut(window: int):
     def run(batches):
-        for pdf in batches:
+        for pdf in slices(batches):
             out = []
             for r in pdf.itertuples(index=False):
                 start, place = 0, r.place
