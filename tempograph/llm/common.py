@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,8 +57,32 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
-def slices(batches, rows: int = 500):
+#: Rows of the frames that Python gets and returns.
+FRAME = 500
+
+
+def slices(batches, rows: int = FRAME):
     """Smaller frames, so that a worker holds the results of few rows at a time."""
     for pdf in batches:
         for k in range(0, len(pdf), rows):
             yield pdf.iloc[k : k + rows]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def in_frames(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInPandas`` for texts, bounded in memory: frames of at most ``FRAME`` rows, by the session's setting for Arrow batches, and
+    freed memory goes back at the end of a task, since idle workers live on beside the next stage.
+    """
+
+    def run(batches):
+        yield from function(slices(batches))
+        give_back()
+
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAME))
+    return df.mapInPandas(run, schema)

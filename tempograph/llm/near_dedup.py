@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import few, stored, table
+from .common import few, in_frames, stored, table
 
 BANDS, ROWS = 48, 6
 SALTS = 64
@@ -161,7 +161,7 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union, stored."""
     pairs = stored(pairs, "pairs")
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    sets = docs.select("doc_id", "text").join(few(ids), "doc_id", "left_semi").mapInPandas(_sets(width), "id long, set array<long>")
+    sets = in_frames(docs.select("doc_id", "text").join(few(ids), "doc_id", "left_semi"), _sets(width), "id long, set array<long>")
     sets = stored(sets, "sets")
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
     na, nb = F.size("sa"), F.size("sb")
@@ -195,7 +195,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     without an id link with nothing and have a null component unless their set is another row's. Repeated
     rows repeat. Empty input gives no rows; other columns are ignored.
     """
-    rows = stored(docs.select("doc_id", "text").mapInPandas(_sketches(width), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketches")
+    rows = stored(in_frames(docs.select("doc_id", "text"), _sketches(width), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketches")
     salted = rows.where("n_shingles > 0").select("doc_id", "digest", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
     classes = salted.groupBy("digest", "salt").agg(F.min("doc_id").alias("rep")).groupBy("digest").agg(F.min("rep").alias("rep"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
     classes = stored(classes, "classes")
@@ -220,7 +220,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     mixed = stored(mixed, "mixed")
     if not mixed.isEmpty():
         sets = docs.select("doc_id", "text").join(few(stored(mixed.select(F.col("id").alias("doc_id")).distinct(), "ids")), "doc_id", "left_semi")
-        sets = stored(sets.mapInPandas(_packed_sets(width), "id long, set binary"), "packed")
+        sets = stored(in_frames(sets, _packed_sets(width), "id long, set binary"), "packed")
         tiles = mixed.join(sets, "id").groupBy("key", "tile").agg(F.max("outside").alias("any"), F.collect_list(F.struct("id", "root", "outside", "set")).alias("members"))
         left, right = tiles.select("key", F.col("tile").alias("t"), F.col("any").alias("x"), F.col("members").alias("left")), tiles.select("key", "tile", "any", F.col("members").alias("right"))
         meet = left.join(right, "key").where((F.col("t") <= F.col("tile")) & (F.col("x") | F.col("any")))

@@ -10,6 +10,7 @@ The stored table fixes what lies in which partition, so a lost executor changes
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import PIECE, Bpe, vocabulary_path
-from .common import slices, stored, table
+from .common import in_frames, stored, table
 
 WINDOW, END = 1024, 0
 
@@ -59,12 +60,18 @@ class Ids:
         return np.array(self.by_tokenizers(text), "<u4").tobytes()
 
 
+@functools.lru_cache(maxsize=1)
+def known_ids(path: str) -> Ids:
+    """One for each worker process, whose tasks share it."""
+    return Ids(path)
+
+
 def _tokenize(path: str):
     def run(batches):
         from pyspark import TaskContext
 
-        ids, at, part = Ids(path), 0, TaskContext.get().partitionId()
-        for pdf in slices(batches):
+        ids, at, part = known_ids(path), 0, TaskContext.get().partitionId()
+        for pdf in batches:
             out = []
             for i, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 raw = ids(text or "") + END.to_bytes(4, "little")
@@ -77,7 +84,7 @@ def _tokenize(path: str):
 
 def _cut(window: int):
     def run(batches):
-        for pdf in slices(batches):
+        for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 start, place = 0, r.place
@@ -97,14 +104,14 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     Repeated rows are packed each by itself; other columns are ignored. Empty input gives no rows.
     """
     path = path or vocabulary_path()
-    rows = docs.select("doc_id", "text").mapInPandas(_tokenize(path), "doc_id long, part int, at long, n long, ids binary")
+    rows = in_frames(docs.select("doc_id", "text"), _tokenize(path), "doc_id long, part int, at long, n long, ids binary")
     rows = stored(rows, "pack")
     totals = rows.groupBy("part").agg(F.max(F.col("at") + F.col("n")).alias("total"))
     # One row for each partition of the input: a few thousand at most, however much text there is.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     placed = rows.join(F.broadcast(bases), "part").select("doc_id", "n", "ids", (F.col("base") + F.col("at")).alias("place"))
-    return placed.mapInPandas(_cut(window), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return in_frames(placed, _cut(window), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op9_packing(spark, sf_dir):

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import held_out, in_frames, table
 
 BLOCK, WIDTH, FILTERS = 256, 6, 24
 CHUNK = 2 * BLOCK
@@ -132,7 +132,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
             s = [net.score((t or "").encode()) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": np.array(s, np.float64)})
 
-    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInPandas(score, "doc_id long, held_out boolean, score double")
+    scored = in_frames(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), score, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -144,7 +144,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
         for pdf in batches:
             yield pdf[np.array([net.score((t or "").encode()) >= threshold for t in pdf["text"]], bool)]
 
-    return docs.mapInPandas(keep, docs.schema)
+    return in_frames(docs, keep, docs.schema)
 
 
 def op3_quality(spark, sf_dir):
