@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import rules as R
 from ..functions import scalars as S
+from ..operators import identity as D
 from ..operators import intervals as I
 from ..operators import timeline as T
-from ..sources import documents, subtitles
+from ..sources import documents, media, subtitles
 
 QUERIES, ORACLES = {}, {}
 
@@ -357,3 +359,69 @@ def ass_parse(spark, sf_dir):
     line = F.concat(F.lit("Dialogue: 0,"), S.format_timestamp(F.col("start_seconds")), F.lit(","), S.format_timestamp(F.col("end_seconds")), F.lit(",Name,{\\pos(1,2)}"), "text")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(-F.col("idx"), line.alias("l")))), lambda x: x["l"]), "\n")
     return subtitles.parse_ass(c.groupBy("movie_id").agg(F.concat(F.lit("[Script Info]\n\n[Events]\nFormat: Layer, Start, End, Name, Text\n"), body).alias("content")))
+
+
+def _said(words: tuple[str, ...]) -> str:
+    return "(" + " OR ".join("contains(t, '" + w.replace("'", "''") + "')" for w in words) + ")"
+
+
+@query(
+    """ , tx AS (SELECT conv_id, lower(string_agg(coalesce(text, ''), ' ' ORDER BY turn, role, coalesce(text, ''))) AS t, max(turn) AS m FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE """
+    + " ".join(f"WHEN {_said(w)} THEN '{f}'" for w, f in R.SCENE_RULES)
+    + " WHEN m >= 9 THEN 'CLIMAX' WHEN m >= 7 THEN 'ESCALATION' WHEN m = 1 THEN 'SETUP' ELSE 'TRANSITION' END AS scene_function FROM tx"
+)
+def scene_function_rules(spark, sf_dir):
+    said = F.array_sort(F.collect_list(F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))))
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(said["text"], " ").alias("t"), F.max("turn").alias("m"))
+    return c.select("conv_id", R.scene_function(F.col("t"), F.col("m"), F.col("m") == 1).alias("scene_function"))
+
+
+@query(""" , x AS (SELECT movie_id, scene, lower(string_agg(label, ' ' ORDER BY idx)) AS t, max(sig) AS sig, count(DISTINCT label) AS n FROM sc GROUP BY ALL),
+y AS (SELECT *, CASE WHEN contains(t, 'error') THEN 'Escalation' WHEN contains(t, 'signup') THEN 'Introduction' WHEN n = 1 THEN 'Transition' ELSE 'Story' END AS title FROM x),
+z AS (SELECT *, CASE title WHEN 'Escalation' THEN 'rising_action_and_crisis' WHEN 'Introduction' THEN 'setting_shift_and_character_intro' ELSE CASE WHEN sig >= 9 THEN 'peak_climax' WHEN title = 'Transition' THEN 'atmospheric_transition' ELSE 'story_progression' END END AS purpose FROM y)
+SELECT movie_id, scene, purpose, CASE purpose WHEN 'rising_action_and_crisis' THEN 'moderate' WHEN 'peak_climax' THEN 'high' ELSE 'none' END AS spoiler_level,
+ CASE WHEN purpose = 'atmospheric_transition' AND n = 1 THEN 1.0 ELSE sig::DOUBLE END AS weight FROM z""")
+def segment_purpose(spark, sf_dir):
+    x = scenes(spark, sf_dir).groupBy("movie_id", "scene").agg(F.collect_set("label").alias("labels"), F.max("sig").alias("sig"))
+    has = lambda label: F.array_contains("labels", label)
+    title = F.when(has("error"), "Escalation").when(has("signup"), "Introduction").when(F.size("labels") == 1, "Transition").otherwise("Story")
+    x = x.withColumn("p", R.purpose(title, F.when(F.col("sig") >= 9, F.array(F.lit("CLIMAX")))))
+    return x.select("movie_id", "scene", "p.purpose", "p.spoiler_level", R.weight(F.col("sig"), F.col("p.purpose"), F.size("labels") - 1).alias("weight"))
+
+
+@query(""" , h AS (SELECT movie_id, bool_or(label = 'click') AS c, bool_or(label = 'view') AS v, bool_or(label = 'error') AS e FROM tl GROUP BY movie_id),
+r AS (SELECT t.*, CASE WHEN label = 'view' AND c THEN CASE WHEN e THEN 'error' ELSE 'click' END WHEN label = 'click' AND e THEN 'error' ELSE label END AS character_id FROM tl t JOIN h ON t.movie_id = h.movie_id)
+SELECT movie_id, character_id, min(sec) AS first_seen, max(sec) AS last_seen, array_to_string(list_sort(list_distinct(list(label))), ',') AS merged_ids FROM r GROUP BY movie_id, character_id""")
+def identity_merge(spark, sf_dir):
+    t = timeline(spark, sf_dir)
+    characters = t.groupBy("movie_id", F.col("label").alias("character_id")).agg(F.min("sec").alias("first_seen"), F.max("sec").alias("last_seen"))
+    each = lambda idx, a, b: F.struct(F.lit(idx).alias("idx"), F.lit(a).alias("primary"), F.lit(b).alias("merged"))
+    merges = t.select("movie_id").distinct().select("movie_id", F.explode(F.array(each(1, "click", "view"), each(2, "error", "click"), each(3, "click", "error"))).alias("m")).select("movie_id", "m.*")
+    return D.merge_identities(characters, merges).withColumn("merged_ids", F.array_join("merged_ids", ","))
+
+
+@query(""" , f AS (SELECT f.event_id AS id, list(c.label ORDER BY c.sec, c.event_id) FILTER (c.event_id IS NOT NULL) AS said FROM tl f LEFT JOIN tl c ON c.event_id <> f.event_id AND c.movie_id = f.movie_id AND c.sec BETWEEN f.sec - 3600 AND f.sec GROUP BY f.event_id)
+SELECT id, CASE WHEN len(said) > 0 THEN 2 ELSE 1 END::INTEGER AS people_count, CASE WHEN len(said) > 0 THEN 6 ELSE 4 END::INTEGER AS plot_significance,
+ CASE WHEN len(said) > 0 THEN 'Characters speaking: "' || array_to_string(said[1:2], ' ') || '"' ELSE 'A character is observing the surroundings.' END AS action,
+ CASE WHEN len(said) > 0 THEN 'Characters interact while discussing: "' || said[1] || '"' ELSE 'Scene progression at ' || id || ' showing character observation.' END AS event_summary FROM f""")
+def mock_provider(spark, sf_dir):
+    near = Window.partitionBy("movie_id").orderBy("sec").rangeBetween(-3600, 0)
+    said = F.array_sort(F.collect_list(F.struct("sec", "event_id", "label")).over(near))
+    t = timeline(spark, sf_dir).withColumn("said", said).select(F.col("event_id").alias("id"), F.filter("said", lambda s: s["event_id"] != F.col("event_id"))["label"].alias("said"))
+    return t.withColumn("d", D.mock_description(F.col("said"), F.col("id").cast("string"))).select("id", "d.people_count", "d.plot_significance", "d.action", "d.event_summary")
+
+
+@query(""" SELECT p_partkey, round(p_retailprice, 3)::DOUBLE AS duration_seconds, CASE WHEN p_size % 3 = 0 THEN 'unknown' ELSE p_size || 'x' || p_size END AS resolution,
+ CASE WHEN p_size % 2 = 0 THEN round(p_size::DOUBLE, 3) ELSE 25.0 END AS fps, 2 AS number_of_subtitle_streams, CASE WHEN p_size % 5 = 0 THEN '' ELSE 'en' END AS subtitle_languages FROM part""")
+def media_metadata(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    known = F.when(F.col("p_size") % 3 == 0, "").otherwise(F.concat(F.lit(', "width": '), size, F.lit(', "height": '), size))
+    rate = F.when(F.col("p_size") % 2 == 0, F.concat(size, F.lit("/1"))).otherwise("0/0")
+    tags = F.when(F.col("p_size") % 5 == 0, "").otherwise(', "tags": {"language": "en"}')
+    probe = F.concat(
+        F.lit('{"format": {"duration": "'), F.col("p_retailprice").cast("string"), F.lit('"}, "streams": [{"codec_type": "video", "r_frame_rate": "'), rate, F.lit('", "avg_frame_rate": "25/1"'), known,
+        F.lit('}, {"codec_type": "subtitle"'), tags, F.lit('}, {"codec_type": "subtitle", "index": 3, "disposition": {"default": 1}'), tags, F.lit("}]}"),
+    )
+    m = media.shape_metadata(table(spark, sf_dir, "part").select("p_partkey", probe.alias("probe")), ["p_partkey"])
+    return m.select("p_partkey", "duration_seconds", "resolution", "fps", "number_of_subtitle_streams", F.array_join("subtitle_languages", ",").alias("subtitle_languages"))

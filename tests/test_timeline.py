@@ -8,12 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from tempograph.functions import rules as R
 from tempograph.functions import scalars as S
+from tempograph.operators import identity as D
 from tempograph.operators import intervals as I
 from tempograph.operators import timeline as T
 from tempograph.plans import catalogue
-from tempograph.sources import documents, subtitles
+from tempograph.sources import documents, media, subtitles
 from tempograph.streaming.incremental import process_new
+from tempograph.streaming.tracking import track
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,6 +100,50 @@ def test_incremental(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(6))
 
 
+def test_rules(spark):
+    assert one(spark, R.scene_function(F.lit("A NIGHTCLUB, dancing"), F.lit(9), F.lit(True))) == "INTRODUCTION"
+    assert one(spark, R.scene_function(F.lit(None).cast("string"), F.lit(7), F.lit(True))) == "ESCALATION"
+    assert tuple(one(spark, R.purpose(F.lit("x"), F.array(F.lit("DISCOVERY"), F.lit("SETUP"))))) == ("opening_hook_and_audio_discovery", "none")
+    assert tuple(one(spark, R.purpose(F.lit(None).cast("string"), F.lit(None).cast("array<string>")))) == ("story_progression", "none")
+
+
+def test_media(spark):
+    df = spark.createDataFrame([("a", "junk"), ("b", None), ("c", '{"streams": [{"codec_type": "audio", "sample_rate": "44100", "channels": 2}]}')], "movie_id string, probe string")
+    got = {r["movie_id"]: (r["resolution"], r["fps"], r["audio_sample_rate"], r["subtitle_languages"]) for r in media.shape_metadata(df).collect()}
+    assert got == {"a": ("unknown", 0.0, None, []), "b": ("unknown", 0.0, None, []), "c": ("unknown", 0.0, 44100, [])}
+    movies = spark.createDataFrame([("one", "/m/One.A.mp4")], "movie_id string, path string")
+    paths = ["/m/One.A.vtt", "/m/One.A.en.srt", "/m/One.A.srt", "/m/One.B.srt", "/m/One.A.txt", "/s/one-x.ass", "/s/One.A2.ssa", "/s/two.srt"]
+    found = media.discover_subtitles(movies, spark.createDataFrame([(p,) for p in paths], "path string"), "/s")
+    assert [r["path"] for r in found.orderBy("place").collect()] == ["/m/One.A.srt", "/m/One.A.en.srt", "/m/One.A.vtt", "/s/One.A2.ssa", "/s/one-x.ass"]
+
+
+def test_merges_and_provider(spark):
+    c = spark.createDataFrame([(1, x, float(k), k + 5.0) for k, x in enumerate("abc")] + [(2, "a", 0.0, 1.0)], "movie_id long, character_id string, first_seen double, last_seen double")
+    m = spark.createDataFrame([(1, 1, "a", "b"), (1, 2, "b", "c"), (1, 3, "c", "a"), (1, 4, "c", "c")], "movie_id long, idx int, primary string, merged string")
+    got = sorted(tuple(r) for r in D.merge_identities(c, m).select("movie_id", "character_id", "first_seen", "last_seen").collect())
+    assert got == [(1, "c", 0.0, 7.0), (2, "a", 0.0, 1.0)]
+    e = spark.createDataFrame([(1, "a", "Ann", 0.5, 1), (1, "c", "Ann", 0.5, 2), (1, "b", "Bob", 0.9, 3)], "movie_id long, character_id string, candidate string, confidence double, idx int")
+    assert [(r["character_id"], r["name"], r["name_confidence"]) for r in D.vote_again(e, D.resolve_merges(c, m)).collect()] == [("c", "Ann", "high")]
+
+    def provider(pdf, calls=[]):  # noqa: B006
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError
+        return pdf
+
+    assert D.describe(spark.range(3, numPartitions=1), provider, "id long", wait=0.01).count() == 3
+
+
+def test_tracking(spark, tmp_path):
+    src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
+    for part in ([(1, 2, "b"), (1, 1, "a"), (2, 1, "z")], [(1, 3, "c"), (1, 4, "a"), (1, 5, None)]):
+        df = spark.createDataFrame(part, "movie_id long, idx long, label string")
+        df.write.mode("append").parquet(src)
+        process_new(spark, src, df.schema, track, out, mark)
+    got = sorted((r["movie_id"], r["idx"], r["character_id"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 1, "CHARACTER_001"), (1, 2, "CHARACTER_002"), (1, 3, "CHARACTER_003"), (1, 4, "CHARACTER_001"), (2, 1, "CHARACTER_001")]
+
+
 def rows(frame):
     clean = lambda x: None if pd.api.types.is_scalar(x) and pd.isna(x) else round(float(x), 6) if isinstance(x, (int, float)) or hasattr(x, "dtype") else str(x)
     return sorted(str([clean(x) for x in r]) for r in frame[sorted(frame.columns)].itertuples(index=False))
