@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 #: Ordered location rules, the words that say nothing about a place, and the vocabulary of water.
 LOCATION_RULES = [
-    (("black screen", "digital space", "title"), "title graphics"),
-    (("nightclub", "club"), "nightclub"),
-    (("water", "boat", "lake"), "open water"),
-    (("room", "interior", "cabin", "shelter"), "interior"),
-    (("forest", "wood", "mud", "tree"), "forest"),
-    (("outdoor",), "outdoor"),
+    (("black screen", "digital space", "title"), "opening sequence / title graphics"),
+    (("nightclub", "club"), "nightclub celebration"),
+    (("water", "boat", "lake"), "open water / stormy lake"),
+    (("room", "interior", "cabin", "shelter"), "interior shelter / study"),
+    (("forest", "wood", "mud", "tree"), "dark forest / lakeshore"),
+    (("outdoor",), "outdoor setting"),
 ]
 PLAIN_WORDS = ["a", "the", "in", "on", "at", "during", "setting", "dark", "outdoor", "interior", "unspecified"]
 WATER_WORDS = ["water", "boat", "rain", "storm", "pavement", "crawfish", "mud", "lakeshore"]
@@ -87,7 +87,7 @@ def safe_cast(x: Column, kind: str, default) -> Column:
 def normalize_location(place: Column) -> Column:
     low = F.lower(F.trim(place))
     has = lambda words: reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
-    rule = reduce(lambda acc, r: acc.when(has(r[0]), r[1]), LOCATION_RULES, F.when(F.coalesce(low, F.lit("")) == "", "unspecified"))
+    rule = reduce(lambda acc, r: acc.when(has(r[0]), r[1]), LOCATION_RULES, F.when(F.coalesce(low, F.lit("")) == "", "unspecified setting"))
     return rule.otherwise(F.trim(place))
 
 
@@ -140,8 +140,8 @@ def candidate_names(text: Column, disallowed: list[str] = ()) -> Column:
     return F.filter(found, lambda n: (F.length(n) >= 3) & (~n.isin(list(disallowed)) if disallowed else F.lit(True)))
 
 
-def caption_chunks(text: Column, most: int = 8) -> Column:
-    """Sentences, then comma or hyphen pieces packed greedily up to ``most`` words."""
+def caption_chunks(text: Column, most: int = 15) -> Column:
+    """Sentences, then comma or hyphen pieces packed greedily up to ``most`` words; a blank text is one chunk."""
     size = lambda x: F.size(F.split(F.trim(x), r"\s+"))
 
     def pack(acc, x):
@@ -153,19 +153,22 @@ def caption_chunks(text: Column, most: int = 8) -> Column:
         pieces = F.filter(F.split(s, r"(?<=[,\-])\s+"), lambda x: F.trim(x) != "")
         return F.when(size(s) <= most, F.array(s)).otherwise(F.aggregate(pieces, F.array().cast("array<string>"), pack))
 
-    return F.flatten(F.transform(F.filter(F.split(F.trim(text), r"(?<=[.!?])\s+"), lambda x: F.trim(x) != ""), sentence))
+    chunks = F.flatten(F.transform(F.filter(F.split(F.trim(text), r"(?<=[.!?])\s+"), lambda x: F.trim(x) != ""), sentence))
+    return F.when(F.size(chunks) > 0, chunks).otherwise(F.array(text))
 
 
-def wrap_caption(text: Column, width: int = 42) -> Column:
-    """Lines of at most ``width`` where words allow; more than two become two halves by words."""
+def wrap_caption(text: Column, width: int = 55) -> Column:
+    """Lines of at most ``width``, the first one character less, where words allow; more than two become two halves by words, the first the shorter."""
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
     def add(acc, w):
-        last = F.element_at(acc, -1)
-        fits = (F.size(acc) > 0) & (F.length(last) + 1 + F.length(w) <= width)
-        return F.when(fits, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat_ws(" ", last, w)))).otherwise(F.array_append(acc, w))
-
-    lines = F.aggregate(words, F.array().cast("array<string>"), add)
-    half = F.ceil(F.size(words) / 2).cast("int")
+        lines, n = acc["lines"], acc["n"]
+        fits = (F.size(lines) > 0) & (n + F.length(w) + 1 <= width)
+        longer = F.concat(F.slice(lines, 1, F.size(lines) - 1), F.array(F.concat_ws(" ", F.element_at(lines, -1), w)))
+        size = F.when(fits | (F.size(lines) == 0), n + F.length(w) + 1).otherwise(F.length(w))
+        return F.struct(F.when(fits, longer).otherwise(F.array_append(lines, w)).alias("lines"), size.alias("n"))
+
+    lines = F.aggregate(words, F.struct(F.array().cast("array<string>").alias("lines"), F.lit(0).alias("n")), add, lambda acc: acc["lines"])
+    half = F.floor(F.size(words) / 2).cast("int")
     halves = F.array(F.array_join(F.slice(words, 1, half), " "), F.array_join(F.slice(words, half + 1, F.size(words)), " "))
     return F.array_join(F.when(F.size(lines) > 2, halves).otherwise(lines), "\n")

@@ -14,6 +14,7 @@ from ..operators import identity as D
 from ..operators import intervals as I
 from ..operators import timeline as T
 from ..sources import documents, media, subtitles
+from . import stages as M
 
 QUERIES, ORACLES = {}, {}
 
@@ -425,3 +426,130 @@ def media_metadata(spark, sf_dir):
     )
     m = media.shape_metadata(table(spark, sf_dir, "part").select("p_partkey", probe.alias("probe")), ["p_partkey"])
     return m.select("p_partkey", "duration_seconds", "resolution", "fps", "number_of_subtitle_streams", F.array_join("subtitle_languages", ",").alias("subtitle_languages"))
+
+
+GAP = 6 * 3600.0
+
+
+def _movie(spark, sf_dir):
+    """The timeline as described events, characters and their appearances, and movies of 69 samples and 30 days."""
+    t = timeline(spark, sf_dir)
+    level = F.when(F.col("sig") >= 9, "high").when(F.col("sig") >= 4, "medium").otherwise("low")
+    events = t.select(
+        "movie_id", F.col("idx").alias("event"), "sec", F.col("label").alias("location"), F.concat_ws(" ", F.lit("do"), "label").alias("action"), F.array("label").alias("labels"),
+        F.concat_ws(" ", "label", F.col("event_id").cast("string")).alias("summary"), F.lit(None).cast("array<string>").alias("dialogue"), "sig", level.alias("uncertainty"),
+    )
+    ids = T.identities(t)
+    characters = ids.select("movie_id", "character_id", F.when(F.col("label") != "error", F.col("label")).alias("name"), "first_seen", "last_seen")
+    appearances = t.join(ids.select("movie_id", "label", "character_id"), ["movie_id", "label"]).select("movie_id", "character_id", F.col("idx").alias("ord"), F.col("idx").alias("event"), "sec")
+    movies = t.select("movie_id").distinct().select("movie_id", F.lit(69).alias("samples"), F.lit(2592000.0).alias("duration"))
+    return M.with_cast(M.ordered(events), characters, appearances), characters, appearances, movies
+
+
+STORY = """ , mb AS (SELECT *, CASE WHEN lag(label) OVER w = label AND sec - lag(sec) OVER w <= 21600 THEN 0 ELSE 1 END AS b FROM tl WINDOW w AS (PARTITION BY movie_id ORDER BY idx)),
+mr AS (SELECT *, sum(b) OVER (PARTITION BY movie_id ORDER BY idx) AS g FROM mb), mp AS (SELECT *, (row_number() OVER (PARTITION BY movie_id, g ORDER BY idx) - 1) // 6 AS p FROM mr),
+ms AS (SELECT *, dense_rank() OVER (PARTITION BY movie_id ORDER BY g, p)::INTEGER AS scene FROM mp),
+mx AS (SELECT movie_id, scene, min(sec) AS start_seconds, max(sec) + 30 AS end_seconds, list(idx ORDER BY idx) AS event_indices, any_value(label) AS location, string_agg(label || ' ' || event_id, ' ' ORDER BY idx) AS summary,
+ max(sig) AS importance, CASE WHEN max(sig) >= 9 THEN 'high' WHEN max(sig) >= 4 THEN 'medium' ELSE 'low' END AS uncertainty,
+ CASE WHEN max(sig) >= 9 THEN 'CLIMAX' WHEN max(sig) >= 7 THEN 'ESCALATION' WHEN scene = 1 THEN 'SETUP' ELSE 'TRANSITION' END AS scene_function FROM ms GROUP BY movie_id, scene)"""
+BEATS = (
+    STORY
+    + """, mk AS (SELECT *, lag(scene_function) OVER (PARTITION BY movie_id ORDER BY scene) AS pf FROM mx),
+mw AS (SELECT movie_id, scene, 1 AS beat, 1 AS size FROM mk WHERE scene = 1 UNION ALL
+ SELECT k.movie_id, k.scene, CASE WHEN x.new THEN w.beat + 1 ELSE w.beat END, CASE WHEN x.new THEN 1 ELSE w.size + 1 END
+ FROM mw w JOIN mk k ON k.movie_id = w.movie_id AND k.scene = w.scene + 1,
+ LATERAL (SELECT NOT (k.pf = 'SETUP' AND k.scene_function = 'SETUP' OR k.pf = 'ESCALATION' AND k.scene_function = 'ESCALATION') AND w.size >= 2 AS new) x),
+bt AS (SELECT movie_id, beat, list(scene ORDER BY scene) AS scenes, list(scene_function ORDER BY scene) AS fs, flatten(list(event_indices ORDER BY scene)) AS ev, string_agg(summary, ' ' ORDER BY scene) AS description,
+ list_sort(list_distinct(list(location))) AS cast_, arg_min(location, scene) AS place, max(importance) AS importance, arg_max(uncertainty, importance) AS uncertainty FROM mk JOIN mw USING (movie_id, scene) GROUP BY movie_id, beat),
+bs AS (SELECT *, CASE WHEN list_contains(fs, 'ESCALATION') THEN 'Escalation & Crisis' ELSE 'Story Progression (' || array_to_string(fs, ', ') || ')' END AS title,
+ CASE WHEN list_contains(fs, 'ESCALATION') THEN 'A dispute turns into danger.' ELSE 'Events unfold across ' || len(scenes) || ' scenes in ' || place || '.' END AS cause FROM bt)"""
+)
+
+
+@query(STORY + " SELECT movie_id, scene, start_seconds, end_seconds, array_to_string(event_indices, ',') AS event_indices, location AS characters, location, summary, importance, uncertainty, scene_function FROM mx")
+def story_scenes(spark, sf_dir):
+    s = M.scenes(_movie(spark, sf_dir)[0], GAP)
+    who = F.transform("characters", lambda c: F.when(c.startswith("CHARACTER_"), None).otherwise(c))
+    return s.withColumns({"event_indices": F.array_join(F.col("event_indices").cast("array<string>"), ","), "characters": F.array_join(who, ",")})
+
+
+@query(
+    BEATS
+    + """ SELECT movie_id, beat::INTEGER AS beat, title, description, array_to_string(scenes, ',') AS supporting_scenes, array_to_string(ev, ',') AS event_indices, cause, importance, uncertainty FROM bs"""
+)
+def story_beats(spark, sf_dir):
+    b = M.beats(M.scenes(_movie(spark, sf_dir)[0], GAP))
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return b.select("movie_id", "beat", "title", "description", text("supporting_scenes"), text("event_indices"), "cause", "importance", "uncertainty")
+
+
+def _planned(spark, sf_dir):
+    events, characters, appearances, movies = _movie(spark, sf_dir)
+    scenes_ = M.scenes(events, GAP)
+    heads = M.headers(events, movies)
+    return events, scenes_, heads, M.plan(heads, M.beats(scenes_), M.causal_links(events))
+
+
+@query(
+    BEATS
+    + """, hn AS (SELECT movie_id, count(*) AS n FROM tl GROUP BY movie_id),
+hd AS (SELECT movie_id, round(CASE WHEN n >= 58 THEN 900.0::DOUBLE ELSE greatest(45.0::DOUBLE, least(900.0::DOUBLE * (n / 69.0::DOUBLE) * 1.25::DOUBLE, 900.0::DOUBLE)) END, 1) AS target FROM hn),
+pu AS (SELECT *, CASE WHEN title = 'Escalation & Crisis' THEN 'rising_action_and_crisis' WHEN list_contains(fs, 'CLIMAX') THEN 'peak_climax' WHEN list_contains(fs, 'TRANSITION') THEN 'atmospheric_transition' ELSE 'story_progression' END AS purpose, importance::DECIMAL(18,2) AS w FROM bs JOIN hd USING (movie_id)),
+sh AS (SELECT *, round(greatest(10.0::DOUBLE, w::DOUBLE / sum(w) OVER (PARTITION BY movie_id)::DOUBLE * target), 1)::DECIMAL(18,1) AS share FROM pu)
+SELECT movie_id, beat::INTEGER AS segment, purpose, CASE purpose WHEN 'rising_action_and_crisis' THEN 'moderate' WHEN 'peak_climax' THEN 'high' ELSE 'none' END AS spoiler_level, importance, uncertainty,
+ (2 + len(list_filter([1, 2, 3], lambda i: list_contains(ev, i) OR list_contains(ev, i + 1))))::INTEGER AS n_points, round(share::DOUBLE * target / sum(share) OVER (PARTITION BY movie_id)::DOUBLE, 1) AS seconds FROM sh"""
+)
+def narration_plan(spark, sf_dir):
+    return _planned(spark, sf_dir)[3].select("movie_id", "segment", "purpose", "spoiler_level", "importance", "uncertainty", F.size("key_points").alias("n_points"), "seconds")
+
+
+@query(""" , e AS (SELECT movie_id, idx, label || ' ' || event_id AS s, lead(label || ' ' || event_id) OVER w AS t FROM tl WINDOW w AS (PARTITION BY movie_id ORDER BY idx)), h AS (SELECT movie_id FROM tl WHERE idx = 60),
+r AS (SELECT movie_id, 1 AS ord, 'a long story' AS cause, 'a late event' AS effect, 'high' AS confidence, '1,60' AS evidence FROM h)
+SELECT * FROM r UNION ALL SELECT movie_id, idx, s, 'Directly leads to subsequent development: ' || t, 'medium', idx || ',' || (idx + 1) FROM e WHERE idx <= 3 AND t IS NOT NULL AND movie_id NOT IN (SELECT movie_id FROM r)""")
+def causal_rules(spark, sf_dir):
+    x = M.causal_links(_movie(spark, sf_dir)[0], [((60,), (1, 2), "a long story", "a late event", (1, 60))])
+    return x.withColumn("evidence", F.array_join(F.col("evidence").cast("array<string>"), ","))
+
+
+@query(""" , c AS (SELECT movie_id, label, printf('CHARACTER_%03d', row_number() OVER (PARTITION BY movie_id ORDER BY min(idx), label)) AS character_id, min(idx) AS f, arg_min(sec, idx) AS s FROM tl GROUP BY movie_id, label)
+SELECT movie_id, character_id, CASE WHEN label <> 'error' THEN label END AS name, printf('Introduced at %.1fs (Event %d) in %s: do %s.', s, f, label, label) AS introduction,
+ 'Uncertain circumstances' AS conflict, 'Observed taking action across timeline events' AS major_decisions FROM c""")
+def character_arcs(spark, sf_dir):
+    a = M.arcs(*_movie(spark, sf_dir)[:3])
+    return a.select("movie_id", "character_id", "name", "introduction", "conflict", F.array_join("major_decisions", ",").alias("major_decisions"))
+
+
+@query()
+def story_document(spark, sf_dir):
+    events, characters, appearances, movies = _movie(spark, sf_dir)
+    s, heads = M.scenes(events, GAP), M.headers(events, movies)
+    leads = T.prominence(timeline(spark, sf_dir)).select("movie_id", "rank", F.col("label").alias("who"), "score", "n")
+    return M.story(heads, s, M.beats(s), leads, M.ambiguous(events)).withColumn("open_uncertainties", F.array_join("open_uncertainties", "\n"))
+
+
+@query()
+def script_segments(spark, sf_dir):
+    events, s, heads, p = _planned(spark, sf_dir)
+    return M.script(p, s, events, heads).select("movie_id", "segment", "text", "word_count", "seconds", "importance", "is_continuation")
+
+
+def _preview(spark, sf_dir):
+    events, s, heads, p = _planned(spark, sf_dir)
+    text = M.script(p, s, events, heads)
+    return text, M.clips(text, s, events, heads)
+
+
+@query()
+def clip_plan(spark, sf_dir):
+    return _preview(spark, sf_dir)[1]
+
+
+@query()
+def preview_manifest(spark, sf_dir):
+    return M.manifest(M.items(*_preview(spark, sf_dir), freezes=2))
+
+
+@query()
+def preview_captions(spark, sf_dir):
+    text, c = _preview(spark, sf_dir)
+    return M.captions(text, M.items(text, c))
