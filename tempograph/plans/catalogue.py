@@ -443,7 +443,7 @@ def _movie(spark, sf_dir):
     characters = ids.select("movie_id", "character_id", F.when(F.col("label") != "error", F.col("label")).alias("name"), "first_seen", "last_seen")
     appearances = t.join(ids.select("movie_id", "label", "character_id"), ["movie_id", "label"]).select("movie_id", "character_id", F.col("idx").alias("ord"), F.col("idx").alias("event"), "sec")
     movies = t.select("movie_id").distinct().select("movie_id", F.lit(69).alias("samples"), F.lit(2592000.0).alias("duration"))
-    return M.with_cast(M.ordered(events), characters, appearances), characters, appearances, movies
+    return documents.staged(M.with_cast(M.ordered(events), characters, appearances), "events"), characters, appearances, movies
 
 
 STORY = """ , mb AS (SELECT *, CASE WHEN lag(label) OVER w = label AND sec - lag(sec) OVER w <= 21600 THEN 0 ELSE 1 END AS b FROM tl WINDOW w AS (PARTITION BY movie_id ORDER BY idx)),
@@ -485,9 +485,9 @@ def story_beats(spark, sf_dir):
 
 def _planned(spark, sf_dir):
     events, characters, appearances, movies = _movie(spark, sf_dir)
-    scenes_ = M.scenes(events, GAP)
-    heads = M.headers(events, movies)
-    return events, scenes_, heads, M.plan(heads, M.beats(scenes_), M.causal_links(events))
+    scenes_ = documents.staged(M.scenes(events, GAP), "scenes")
+    heads = documents.staged(M.headers(events, movies), "headers")
+    return events, scenes_, heads, M.plan(heads, documents.staged(M.beats(scenes_), "beats"), M.causal_links(events))
 
 
 @query(
@@ -522,7 +522,7 @@ def character_arcs(spark, sf_dir):
 @query()
 def story_document(spark, sf_dir):
     events, characters, appearances, movies = _movie(spark, sf_dir)
-    s, heads = M.scenes(events, GAP), M.headers(events, movies)
+    s, heads = documents.staged(M.scenes(events, GAP), "scenes"), M.headers(events, movies)
     leads = T.prominence(timeline(spark, sf_dir)).select("movie_id", "rank", F.col("label").alias("who"), "score", "n")
     return M.story(heads, s, M.beats(s), leads, M.ambiguous(events)).withColumn("open_uncertainties", F.array_join("open_uncertainties", "\n"))
 
@@ -530,13 +530,13 @@ def story_document(spark, sf_dir):
 @query()
 def script_segments(spark, sf_dir):
     events, s, heads, p = _planned(spark, sf_dir)
-    return M.script(p, s, events, heads).select("movie_id", "segment", "text", "word_count", "seconds", "importance", "is_continuation")
+    return M.script(documents.staged(p, "plan"), s, events, heads).select("movie_id", "segment", "text", "word_count", "seconds", "importance", "is_continuation")
 
 
 def _preview(spark, sf_dir):
     events, s, heads, p = _planned(spark, sf_dir)
-    text = M.script(p, s, events, heads)
-    return text, M.clips(text, s, events, heads)
+    text = documents.staged(M.script(documents.staged(p, "plan"), s, events, heads), "script")
+    return text, documents.staged(M.clips(text, s, events, heads), "clips")
 
 
 @query()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,3 +27,12 @@ def field(json: Column, path: str, kind: str, default) -> Column:
 
 def write_documents(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", True).json(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A stage's output as a Parquet table in the folder that driver and executors share, read back: later stages that use it several times compute it once."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    path = f"{folder.rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
