@@ -1,9 +1,10 @@
 """Licence scan by a positional rare-token index.
 
 Templates are short licence notices, an index of (word, template, position). A word's rarity is its
-IDF over all scanned documents. Each template is looked up by its ``ANCHORS`` rarest words: every place
-of such a word in a file votes for (template, place - position), the postings are intersected at that
-relative position, and a template counts once all words of its mandatory key phrases stand there.
+IDF over all scanned documents. Each template is looked up by the ``ANCHORS`` rarest words of its mandatory
+key phrases: the places of the rarest one propose (template, place - position), and only those stay at which
+the postings of the other anchors have the same relative position. A template counts once all words of its
+mandatory key phrases stand there. As the anchors are mandatory themselves, the intersection loses no label.
 
 Everything is column expressions within the row: no shuffle of texts, no join. What is sent along is the
 index, whose size the template list bounds.
@@ -62,18 +63,27 @@ def word_idf(docs: DataFrame, vocabulary: list[str], text_col: str = "text") ->
     return {w: math.log((1 + n.get(" ", 0)) / (1 + n.get(w, 0))) + 0.1 for w in vocabulary}
 
 
+def _anchors(template: dict, idf: dict[str, float]) -> list[tuple[str, int]]:
+    """The rarest different words of the mandatory key phrases, each with its first place there."""
+    places = {}
+    for j in template["must"]:
+        places.setdefault(template["words"][j], j)
+    return sorted(places.items(), key=lambda x: (-idf[x[0]], x[0]))[:ANCHORS]
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score; one row for each input row.
 
     A null or empty text has no words: counts 0, places null, labels empty, score 0. Base places may
-    overlap and all count. ``score`` is the best template's share of matched IDF. Repeated rows repeat.
+    overlap and all count. ``score`` is the best share of matched IDF of a template whose anchors stand in place. Repeated rows repeat.
     """
     templates = _templates()
     vocabulary = sorted({w for t in templates for w in t["words"]})
     idf = word_idf(docs, vocabulary, text_col)
-    rare = [sorted(set(t["words"]), key=lambda w: (-idf[w], w))[:ANCHORS] for t in templates]
-    anchors = sorted({w for ws in rare for w in ws})
-    postings = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(k).alias("t"), F.lit(p).alias("p")) for k, t in enumerate(templates) for p, w in enumerate(t["words"]) if w in rare[k]])
+    rare = [_anchors(t, idf) for t in templates]
+    anchors = sorted({ws[0][0] for ws in rare})
+    entry = lambda w, p: F.struct(F.lit(w).alias("w"), F.lit(p).alias("p"))
+    postings = F.array(*[F.struct(F.lit(ws[0][0]).alias("w"), F.lit(k).alias("t"), F.lit(ws[0][1]).alias("p"), F.array(*[entry(*x) for x in ws[1:]]).alias("others")) for k, ws in enumerate(rare)])
     index = F.array(
         *[
             F.struct(
@@ -87,12 +97,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"))
     seen = F.transform("words", lambda w, i: F.when(w.isin(anchors), F.struct(i.alias("i"), w.alias("w"))))
     rows = rows.withColumn("seen", F.filter(seen, lambda h: h.isNotNull()))
-    votes = F.array_distinct(F.flatten(F.transform("seen", lambda h: F.transform(F.filter(postings, lambda p: p.w == h.w), lambda p: F.struct(p.t.alias("t"), (h.i - p.p).alias("at"))))))
+    stands = lambda i, w: F.coalesce(F.get(F.col("words"), i) == w, F.lit(False))
+    at_place = lambda h: F.filter(postings, lambda p: (p.w == h.w) & F.forall(p.others, lambda o: stands(h.i - p.p + o.p, o.w)))
+    votes = F.flatten(F.transform("seen", lambda h: F.transform(at_place(h), lambda p: F.struct(p.t.alias("t"), (h.i - p.p).alias("at")))))
     rows = rows.withColumn("votes", F.when(F.size("seen") > 0, votes).otherwise(F.array().cast("array<struct<t:int,at:int>>")))
 
     def verified(v):
         t = F.get(index, v.t)
-        hit = lambda x: F.coalesce(F.get(F.col("words"), v.at + x.j) == x.w, F.lit(False))
+        hit = lambda x: stands(v.at + x.j, x.w)
         return F.struct(
             t.label.alias("label"), t.base.alias("base"), v.at.alias("at"), F.forall(t.words, lambda x: ~x.must | hit(x)).alias("ok"), F.aggregate(t.words, F.lit(0.0), lambda acc, x: acc + F.when(hit(x), x.part).otherwise(0.0)).alias("share")
         )
