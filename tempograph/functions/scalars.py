@@ -93,7 +93,7 @@ def normalize_location(place: Column) -> Column:
 
 def compatible_locations(a: Column, b: Column) -> Column:
     """Equal when normalised, or with an informative word in common, or both about water."""
-    words = lambda x: F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit("[a-z0-9_]+"), F.lit(0))
+    words = lambda x: F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0))
     plain, water = F.array(*map(F.lit, PLAIN_WORDS)), F.array(*map(F.lit, WATER_WORDS))
     return (normalize_location(a) == normalize_location(b)) | F.arrays_overlap(F.array_except(words(a), plain), F.array_except(words(b), plain)) | (F.arrays_overlap(words(a), water) & F.arrays_overlap(words(b), water))
 
@@ -172,3 +172,16 @@ def wrap_caption(text: Column, width: int = 55) -> Column:
     half = F.floor(F.size(words) / 2).cast("int")
     halves = F.array(F.array_join(F.slice(words, 1, half), " "), F.array_join(F.slice(words, half + 1, F.size(words)), " "))
     return F.array_join(F.when(F.size(lines) > 2, halves).otherwise(lines), "\n")
+
+
+def rationale(name: Column, n: Column, total: Column, span: Column, ratio: Column, significance: Column) -> Column:
+    """Why a character is a candidate, in a sentence; numbers are rounded half up."""
+    who = F.coalesce(F.concat(F.lit("'"), F.nullif(name, F.lit("")), F.lit("'")), F.lit("Unnamed character"))
+    return F.format_string("%s appears in %d/%d analyzed events across a span of %.1fs (screen time ratio: %.1f%%) with average scene significance %.1f/10.", who, n, total, F.round(span, 1), F.round(ratio * 100, 1), F.round(significance, 1))
+
+
+def prompt(at: Column, said: Column, before: Column, most: int = 4) -> Column:
+    """What a provider is asked about a frame: its time, the lines said around it, and the last ``most`` lines of context (arrays of strings)."""
+    lines = lambda x, none: F.when(F.size(x) > 0, F.array_join(F.transform(x, lambda line: F.concat(F.lit("- "), line)), "\n")).otherwise(none)
+    start = F.greatest(F.lit(1), F.size(before) - most + 1)
+    return F.concat(F.lit("Time: "), at, F.lit("\nDialogue:\n"), lines(said, "No dialogue."), F.lit("\nBefore:\n"), lines(F.slice(before, start, most), "Nothing yet."))

@@ -553,3 +553,63 @@ def preview_manifest(spark, sf_dir):
 def preview_captions(spark, sf_dir):
     text, c = _preview(spark, sf_dir)
     return M.captions(text, M.items(text, c))
+
+
+@query(""" , f AS (SELECT p_partkey AS k, p_size AS n FROM part)
+SELECT k, CASE WHEN n % 4 = 0 THEN 0.0 WHEN n % 4 = 1 THEN round(n * 1000 / 1001.0::DOUBLE, 3) WHEN n % 4 = 2 THEN n::DOUBLE ELSE 0.0 END AS fps, CASE WHEN n % 2 = 0 THEN 'en' ELSE 'und' END AS language,
+ CASE WHEN n % 2 = 0 THEN 'female' WHEN n % 3 = 0 THEN 'male' ELSE 'unknown' END AS gender, CASE WHEN n % 2 = 0 THEN n ELSE 1280 END::INTEGER AS width, CASE WHEN n % 2 = 0 THEN 2 * n ELSE 720 END::INTEGER AS height,
+ CASE WHEN n % 3 = 0 THEN 'Ann ' || n END AS speaker, CASE WHEN n % 2 = 0 THEN n ELSE -1 END::INTEGER AS cast_ FROM f""")
+def media_scalars(spark, sf_dir):
+    n, text = F.col("n"), F.col("n").cast("string")
+    rate = F.when(n % 4 == 0, F.concat(text, F.lit("/0"))).when(n % 4 == 1, F.concat((n * 1000).cast("string"), F.lit("/1001"))).when(n % 4 == 2, text).otherwise("junk")
+    even, third = n % 2 == 0, n % 3 == 0
+    size = S.resolution(F.when(even, F.concat(text, F.lit("X"), (2 * n).cast("string"))).otherwise("wide"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("n")).select(
+        "k", S.parse_fps(rate).alias("fps"), S.filename_language(F.when(even, "Movie.EN.srt").otherwise("Movie.srt")).alias("language"),
+        S.gender(F.when(even, "Tall Woman").when(third, "old man").otherwise("PERSON_A")).alias("gender"), size["width"].alias("width"), size["height"].alias("height"),
+        S.vtt_speaker(F.when(third, F.concat(F.lit("<v.loud Ann "), text, F.lit(">Hi"))).otherwise("Hi")).alias("speaker"), S.safe_cast(F.when(even, text).otherwise("x"), "int", -1).alias("cast_"),
+    )
+
+
+def _norm(x: str) -> str:
+    cases = " ".join(f"WHEN {' OR '.join(f"contains(lower(trim({x})), '{w}')" for w in words)} THEN '{place}'" for words, place in S.LOCATION_RULES)
+    return f"CASE WHEN trim(coalesce({x}, '')) = '' THEN 'unspecified setting' {cases} ELSE trim({x}) END"
+
+
+def _said_words(x: str) -> str:
+    return f"regexp_extract_all(lower(coalesce({x}, '')), '[\\p{{L}}\\p{{N}}_]+')"
+
+
+@query(
+    f""" , c AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM conversations), w AS (SELECT *, {_said_words("text")} AS a, {_said_words("before")} AS b FROM c)
+SELECT conv_id, turn, {_norm("text")} AS place, {_norm("text")} = {_norm("before")} OR list_has_any(list_filter(a, lambda x: x NOT IN {tuple(S.PLAIN_WORDS)}), b) OR (list_has_any(a, {S.WATER_WORDS}) AND list_has_any(b, {S.WATER_WORDS})) AS compatible FROM w"""
+)
+def location_rules(spark, sf_dir):
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy(*[F.asc_nulls_last(c) for c in ("turn", "role", "text")]))
+    c = table(spark, sf_dir, "conversations").withColumn("before", before)
+    return c.select("conv_id", "turn", S.normalize_location(F.col("text")).alias("place"), S.compatible_locations(F.col("text"), F.col("before")).alias("compatible"))
+
+
+@query(""" , w AS (SELECT movie_id, count(*) AS total, max(sec) AS d FROM tl GROUP BY movie_id), o AS (SELECT movie_id, label, count(*) AS n, max(sec) - min(sec) AS span, avg(sig) AS sig FROM tl GROUP BY ALL)
+SELECT movie_id, label, printf('%s appears in %d/%d analyzed events across a span of %.1fs (screen time ratio: %.1f%%) with average scene significance %.1f/10.', CASE WHEN label = 'error' THEN 'Unnamed character' ELSE chr(39) || label || chr(39) END, n, total, round(span, 1), round(round(span / d, 3) * 100, 1), round(sig, 1)) AS rationale FROM o JOIN w USING (movie_id)""")
+def lead_rationale(spark, sf_dir):
+    p = T.prominence(timeline(spark, sf_dir))
+    name = F.when(F.col("label") != "error", F.col("label"))
+    return p.select("movie_id", "label", S.rationale(name, F.col("n"), F.col("events"), F.col("span"), F.col("screen_ratio"), F.col("sig") / F.col("k")).alias("rationale"))
+
+
+@query(""" , c AS (SELECT movie_id, idx, label, string_agg('- ' || label, chr(10)) OVER (PARTITION BY movie_id ORDER BY idx ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS b FROM tl)
+SELECT movie_id, idx, 'Time: ' || idx || chr(10) || 'Dialogue:' || chr(10) || CASE WHEN label = 'error' THEN 'No dialogue.' ELSE '- ' || label END || chr(10) || 'Before:' || chr(10) || coalesce(b, 'Nothing yet.') AS prompt FROM c""")
+def frame_prompt(spark, sf_dir):
+    t = T.rolling_context(timeline(spark, sf_dir), "label", 6)
+    said = F.when(F.col("label") != "error", F.array("label")).otherwise(F.array().cast("array<string>"))
+    return t.select("movie_id", "idx", S.prompt(F.col("idx").cast("string"), said, F.col("context")).alias("prompt"))
+
+
+@query()
+def pipeline_summary(spark, sf_dir):
+    events, s, heads, p = _planned(spark, sf_dir)
+    text = documents.staged(M.script(documents.staged(p, "plan"), s, events, heads), "script")
+    c = documents.staged(M.clips(text, s, events, heads), "clips")
+    characters = T.identities(timeline(spark, sf_dir)).select("movie_id", F.when(F.col("label") != "error", F.col("label")).alias("name"))
+    return M.summary(heads, characters, s, c, M.items(text, c)).withColumn("named", F.array_join("named", ","))

@@ -49,7 +49,7 @@ def one(spark, column):
         (lambda: S.gender(F.lit("tall woman")), "female"),
         (lambda: S.gender(F.lit("tall woman"), legacy=True), "male"),
         (lambda: S.padded_id("SCENE", F.lit(1234)), "SCENE_1234"),
-        (lambda: S.normalize_location(F.lit("A dark Forest")), "forest"),
+        (lambda: S.normalize_location(F.lit("A dark Forest")), "dark forest / lakeshore"),
         (lambda: S.compatible_locations(F.lit("rainy pavement"), F.lit("a boat")), True),
         (lambda: S.wrap_caption(F.lit("one two three four"), 8), "one two\nthree four"),
         (lambda: T.coverage(F.lit(10), F.lit(100), F.lit(0.0), F.lit(0.0)), "PARTIAL"),
