@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tempograph.__main__ import INPUTS, main
 from tempograph.functions import scalars as S
 from tempograph.operators import timeline as T
 from tempograph.plans import stages as M
@@ -98,3 +99,24 @@ def test_wrap(spark, text, width, want):
 
 def test_blank_caption(spark):
     assert spark.range(1).select(S.caption_chunks(F.lit("")).alias("x")).first()["x"] == [""]
+
+
+@pytest.mark.parametrize("kind", ["json", "parquet"])
+def test_command_line(spark, tmp_path, capsys, kind):
+    source, target = str(tmp_path / "in"), tmp_path / "out"
+    assert main([source, str(target), "--format", kind]) == 2
+    data = {
+        "events": [("m", k, 40.0 * k, "hall", "walk", ["Ann"], f"step {k}", None, 5, "low") for k in range(1, 9)],
+        "characters": [("m", "CHARACTER_001", "Ann", 40.0, 320.0)],
+        "appearances": [("m", "CHARACTER_001", k, k, 40.0 * k) for k in range(1, 9)],
+        "movies": [("m", 8, 400.0)],
+    }
+    for name, rows in data.items():
+        getattr(spark.createDataFrame(rows, INPUTS[name]).write, kind)(f"{source}/{name}")
+    assert main([source, str(target), "--format", kind, "--dry-run"]) == 0 and not target.exists()
+    assert "scenes 2" in capsys.readouterr().out
+    assert main([source, str(target), "--format", kind]) == 0
+    assert main([source, str(target), "--format", kind]) == 3 and main([source, str(target), "--format", kind, "--force"]) == 0
+    read = lambda name: getattr(spark.read, kind)(str(target / name))
+    assert read("summary").select("status", "n_events", "n_scenes").first() == ("SUCCESS", 8, 2)
+    assert read("leads").first()["who"] == "Ann" and read("validation").where("not valid").count() == 0
