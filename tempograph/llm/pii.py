@@ -1,9 +1,9 @@
 """Personal data by regular expressions and bootstrapped contextual extraction.
 
 Seeds are the base entities. The word before an entity is a lexical pattern; patterns and instances form
-a graph. A pattern's score is the mass of its instances' scores over how often its word occurs at all,
-an instance's is the noisy-or of its patterns (1 for seeds); both are recomputed for ``ROUNDS`` rounds
-as DataFrames. Patterns of high score with several seeds discover identifiers that no expression finds.
+a graph. A pattern's score is the mass of its instances' scores over all distinct contexts of its word: its
+instances, and the tokens that follow the word elsewhere. So copies of texts don't count. An instance's is
+the noisy-or of its patterns (1 for seeds); both are recomputed for ``ROUNDS`` rounds as DataFrames. Patterns of high score with several seeds discover identifiers that no expression finds.
 
 Everything is DataFrame functions. Texts are not shuffled; what is stored and joined are the entities.
 """
@@ -26,6 +26,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Identifiers that may be discovered: one token with a digit in its first 30 places, and 5 digits or more.
 TOKEN = r"(?<![A-Za-z0-9._+@/-])(?=[A-Za-z._+@/-]{0,30}[0-9])[A-Za-z0-9][A-Za-z0-9._+@/-]{5,60}+(?![A-Za-z0-9._+@/-])"
 MIN_DIGITS, ROUNDS, SUPPORT, CONFIDENT, SMOOTH = 5, 3, 5, 0.7, 2.0
+#: Characters by which tokens after a word are told apart.
+AHEAD = 256
 
 
 def _luhn(m: Column) -> Column:
@@ -55,14 +57,32 @@ def _before(text: Column, start: Column) -> Column:
     return F.lower(F.regexp_extract(near, r"(\S+)\s+$", 1))
 
 
+def _after(text: Column, start: Column) -> Column:
+    """The token that begins at a place, in lower case."""
+    return F.lower(F.regexp_extract(F.substring(text, start + 1, F.lit(AHEAD)), r"^\S+", 0))
+
+
 def _found(docs: DataFrame) -> DataFrame:
-    """Of each row: doc_id, a hash of its text, the base spans by kind, and entities with their patterns."""
+    """Of each row: doc_id, a hash of its text, the base spans by kind, entities with their patterns, and the places where entities start."""
     rows = docs.select("doc_id", whole_text(F.col("text")).alias("text")).withColumn("h", F.xxhash64("text"))
     rows = rows.select("*", *[c.alias(k) for k, c in base_spans(F.col("text")).items()], F.filter(find(F.col("text"), TOKEN, F.col("text").rlike("[0-9]")), lambda s: digits(s["m"]) >= MIN_DIGITS).alias("tokens"))
     rows = rows.withColumn("seeds", F.concat(*KINDS))
     entity = lambda seed: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lower(s["m"]).alias("instance"), _before(F.col("text"), s["start"]).alias("pattern"), F.lit(seed).alias("seed"))
     entities = F.filter(F.concat(F.transform("seeds", entity(True)), F.transform(apart(F.col("tokens"), F.col("seeds")), entity(False))), lambda e: e["pattern"] != "")
-    return rows.select("doc_id", "h", *[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(k) for k in KINDS], entities.alias("entities"))
+    rows = rows.withColumn("entities", entities)
+    heads = F.transform(F.array_distinct(F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["pattern"].alias("pattern")))), lambda e: F.struct(e["pattern"].alias("pattern"), _after(F.col("text"), e["start"]).alias("next")))
+    return rows.select("doc_id", "h", *[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(k) for k in KINDS], "entities", heads.alias("heads"))
+
+
+def _contexts(docs: DataFrame, found: DataFrame, words: DataFrame, edges: DataFrame) -> DataFrame:
+    """How many distinct contexts each word has: pattern, count. An occurrence that no entity follows counts by its next token."""
+    tokens = docs.select(F.split(F.lower(whole_text(F.col("text"))), r"\s+").alias("w"))
+    pairs = tokens.select(F.explode(F.arrays_zip(F.col("w").alias("pattern"), F.slice("w", F.lit(2), F.size("w")).alias("next"))).alias("p")).select("p.pattern", F.left(F.coalesce("p.next", F.lit("")), F.lit(AHEAD)).alias("next"))
+    heads = found.select(F.explode("heads").alias("p")).select("p.*")
+    said = [x.join(few(words), "pattern", "left_semi").groupBy("pattern", "next").count().withColumn("count", F.col("count") * sign) for x, sign in ((pairs, 1), (heads, -1))]
+    plain = said[0].unionByName(said[1]).groupBy("pattern", "next").agg(F.sum("count").alias("count")).where("count > 0").groupBy("pattern").count()
+    instances = edges.join(few(words), "pattern", "left_semi").groupBy("pattern").count()
+    return plain.unionByName(instances).groupBy("pattern").agg(F.sum("count").alias("count"))
 
 
 def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -74,7 +94,7 @@ def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
     nothing = each.select("doc_id", "h", F.array(F.struct("start", "end")).alias("extra")).limit(0)
     if words.isEmpty():
         return nothing
-    said = docs.select(F.explode(F.split(F.lower(whole_text(F.col("text"))), r"\s+")).alias("pattern")).join(few(words), "pattern", "left_semi").groupBy("pattern").count()
+    said = _contexts(docs, found, words, edges)
     edges = stored(edges.join(said, "pattern"), "pii-graph")
     scores = edges.select("instance", F.col("seed").cast("double").alias("score")).groupBy("instance").agg(F.max("score").alias("score"))
     for _ in range(ROUNDS):
