@@ -5,14 +5,12 @@ chunks of two adjacent blocks, each chunk overlapping the next by one block, so
 the whole document. The chunks' features are combined by their mean and their maximum, and a logistic
 layer gives one probability.
 
-Training takes at most ``SAMPLE`` labelled documents (chosen by a hash of their id) and at most
-``CROPS`` chunks of each, from hashed places of the whole text; this bounds what reaches the driver.
+Training takes at most ``SAMPLE`` labelled documents (chosen by a hash of their id) and all chunks of
+each, the same that scoring pools; activations are made for ``SPAN`` chunks at a time.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,19 +20,23 @@ from .common import held_out, in_frames, table
 
 BLOCK, WIDTH, FILTERS = 256, 6, 24
 CHUNK = 2 * BLOCK
-SAMPLE, CROPS, EPOCHS, BATCH, RATE = 4000, 4, 12, 64, 0.01
+SAMPLE, EPOCHS, BATCH, RATE, SPAN = 4000, 12, 64, 0.01, 256
 THRESHOLD = 0.3
 
 
-def _crops(batches):
+def _bytes(batches):
     for pdf in batches:
-        out = []
-        for i, text, y in zip(pdf["doc_id"], pdf["text"], pdf["y"], strict=True):
-            raw = (text or "").encode()
-            last = max(0, len(raw) - CHUNK)
-            places = range(1) if not last else sorted({zlib.crc32(f"{i}:{k}".encode()) % (last + 1) for k in range(CROPS)})
-            out += [(i, y, min(CHUNK, len(raw) - p), raw[p : p + CHUNK + WIDTH - 1]) for p in places]
-        yield pd.DataFrame(out, columns=["doc_id", "y", "n", "raw"])
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "raw": [(t or "").encode() for t in pdf["text"]]})
+
+
+def _chunks(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes with room to read chunks at any place, and of each chunk: where it starts, its valid places, its document."""
+    flat = np.frombuffer(b"".join(r + bytes(WIDTH - 1) for r in raws) + bytes(CHUNK), np.uint8)
+    size = np.array([len(r) for r in raws], np.int64)
+    count = np.maximum(-(-size // BLOCK) - 1, 1)
+    doc = np.repeat(np.arange(len(raws)), count)
+    place = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * BLOCK
+    return flat, np.repeat(np.cumsum(size + WIDTH - 1) - size - WIDTH + 1, count) + place, np.minimum(CHUNK, size[doc] - place), doc
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
@@ -51,8 +53,22 @@ class Network:
         rng = np.random.default_rng(seed)
         self.p = {"w": rng.normal(0, 0.15, (WIDTH, 256, FILTERS)).astype(np.float32), "b": np.zeros(FILTERS, np.float32), "v": rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32), "c": np.zeros(1, np.float32)}
 
-    def fit(self, x: np.ndarray, n: np.ndarray, doc: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> Network:
-        """x: (chunks, CHUNK + WIDTH - 1) bytes; n: valid places; doc: ascending document of each chunk; y by document."""
+    def pooled(self, x: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each chunk's largest activation by filter, and the activation."""
+        p, at, m = self.p, np.zeros((len(start), FILTERS), np.int64), np.zeros((len(start), FILTERS), np.float32)
+        for s in range(0, len(start), SPAN):
+            part = slice(s, s + SPAN)
+            xb = x[start[part, None] + np.arange(CHUNK + WIDTH - 1)]
+            z = np.broadcast_to(p["b"], (len(xb), CHUNK, FILTERS)).copy()
+            for k in range(WIDTH):
+                z += p["w"][k][xb[:, k : k + CHUNK]]
+            z[np.arange(CHUNK)[None, :] >= np.maximum(n[part], 1)[:, None]] = -1e9
+            at[part] = z.argmax(1)
+            m[part] = np.maximum(np.take_along_axis(z, at[part, None], 1)[:, 0], 0)
+        return at, m
+
+    def fit(self, x: np.ndarray, start: np.ndarray, n: np.ndarray, doc: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> Network:
+        """x: all bytes; start, n, doc: place, valid places and ascending document of each chunk; y by document."""
         rng, p = np.random.default_rng(11), self.p
         mom = {k: (np.zeros_like(a), np.zeros_like(a)) for k, a in p.items()}
         first, step = np.searchsorted(doc, np.arange(len(y) + 1)), 0
@@ -61,13 +77,7 @@ class Network:
                 rows = np.concatenate([np.arange(first[d], first[d + 1]) for d in part])
                 sizes = first[part + 1] - first[part]
                 starts, owner = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(part)), sizes)
-                xb = x[rows]
-                z = np.broadcast_to(p["b"], (len(rows), CHUNK, FILTERS)).copy()
-                for k in range(WIDTH):
-                    z += p["w"][k][xb[:, k : k + CHUNK]]
-                z[np.arange(CHUNK)[None, :] >= np.maximum(n[rows], 1)[:, None]] = -1e9
-                at = z.argmax(1)
-                m = np.maximum(np.take_along_axis(z, at[:, None], 1)[:, 0], 0)
+                at, m = self.pooled(x, start[rows], n[rows])
                 mean, top = np.add.reduceat(m, starts) / sizes[:, None], np.maximum.reduceat(m, starts)
                 feats = np.concatenate([mean, top], 1)
                 g = (1 / (1 + np.exp(-np.clip(feats @ p["v"] + p["c"], -30, 30))) - y[part]).astype(np.float32) / len(part)
@@ -76,7 +86,7 @@ class Network:
                 grad = {"v": feats.T @ g + 1e-4 * p["v"], "c": np.array([g.sum()]), "b": dm.sum(0), "w": np.zeros_like(p["w"])}
                 filters = np.broadcast_to(np.arange(FILTERS), at.shape)
                 for k in range(WIDTH):
-                    np.add.at(grad["w"][k], (np.take_along_axis(xb, at + k, 1), filters), dm)
+                    np.add.at(grad["w"][k], (x[start[rows, None] + at + k], filters), dm)
                 step += 1
                 for k, a in p.items():
                     m1, m2 = mom[k]
@@ -107,16 +117,11 @@ class Network:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network:
     """Fit on the bounded sample. Without labels the network stays as it began."""
-    rows = training_rows(docs, labels, label, SAMPLE).mapInPandas(_crops, "doc_id long, y int, n int, raw binary").toPandas()
+    rows = training_rows(docs, labels, label, SAMPLE).mapInPandas(_bytes, "doc_id long, y int, raw binary").toPandas()
     if not len(rows):
         return Network()
-    rows = rows.sort_values(["doc_id", "n", "raw"], ignore_index=True)
-    ids, doc = np.unique(rows["doc_id"].to_numpy(), return_inverse=True)
-    x = np.zeros((len(rows), CHUNK + WIDTH - 1), np.uint8)
-    for i, raw in enumerate(rows["raw"]):
-        x[i, : len(raw)] = np.frombuffer(raw, np.uint8)
-    y = rows.groupby("doc_id")["y"].first().reindex(ids).to_numpy().astype(np.float32)
-    return Network().fit(x, rows["n"].to_numpy(), doc, y)
+    rows = rows.sort_values(["doc_id", "y", "raw"], ignore_index=True)
+    return Network().fit(*_chunks(rows["raw"].tolist()), rows["y"].to_numpy(np.float32))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
