@@ -6,8 +6,8 @@ document labels alone, by gradient through the noisy-or over the features that s
 in toxic documents, with an L1 step that leaves the rest without weight. The sentence scores then locate
 what offends.
 
-Training takes at most ``SAMPLE`` labelled documents (chosen by a hash of their id) and at most
-``SENTENCES`` sentences of each (at even distances over the whole text); scoring reads everything.
+Training takes at most ``SAMPLE`` labelled documents (chosen by a hash of their id) and all sentences
+of each: those with a screened feature, and the number of the others.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import held_out, stored, table
 from .quality import training_rows
 
-SAMPLE, SENTENCES, MIN_DOCS, RATIO, STEPS, RATE, L1 = 8000, 400, 4, 8.0, 250, 0.1, 1e-4
+SAMPLE, MIN_DOCS, RATIO, STEPS, RATE, L1 = 8000, 4, 8.0, 250, 0.1, 1e-4
 #: Lengths of the word beginnings that count as features.
 STEMS = (3, 4, 5, 6)
 #: Words whose features are remembered at once.
@@ -41,7 +41,6 @@ def _bags(batches):
         out = []
         for i, text, y in zip(pdf["doc_id"], pdf["text"], pdf["y"], strict=True):
             bag = SENTENCE.findall(text or "")
-            bag = bag if len(bag) <= SENTENCES else [bag[k * len(bag) // SENTENCES] for k in range(SENTENCES)]
             out.append((i, y, [" ".join(sorted(set(WORD.findall(s.lower())))) for s in bag]))
         yield pd.DataFrame(out, columns=["doc_id", "y", "bag"])
 
