@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import ctypes
 import string
+import sys
+import tempfile
+import types
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
@@ -18,19 +23,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """This application's folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where that is unset, a local session gets a folder of its own; on a cluster it must be set, since a folder of one machine loses rows.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = f"{tempfile.gettempdir()}/tempograph-checkpoints"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back.
 
-    Unlike localCheckpoint the copy survives the loss of executors.
+    Unlike localCheckpoint the copy survives the loss of executors. The caller removes it by ``drop`` once nothing reads it any more, or
+    all of an application's copies by ``drop_stored``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop(*frames: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for df in frames:
+        _remove(df.sparkSession, df.stored_at)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Remove all that this application has stored; results that weren't written yet can't be read after it."""
+    _remove(spark, shared_dir(spark))
 
 
 #: Rows of ids or digests that may be broadcast, some 100 bytes each; beyond, a shuffled join does it.
@@ -57,15 +89,15 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
-#: Rows of the frames that Python gets and returns.
+#: Rows of the slices of Arrow batches that Python works on at a time.
 FRAME = 500
 
 
 def slices(batches, rows: int = FRAME):
-    """Smaller frames, so that a worker holds the results of few rows at a time."""
-    for pdf in batches:
-        for k in range(0, len(pdf), rows):
-            yield pdf.iloc[k : k + rows]
+    """Slices of record batches, so that a worker holds the results of few rows at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
 
 
 def give_back() -> None:
@@ -75,14 +107,42 @@ def give_back() -> None:
         trim(0)
 
 
-def in_frames(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInPandas`` for texts, bounded in memory: frames of at most ``FRAME`` rows, by the session's setting for Arrow batches, and
-    freed memory goes back at the end of a task, since idle workers live on beside the next stage.
+def in_frames(df: DataFrame, function, schema: str | StructType, rows: int = FRAME) -> DataFrame:
+    """``mapInArrow`` for texts: ``function`` gets slices of at most ``rows`` rows and yields record batches or dicts of columns.
+
+    Columns stay Arrow, so a null beside an id never turns ids to floats. Freed memory goes back at the end of a task, since idle workers
+    live on beside the next stage.
     """
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    fields = to_arrow_schema(kind)
 
     def run(batches):
-        yield from function(slices(batches))
+        for out in function(slices(batches, rows)):
+            yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_arrays([c if isinstance(c := out[f.name], pa.Array) else pa.array(c, f.type) for f in fields], schema=fields)
         give_back()
 
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAME))
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, kind)
+
+
+def per_worker(key: str, make):
+    """A value that the tasks of one Python worker share, in a module of its own as functions come by value for each task."""
+    values = sys.modules.setdefault("tempograph_worker_values", types.ModuleType("tempograph_worker_values")).__dict__
+    if key not in values:
+        values[key] = make()
+    return values[key]
+
+
+def salted_to(many: DataFrame, one: DataFrame, key: str, spread: Column, salts: int = 64) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has a row at most for each key, with no task getting all rows of a frequent key.
+
+    Rows of ``many`` are dealt over ``salts`` by ``spread``; each row of ``one`` is copied to the salts that its key has, known from a
+    partially aggregated bit mask, so a rare key is copied once.
+    """
+    marked = many.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    masks = marked.groupBy(key).agg(F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
+    return marked.join(one.join(masks, key).withColumn("salt", spread_out(salts)).drop("mask"), [key, "salt"]).drop("salt")
+
+
+def spread_out(salts: int = 64) -> Column:
+    """One row for each salt in a mask."""
+    return F.explode(F.expr(f"filter(sequence(0, {salts - 1}), s -> shiftrightunsigned(mask, s) & 1 = 1)"))

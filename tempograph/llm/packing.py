@@ -10,16 +10,14 @@ The stored table fixes what lies in which partition, so a lost executor changes
 
 from __future__ import annotations
 
-import functools
 import zlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import PIECE, Bpe, vocabulary_path
-from .common import in_frames, stored, table
+from .common import in_frames, per_worker, stored, table
 
 WINDOW, END = 1024, 0
 
@@ -54,45 +52,41 @@ class Ids:
         if self.fast:
             try:
                 return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
-            except BaseException as error:  # the library panics on runs beyond its limits
-                if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
+            except BaseException as error:  # beyond its limits on runs the library panics, which isn't an Exception
+                if type(error).__name__ != "PanicException" and not isinstance(error, (ValueError, RuntimeError)):
                     raise
         return np.array(self.by_tokenizers(text), "<u4").tobytes()
 
 
-@functools.lru_cache(maxsize=1)
-def known_ids(path: str) -> Ids:
-    """One for each worker process, whose tasks share it."""
-    return Ids(path)
-
-
 def _tokenize(path: str):
     def run(batches):
         from pyspark import TaskContext
 
-        ids, at, part = known_ids(path), 0, TaskContext.get().partitionId()
-        for pdf in batches:
-            out = []
-            for i, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                raw = ids(text or "") + END.to_bytes(4, "little")
-                out.append((i, part, at, len(raw) // 4, raw))
-                at += len(raw) // 4
-            yield pd.DataFrame(out, columns=["doc_id", "part", "at", "n", "ids"])
+        ids, at, part = per_worker(f"ids {path}", lambda: Ids(path)), 0, TaskContext.get().partitionId()
+        for batch in batches:
+            raw = [ids(t or "") + END.to_bytes(4, "little") for t in batch["text"].to_pylist()]
+            n = np.array([len(x) // 4 for x in raw], np.int64)
+            yield {"doc_id": batch["doc_id"], "part": np.full(len(n), part, np.int32), "at": at + np.cumsum(n) - n, "n": n, "ids": raw}
+            at += int(n.sum())
 
     return run
 
 
+COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
 def _cut(window: int):
     def run(batches):
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for r in pdf.itertuples(index=False):
-                start, place = 0, r.place
-                while start < r.n:
-                    size = min(r.n - start, window - place % window)
-                    out.append((r.doc_id, start, size, zlib.crc32(r.ids[4 * start : 4 * (start + size)]), r.n, place // window, place % window))
+            for doc, n, ids, place in zip(*[batch[c].to_pylist() for c in ("doc_id", "n", "ids", "place")], strict=True):
+                start = 0
+                while start < n:
+                    size = min(n - start, window - place % window)
+                    out.append((doc, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), n, place // window, place % window))
                     start, place = start + size, place + size
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+            if out:
+                yield dict(zip(COLUMNS, zip(*out, strict=True), strict=True))
 
     return run
 
@@ -101,10 +95,10 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Each document's ids end with id 0, so a null or empty text is one id. Sequences are full but the last.
-    Repeated rows are packed each by itself; other columns are ignored. Empty input gives no rows.
+    Repeated rows are packed each by itself, null ids stay null; other columns are ignored. Empty input gives no rows.
     """
     path = path or vocabulary_path()
-    rows = in_frames(docs.select("doc_id", "text"), _tokenize(path), "doc_id long, part int, at long, n long, ids binary")
+    rows = in_frames(docs.select(F.col("doc_id").cast("long"), "text"), _tokenize(path), "doc_id long, part int, at long, n long, ids binary")
     rows = stored(rows, "pack")
     totals = rows.groupBy("part").agg(F.max(F.col("at") + F.col("n")).alias("total"))
     # One row for each partition of the input: a few thousand at most, however much text there is.
