@@ -9,8 +9,12 @@ shingle hashes. Texts of equal sets form one class, so that copies never meet ea
 the members are compared with its centre, the one that shares most buckets with others. Once the
 components of these links are known, only buckets that still hold several components go on: their members
 outside the centre's component meet all others, in tiles of bounded size, where products of 0/1 matrices
-count the intersections. Within one component no pair is needed, so that large groups of near copies cost
-a star and not a square, and what is emitted are links, not pairs.
+count the intersections; each pair of tiles is a row of its own, dealt by (bucket, tile). Within one
+component no pair is needed, so that large groups of near copies cost a star and not a square, and what is
+emitted are links, not pairs.
+
+A bucket, a centre or a component's root may be shared by a large part of all documents. What is told of
+it is aggregated before the shuffle, and goes back to its members by (key, salt), so that no task gets all.
 
 A pair of similarity s shares no bucket with probability (1 - s^ROWS)^BANDS, 5e-7 at 0.8.
 """
@@ -18,12 +22,11 @@ A pair of similarity s shares no bucket with probability (1 - s^ROWS)^BANDS, 5e-
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import few, in_frames, stored, table
+from .common import drop, few, in_frames, salted_to, spread_out, stored, table
 
 BANDS, ROWS = 48, 6
 SALTS = 64
@@ -78,20 +81,18 @@ def bands(coordinates: np.ndarray) -> np.ndarray:
 
 def _sketches(width: int):
     def run(batches):
-        for pdf in batches:
-            out = []
-            for i, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                x = shingles(text, width)
-                out.append((i, len(x), xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None, bands(sketch(x)) if len(x) else []))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "bands"])
+        for batch in batches:
+            sets = [shingles(t, width) for t in batch["text"].to_pylist()]
+            digests = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
+            yield {"doc_id": batch["doc_id"], "n_shingles": list(map(len, sets)), "digest": digests, "bands": [bands(sketch(x)) if len(x) else [] for x in sets]}
 
     return run
 
 
 def _sets(width: int):
     def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["doc_id"], "set": [shingles(t, width).view(np.int64) for t in pdf["text"]]})
+        for batch in batches:
+            yield {"id": batch["doc_id"], "set": [shingles(t, width).view(np.int64) for t in batch["text"].to_pylist()]}
 
     return run
 
@@ -138,35 +139,55 @@ def _links(percent: int):
                 yield m[i]["id"], o[j]["id"]
 
     def run(batches):
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for same, left, right in zip(pdf["same"], pdf["left"], pdf["right"], strict=True):
+            for same, left, right in zip(*[batch[c].to_pylist() for c in ("same", "left", "right")], strict=True):
                 out += links(left, right)
                 if not same:
                     out += links(right, left)
-            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+            if out:
+                yield dict(zip("ab", zip(*out, strict=True), strict=True))
 
     return run
 
 
 def _packed_sets(width: int):
     def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["doc_id"], "set": [shingles(t, width).tobytes() for t in pdf["text"]]})
+        for batch in batches:
+            yield {"id": batch["doc_id"], "set": [shingles(t, width).tobytes() for t in batch["text"].to_pylist()]}
 
     return run
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), "text").join(few(ids), "doc_id", "left_semi")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union, stored."""
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union, stored. Any number of pairs may share their a."""
     pairs = stored(pairs, "pairs")
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    sets = in_frames(docs.select("doc_id", "text").join(few(ids), "doc_id", "left_semi"), _sets(width), "id long, set array<long>")
-    sets = stored(sets, "sets")
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    sets = stored(in_frames(_texts(docs, ids), _sets(width), "id long, set array<long>"), "sets")
+    joined = salted_to(pairs, sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a", F.col("b"), SALTS).join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
     na, nb = F.size("sa"), F.size("sb")
     near = joined.where(100 * F.least(na, nb) >= percent * F.greatest(na, nb)).withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    return stored(near.where(100 * F.col("both") >= percent * (na + nb - F.col("both"))).select("a", "b").distinct(), "edges")
+    edges = stored(near.where(100 * F.col("both") >= percent * (na + nb - F.col("both"))).select("a", "b").distinct(), "edges")
+    drop(pairs, ids, sets)
+    return edges
+
+
+def _salt(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
+
+
+MASK = "bit_or(shiftleft(1L, salt))"
+
+
+def _with_lowest(edges: DataFrame) -> DataFrame:
+    """Each edge (u, v) with m, the smallest of u and all its neighbours."""
+    marked = edges.withColumn("salt", _salt("v"))
+    low = marked.groupBy("u").agg(F.min("v").alias("m"), F.expr(MASK).alias("mask")).select("u", F.least("u", "m").alias("m"), spread_out(SALTS).alias("salt"))
+    return marked.join(low, ["u", "salt"]).select("u", "v", "m")
 
 
 def components(edges: DataFrame, name: str = "stars") -> DataFrame:
@@ -176,11 +197,10 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     state = mark(e)
     while state[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
-        e = stored(small.where("u <> v").distinct(), name)
+        large = _with_lowest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = _with_lowest(large).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
+        before, e = e, stored(small.where("u <> v").distinct(), name)
+        drop(before)
         if (now := mark(e)) == state:
             break
         state = now
@@ -195,49 +215,56 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     without an id link with nothing and have a null component unless their set is another row's. Repeated
     rows repeat. Empty input gives no rows; other columns are ignored.
     """
-    rows = stored(in_frames(docs.select("doc_id", "text"), _sketches(width), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketches")
-    salted = rows.where("n_shingles > 0").select("doc_id", "digest", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    classes = salted.groupBy("digest", "salt").agg(F.min("doc_id").alias("rep")).groupBy("digest").agg(F.min("rep").alias("rep"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
+    rows = stored(in_frames(docs.select(F.col("doc_id").cast("long"), "text"), _sketches(width), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketches")
+    salted = rows.where("n_shingles > 0").select("doc_id", "digest", _salt("doc_id").alias("salt"))
+    classes = salted.groupBy("digest", "salt").agg(F.min("doc_id").alias("rep")).groupBy("digest").agg(F.min("rep").alias("rep"), F.expr(MASK).alias("mask"))
     classes = stored(classes, "classes")
 
     heads = rows.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    placed = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    bucket = Window.partitionBy("key")
-    shared = placed.select("*", F.count(F.lit(1)).over(bucket).alias("members"), (F.min("id").over(bucket) != F.max("id").over(bucket)).alias("several")).where("several").drop("several")
-    shared = stored(shared, "buckets")
-    degree = shared.groupBy("id").agg(F.sum("members").alias("degree"))
-    shared = shared.join(degree, "id").select("id", "n", "key", (-F.max(F.struct("degree", (-F.col("id")).alias("neg"))).over(bucket)["neg"]).alias("centre"))
-    shared = stored(shared, "centres")
-    edges = verify(shared.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), docs, width, percent)
+    placed = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), _salt("doc_id").alias("salt"), F.explode("bands").alias("key"))
+    crowds = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("low"), F.max("id").alias("high"), F.expr(MASK).alias("mask")).where("low <> high")
+    shared = stored(placed.join(crowds.select("key", "members", spread_out(SALTS).alias("salt")), ["key", "salt"]), "buckets")
+    ranked = stored(shared.join(shared.groupBy("id").agg(F.sum("members").alias("degree")), "id"), "ranked")
+    centres = ranked.groupBy("key").agg((-F.max(F.struct("degree", (-F.col("id")).alias("neg")))["neg"]).alias("centre"), F.expr(MASK).alias("mask"))
+    members = stored(ranked.join(centres.select("key", "centre", spread_out(SALTS).alias("salt")), ["key", "salt"]).select("id", "n", "key", "salt", "centre"), "centres")
+    drop(shared, ranked)
+    edges = verify(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), docs, width, percent)
     stars = components(edges)
 
-    owned = shared.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", "n", "key", "centre", F.coalesce("root", "id").alias("root"))
+    owned = members.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", "n", "key", "salt", "centre", F.coalesce("root", "id").alias("root"))
     open_keys = owned.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("id") == F.col("centre"), F.col("root"))).alias("main"), F.count(F.lit(1)).alias("members"), F.sum("n").alias("total")
+        F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("id") == F.col("centre"), F.col("root"))).alias("main"), F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"), F.expr(MASK).alias("mask")
     )
-    open_keys = open_keys.where("low <> high").select("key", "main", F.greatest(F.ceil(F.col("members") / TILE), F.ceil(F.col("total") / TILE_SHINGLES)).alias("tiles"))
-    mixed = owned.where("id <> centre").join(open_keys, "key").select("key", "id", "root", (F.col("root") != F.col("main")).alias("outside"), F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"))
+    open_keys = open_keys.where("low <> high").select("key", "main", F.greatest(F.ceil(F.col("members") / TILE), F.ceil(F.col("total") / TILE_SHINGLES)).alias("tiles"), spread_out(SALTS).alias("salt"))
+    mixed = owned.where("id <> centre").join(open_keys, ["key", "salt"]).select("key", "id", "root", (F.col("root") != F.col("main")).alias("outside"), F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"), "tiles")
     mixed = stored(mixed, "mixed")
     if not mixed.isEmpty():
-        sets = docs.select("doc_id", "text").join(few(stored(mixed.select(F.col("id").alias("doc_id")).distinct(), "ids")), "doc_id", "left_semi")
-        sets = stored(in_frames(sets, _packed_sets(width), "id long, set binary"), "packed")
-        tiles = mixed.join(sets, "id").groupBy("key", "tile").agg(F.max("outside").alias("any"), F.collect_list(F.struct("id", "root", "outside", "set")).alias("members"))
-        left, right = tiles.select("key", F.col("tile").alias("t"), F.col("any").alias("x"), F.col("members").alias("left")), tiles.select("key", "tile", "any", F.col("members").alias("right"))
-        meet = left.join(right, "key").where((F.col("t") <= F.col("tile")) & (F.col("x") | F.col("any")))
-        links = stored(meet.select((F.col("t") == F.col("tile")).alias("same"), "left", "right").mapInPandas(_links(percent), "a long, b long").distinct(), "links")
+        ids = stored(mixed.select(F.col("id").alias("doc_id")).distinct(), "ids")
+        sets = stored(in_frames(_texts(docs, ids), _packed_sets(width), "id long, set binary"), "packed")
+        tiles = mixed.join(sets, "id").groupBy("key", "tile", "tiles").agg(F.max("outside").alias("any"), F.collect_list(F.struct("id", "root", "outside", "set")).alias("members"))
+        right = tiles.select("key", "tile", "any", F.col("members").alias("right"))
+        left = tiles.select("key", F.col("tile").alias("t"), F.col("any").alias("x"), F.col("members").alias("left"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("tile"))
+        meet = left.join(right, ["key", "tile"]).where(F.col("x") | F.col("any")).select((F.col("t") == F.col("tile")).alias("same"), "left", "right")
+        links = stored(in_frames(meet, _links(percent), "a long, b long", 1).distinct(), "links")
+        drop(ids, sets)
         if not links.isEmpty():
             stars = components(links.union(stars.select(F.col("v").alias("a"), F.col("u").alias("b"))), "stars2")
+        drop(links)
+    drop(members, mixed, edges)
 
     roots = classes.join(stars.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left")
-    roots = roots.select("digest", F.coalesce("root", "rep").alias("component_id"), F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftrightunsigned(mask, s) & 1 = 1)")).alias("salt"))
-    own = rows.select("doc_id", "n_shingles", "digest", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    roots = roots.select("digest", F.coalesce("root", "rep").alias("component_id"), spread_out(SALTS).alias("salt"))
+    own = rows.select("doc_id", "n_shingles", "digest", _salt("doc_id").alias("salt"))
     out = own.where("n_shingles > 0").join(roots, ["digest", "salt"]).select("doc_id", "n_shingles", "component_id")
     out = out.union(own.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each group."""
+    """The rows of ``docs`` that stay, with all their columns: one document of each group.
+
+    Rows without words, or without an id, stay, unless a null id's text is a copy of another row's; rows of one id stay or go together.
+    """
     gone = stored(near_groups(docs, width, percent).where("not kept").select("doc_id").distinct(), "gone")
     return docs.join(few(gone), "doc_id", "left_anti").select(docs.columns)
 
