@@ -6,39 +6,23 @@ the whole document. The chunks' features are combined by their mean and their ma
 layer gives one probability.
 
 Training takes at most ``SAMPLE`` labelled documents (chosen by a hash of their id) and all chunks of
-each, the same that scoring pools; activations are made for ``SPAN`` chunks at a time.
+each, the same that scoring pools; it runs in one task of an executor, on ``SPAN`` bytes at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, in_frames, table
 
 BLOCK, WIDTH, FILTERS = 256, 6, 24
-CHUNK = 2 * BLOCK
-SAMPLE, EPOCHS, BATCH, RATE, SPAN = 4000, 12, 64, 0.01, 256
+SAMPLE, EPOCHS, BATCH, RATE, SPAN = 4000, 6, 64, 0.02, 1 << 16
 THRESHOLD = 0.3
 
 
-def _bytes(batches):
-    for pdf in batches:
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "raw": [(t or "").encode() for t in pdf["text"]]})
-
-
-def _chunks(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All bytes with room to read chunks at any place, and of each chunk: where it starts, its valid places, its document."""
-    flat = np.frombuffer(b"".join(r + bytes(WIDTH - 1) for r in raws) + bytes(CHUNK), np.uint8)
-    size = np.array([len(r) for r in raws], np.int64)
-    count = np.maximum(-(-size // BLOCK) - 1, 1)
-    doc = np.repeat(np.arange(len(raws)), count)
-    place = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * BLOCK
-    return flat, np.repeat(np.cumsum(size + WIDTH - 1) - size - WIDTH + 1, count) + place, np.minimum(CHUNK, size[doc] - place), doc
-
-
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
     """At most ``sample`` labelled documents outside the held-out fold: doc_id, text, y."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -53,61 +37,76 @@ class Network:
         rng = np.random.default_rng(seed)
         self.p = {"w": rng.normal(0, 0.15, (WIDTH, 256, FILTERS)).astype(np.float32), "b": np.zeros(FILTERS, np.float32), "v": rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32), "c": np.zeros(1, np.float32)}
 
-    def pooled(self, x: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The place of each chunk's largest activation by filter, and the activation."""
-        p, at, m = self.p, np.zeros((len(start), FILTERS), np.int64), np.zeros((len(start), FILTERS), np.float32)
-        for s in range(0, len(start), SPAN):
-            part = slice(s, s + SPAN)
-            xb = x[start[part, None] + np.arange(CHUNK + WIDTH - 1)]
-            z = np.broadcast_to(p["b"], (len(xb), CHUNK, FILTERS)).copy()
-            for k in range(WIDTH):
-                z += p["w"][k][xb[:, k : k + CHUNK]]
-            z[np.arange(CHUNK)[None, :] >= np.maximum(n[part], 1)[:, None]] = -1e9
-            at[part] = z.argmax(1)
-            m[part] = np.maximum(np.take_along_axis(z, at[part, None], 1)[:, 0], 0)
-        return at, m
-
-    def fit(self, x: np.ndarray, start: np.ndarray, n: np.ndarray, doc: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) -> Network:
-        """x: all bytes; start, n, doc: place, valid places and ascending document of each chunk; y by document."""
-        rng, p = np.random.default_rng(11), self.p
+    def blocks(self, raw: bytes, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """Each block's largest activation by filter, and if asked for its place; long texts go by in spans of whole blocks."""
+        w, n = self.p["w"], len(raw)
+        x, tops, at = np.frombuffer(raw + bytes(WIDTH - 1), np.uint8), [], []
+        for s in range(0, n, SPAN):
+            size = min(SPAN, n - s)
+            z = w[0].take(x[s : s + size], axis=0)
+            for k in range(1, WIDTH):
+                z += w[k].take(x[s + k : s + k + size], axis=0)
+            if places:
+                full = np.full((-(-size // BLOCK) * BLOCK, FILTERS), -np.inf, np.float32)
+                full[:size] = z
+                full = full.reshape(-1, BLOCK, FILTERS)
+                where = full.argmax(1)
+                tops.append(np.take_along_axis(full, where[:, None], 1)[:, 0])
+                at.append(where + s + np.arange(len(where))[:, None] * BLOCK)
+            else:
+                tops.append(np.maximum.reduceat(z, np.arange(0, size, BLOCK)))
+        return np.maximum(np.concatenate(tops) + self.p["b"], 0), np.concatenate(at) if places else None
+
+    def pooled(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes, and of each chunk the largest activation by filter and its place."""
+        m, at = self.blocks(raw, places=True)
+        if len(m) > 1:
+            left = m[:-1] >= m[1:]
+            m, at = np.where(left, m[:-1], m[1:]), np.where(left, at[:-1], at[1:])
+        return np.frombuffer(raw + bytes(WIDTH - 1), np.uint8), m, at
+
+    def step(self, raws: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
+        """The gradient over a batch of documents."""
+        p, lines = self.p, np.arange(FILTERS)
+        got = [self.pooled(raw) if raw else None for raw in raws]
+        feats = np.stack([np.concatenate([g[1].mean(0), g[1].max(0)]) if g else np.zeros(2 * FILTERS, np.float32) for g in got])
+        g = (1 / (1 + np.exp(-np.clip(feats @ p["v"] + p["c"], -30, 30))) - y).astype(np.float32) / len(y)
+        grad = {"v": feats.T @ g + 1e-4 * p["v"], "c": np.array([g.sum()])}
+        each, weights = [], []
+        for k, one in enumerate(got):
+            if one:
+                x, m, at = one
+                df = g[k] * p["v"]
+                dm = (df[:FILTERS] / len(m) + df[FILTERS:] * (m == feats[k, FILTERS:])) * (m > 0)
+                row, col = np.nonzero(dm)
+                each.append(x[at[row, col, None] + np.arange(WIDTH)] * np.int64(FILTERS) + np.arange(WIDTH) * (256 * FILTERS) + lines[col, None])
+                weights.append(dm[row, col])
+        if each:
+            cells, dm = np.concatenate(each), np.concatenate(weights)
+            grad["w"] = np.bincount(cells.ravel(), np.repeat(dm, WIDTH), WIDTH * 256 * FILTERS).reshape(p["w"].shape).astype(np.float32)
+            grad["b"] = np.bincount(cells[:, 0] % FILTERS, dm, FILTERS).astype(np.float32)
+        return grad
+
+    def fit(self, raws: list[bytes], y: np.ndarray, epochs: int = EPOCHS) -> Network:
+        """By gradient steps with running means of the gradient and its square."""
+        rng, p, step = np.random.default_rng(11), self.p, 0
         mom = {k: (np.zeros_like(a), np.zeros_like(a)) for k, a in p.items()}
-        first, step = np.searchsorted(doc, np.arange(len(y) + 1)), 0
         for _ in range(epochs):
             for part in np.array_split(rng.permutation(len(y)), max(1, len(y) // BATCH)):
-                rows = np.concatenate([np.arange(first[d], first[d + 1]) for d in part])
-                sizes = first[part + 1] - first[part]
-                starts, owner = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(part)), sizes)
-                at, m = self.pooled(x, start[rows], n[rows])
-                mean, top = np.add.reduceat(m, starts) / sizes[:, None], np.maximum.reduceat(m, starts)
-                feats = np.concatenate([mean, top], 1)
-                g = (1 / (1 + np.exp(-np.clip(feats @ p["v"] + p["c"], -30, 30))) - y[part]).astype(np.float32) / len(part)
-                df = g[:, None] * p["v"]
-                dm = ((df[:, :FILTERS] / sizes[:, None])[owner] + df[:, FILTERS:][owner] * (m == top[owner])) * (m > 0)
-                grad = {"v": feats.T @ g + 1e-4 * p["v"], "c": np.array([g.sum()]), "b": dm.sum(0), "w": np.zeros_like(p["w"])}
-                filters = np.broadcast_to(np.arange(FILTERS), at.shape)
-                for k in range(WIDTH):
-                    np.add.at(grad["w"][k], (x[start[rows, None] + at + k], filters), dm)
+                grad = self.step([raws[d] for d in part], y[part])
                 step += 1
-                for k, a in p.items():
+                for k, g in grad.items():
                     m1, m2 = mom[k]
-                    m1 += 0.1 * (grad[k] - m1)
-                    m2 += 0.001 * (grad[k] ** 2 - m2)
-                    a -= RATE * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
+                    m1 += 0.1 * (g - m1)
+                    m2 += 0.001 * (g**2 - m2)
+                    p[k] -= RATE * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
         return self
 
-    def features(self, raw: bytes, span: int = 1 << 16) -> np.ndarray:
-        """Mean and max over the overlapping chunks of a whole document; long ones go by in spans of whole blocks."""
-        p, n = self.p, len(raw)
-        if not n:
+    def features(self, raw: bytes) -> np.ndarray:
+        """Mean and max over the overlapping chunks of a whole document."""
+        if not raw:
             return np.zeros(2 * FILTERS, np.float32)
-        x, blocks = np.frombuffer(raw + bytes(WIDTH - 1), np.uint8), []
-        for s in range(0, n, span):
-            size = min(span, n - s)
-            z = p["w"][0].take(x[s : s + size], axis=0)
-            for k in range(1, WIDTH):
-                z += p["w"][k].take(x[s + k : s + k + size], axis=0)
-            blocks.append(np.maximum.reduceat(z, np.arange(0, size, BLOCK)))
-        m = np.maximum(np.concatenate(blocks) + p["b"], 0)
+        m, _ = self.blocks(raw)
         m = np.maximum(m[:-1], m[1:]) if len(m) > 1 else m
         return np.concatenate([m.mean(0), m.max(0)])
 
@@ -116,38 +115,46 @@ class Network:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network:
-    """Fit on the bounded sample. Without labels the network stays as it began."""
-    rows = training_rows(docs, labels, label, SAMPLE).mapInPandas(_bytes, "doc_id long, y int, raw binary").toPandas()
-    if not len(rows):
-        return Network()
-    rows = rows.sort_values(["doc_id", "y", "raw"], ignore_index=True)
-    return Network().fit(*_chunks(rows["raw"].tolist()), rows["y"].to_numpy(np.float32))
+    """Fit on the bounded sample, in one task. Without labels the network stays as it began."""
+
+    def fit(batches):
+        rows = sorted((i, y, (t or "").encode()) for batch in batches for i, y, t in zip(*[batch[c].to_pylist() for c in ("doc_id", "y", "text")], strict=True))
+        if rows:
+            p = Network().fit([r[2] for r in rows], np.array([r[1] for r in rows], np.float32)).p
+            yield {"name": list(p), "value": [a.tobytes() for a in p.values()]}
+
+    net = Network()
+    for r in in_frames(training_rows(docs, labels, label, SAMPLE).repartition(1), fit, "name string, value binary").collect():
+        net.p[r["name"]] = np.frombuffer(r["value"], np.float32).reshape(net.p[r["name"]].shape)
+    return net
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted (1 if score >= threshold); one row for each input row.
 
     Only whole texts are inputs of a score. A null text counts as empty; empty texts get the score of no
-    activation. A null id is never held out. Repeated rows repeat; other columns are ignored.
+    activation. A null id stays null and is never held out. Repeated rows repeat; other columns are ignored.
     """
     net = train(docs, labels)
 
     def score(batches):
-        for pdf in batches:
-            s = [net.score((t or "").encode()) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": np.array(s, np.float64)})
+        for batch in batches:
+            yield {"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": [net.score((t or "").encode()) for t in batch["text"].to_pylist()]}
 
-    scored = in_frames(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), score, "doc_id long, held_out boolean, score double")
+    scored = in_frames(docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text"), score, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier doesn't reject, with all their columns."""
+    """The documents that the classifier doesn't reject, with all their columns.
+
+    Each row is judged by its own text, so repeated rows go or stay together; a null text counts as empty.
+    """
     net = train(docs, labels)
 
     def keep(batches):
-        for pdf in batches:
-            yield pdf[np.array([net.score((t or "").encode()) >= threshold for t in pdf["text"]], bool)]
+        for batch in batches:
+            yield batch.filter(pa.array([net.score((t or "").encode()) >= threshold for t in batch["text"].to_pylist()], pa.bool_()))
 
     return in_frames(docs, keep, docs.schema)
 
