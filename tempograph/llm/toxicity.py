@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, stored, table
+from .common import drop, held_out, in_frames, stored, table
 from .quality import training_rows
 
 SAMPLE, MIN_DOCS, RATIO, STEPS, RATE, L1 = 8000, 4, 8.0, 250, 0.1, 1e-4
@@ -37,12 +37,9 @@ def features(word: str) -> list[str]:
 
 
 def _bags(batches):
-    for pdf in batches:
-        out = []
-        for i, text, y in zip(pdf["doc_id"], pdf["text"], pdf["y"], strict=True):
-            bag = SENTENCE.findall(text or "")
-            out.append((i, y, [" ".join(sorted(set(WORD.findall(s.lower())))) for s in bag]))
-        yield pd.DataFrame(out, columns=["doc_id", "y", "bag"])
+    for batch in batches:
+        bags = [[" ".join(sorted(set(WORD.findall(s.lower())))) for s in SENTENCE.findall(t or "")] for t in batch["text"].to_pylist()]
+        yield {"doc_id": batch["doc_id"], "y": batch["y"], "bag": bags}
 
 
 class Model:
@@ -78,21 +75,25 @@ class Model:
 
 
 def _by_feature(batches):
-    for pdf in batches:
-        yield pd.DataFrame([(f, y) for bag, y in zip(pdf["bag"], pdf["y"], strict=True) for f in {f for s in bag for w in s.split() for f in features(w)}], columns=["feature", "y"])
+    for batch in batches:
+        for bag, y in zip(batch["bag"].to_pylist(), batch["y"].to_pylist(), strict=True):
+            found = sorted({f for s in bag for w in s.split() for f in features(w)})
+            yield {"feature": found, "y": [y] * len(found)}
 
 
 def _as_numbers(vocabulary: dict[str, int]):
     """Of each document: the numbers of its sentences' features, sentence by sentence, and how many sentences have none."""
 
     def run(batches):
-        for pdf in batches:
-            out = []
-            for i, y, bag in zip(pdf["doc_id"], pdf["y"], pdf["bag"], strict=True):
-                ids = [sorted({vocabulary[f] for w in s.split() for f in features(w) if f in vocabulary}) for s in bag]
-                full = [x for x in ids if x]
-                out.append((i, y, len(ids) - len(full), [len(x) for x in full], [k for x in full for k in x]))
-            yield pd.DataFrame(out, columns=["doc_id", "y", "empty", "sizes", "ids"])
+        for batch in batches:
+            ids = [[x for s in bag if (x := sorted({vocabulary[f] for w in s.split() for f in features(w) if f in vocabulary}))] for bag in batch["bag"].to_pylist()]
+            yield {
+                "doc_id": batch["doc_id"],
+                "y": batch["y"],
+                "empty": [len(bag) - len(x) for bag, x in zip(batch["bag"].to_pylist(), ids, strict=True)],
+                "sizes": [[len(s) for s in x] for x in ids],
+                "ids": [[k for s in x for k in s] for x in ids],
+            }
 
     return run
 
@@ -129,13 +130,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
 
     What reaches the driver are the features that pass the screen and the sample's sentences as their numbers.
     """
-    sample = stored(training_rows(docs, labels, label, SAMPLE).mapInPandas(_bags, "doc_id long, y int, bag array<string>"), "toxic-sample")
+    sample = stored(in_frames(training_rows(docs, labels, label, SAMPLE), _bags, "doc_id long, y int, bag array<string>"), "toxic-sample")
     n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     odds = RATIO * n.get(1, 0) / max(1, n.get(0, 0))
-    counts = sample.mapInPandas(_by_feature, "feature string, y int").groupBy("feature").agg(F.count_if(F.col("y") == 1).alias("toxic"), F.count_if(F.col("y") == 0).alias("clean"))
+    counts = in_frames(sample, _by_feature, "feature string, y int").groupBy("feature").agg(F.count_if(F.col("y") == 1).alias("toxic"), F.count_if(F.col("y") == 0).alias("clean"))
     passed = counts.where((F.col("toxic") >= MIN_DOCS) & (F.col("toxic") > odds * F.col("clean"))).select("feature").collect()
     vocabulary = {f: i for i, f in enumerate(sorted(r["feature"] for r in passed))}
-    rows = sample.mapInPandas(_as_numbers(vocabulary), "doc_id long, y int, empty int, sizes array<int>, ids array<int>").toPandas()
+    rows = in_frames(sample, _as_numbers(vocabulary), "doc_id long, y int, empty int, sizes array<int>, ids array<int>").toPandas()
+    drop(sample)
     rows = rows.assign(key=rows["ids"].map(list).map(str)).sort_values(["doc_id", "y", "empty", "key"], ignore_index=True)
     return fit(rows, vocabulary)
 
@@ -144,17 +146,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     """doc_id, held_out, score, predicted, sentences (start, end, p of the offending ones, in code points).
 
     One row for each input row; only whole texts are inputs of a score. A null text counts as empty: no
-    sentence, score 0. A null id is never held out. Repeated rows repeat; other columns are ignored.
+    sentence, score 0. A null id stays null and is never held out. Repeated rows repeat; other columns are ignored.
     """
     model = train(docs, labels)
 
     def score(batches):
-        for pdf in batches:
-            got = [model.score(t or "") for t in pdf["text"]]
-            spans = [[{"start": s, "end": e, "p": p} for s, e, p in x] for _, x in got]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": np.array([x for x, _ in got], np.float64), "sentences": spans})
+        for batch in batches:
+            scores, spans = zip(*[model.score(t or "") for t in batch["text"].to_pylist()], strict=True)
+            yield {"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": scores, "sentences": [[{"start": s, "end": e, "p": p} for s, e, p in x] for x in spans]}
 
-    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInPandas(score, "doc_id long, held_out boolean, score double, sentences array<struct<start:int,end:int,p:double>>")
+    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    scored = in_frames(rows, score, "doc_id long, held_out boolean, score double, sentences array<struct<start:int,end:int,p:double>>")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "sentences")
 
 
