@@ -1,20 +1,23 @@
 """Personal data by regular expressions and bootstrapped contextual extraction.
 
-Seeds are the base entities. The word before an entity is a lexical pattern; patterns and instances form
-a graph. A pattern's score is the mass of its instances' scores over all distinct contexts of its word: its
-instances, and the tokens that follow the word elsewhere. So copies of texts don't count. An instance's is
-the noisy-or of its patterns (1 for seeds); both are recomputed for ``ROUNDS`` rounds as DataFrames. Patterns of high score with several seeds discover identifiers that no expression finds.
-
-Everything is DataFrame functions. Texts are not shuffled; what is stored and joined are the entities.
+Seeds are the base entities; instances that may be discovered are tokens with digits. Lexical patterns are
+the word before an entity, the word after it, and both together; patterns and instances form a graph. A
+pattern is induced once ``SUPPORT`` known instances stand in it. Its trust is the mass of its instances'
+scores over all distinct contexts of it: its instances, and the other tokens that stand in it. So copies of
+texts don't count. An instance is known by the noisy-or of its trusted patterns (seeds are). ``ROUNDS``
+rounds of both, as DataFrames, let instances that one round discovers induce the patterns of the next.
+
+Everything is DataFrame functions. Texts are not shuffled; what is stored and joined are the entities, and
+the edges of the graph meet patterns and instances by salted keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few, stored, table, whole_text
-from .spans import apart, digits, find, named, written
+from .common import drop, few, salted_to, stored, table, whole_text
+from .spans import apart, digits, find, kept, let, named, quoted, reach, replaced, written
 
 #: The base kinds. Possessive loops keep Java from recursing on long runs; at the end of an expression they match the same.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
@@ -23,133 +26,153 @@ IP = r"[0-9]+(?:\.[0-9]+){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
-#: Identifiers that may be discovered: one token with a digit in its first 30 places, and 5 digits or more.
-TOKEN = r"(?<![A-Za-z0-9._+@/-])(?=[A-Za-z._+@/-]{0,30}[0-9])[A-Za-z0-9][A-Za-z0-9._+@/-]{5,60}+(?![A-Za-z0-9._+@/-])"
-MIN_DIGITS, ROUNDS, SUPPORT, CONFIDENT, SMOOTH = 5, 3, 5, 0.7, 2.0
-#: Characters by which tokens after a word are told apart.
-AHEAD = 256
-
-
-def _luhn(m: Column) -> Column:
-    d = F.split(F.reverse(F.regexp_replace(m, "[^0-9]", "")), "")
-    twice = F.transform(d, lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise(F.when(x.cast("int") > 4, 2 * x.cast("int") - 9).otherwise(2 * x.cast("int"))))
-    return F.aggregate(twice, F.lit(0), lambda acc, x: acc + x) % 10 == 0
+#: Identifiers that may be discovered: one token of 6 characters or more with ``MIN_DIGITS`` digits or more.
+TOKEN = r"(?<![A-Za-z0-9._+@/-])(?=[A-Za-z._+@/-]*+[0-9])[A-Za-z0-9][A-Za-z0-9._+@/-]{5,}+"
+MIN_DIGITS, ROUNDS, SUPPORT, CONFIDENT, SMOOTH = 5, 8, 5, 0.7, 2.0
+#: Stands before an entity in a tokenized text, and for the blanks in one.
+MARK = "\u0001"
 
 
-def _part(x: Column) -> Column:
-    x = F.regexp_replace(x, "^0+(?=.)", "")
-    return (F.length(x) < 3) | ((F.length(x) == 3) & (x <= "255"))
+def _luhn(m: str) -> str:
+    d = f"split(reverse(regexp_replace({m}, '[^0-9]', '')), '')"
+    twice = "if(q % 2 = 0, int(c), if(int(c) > 4, 2 * int(c) - 9, 2 * int(c)))"
+    return f"aggregate(transform(filter({d}, c -> c <> ''), (c, q) -> {twice}), 0, (acc, c) -> acc + c) % 10 = 0"
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    number = text.rlike("[0-9]")
+def base_spans() -> dict[str, str]:
+    """Base spans of the column ``text``, as SQL."""
+    number, part = "text rlike '[0-9]'", "regexp_replace(c, '^0+(?=.)', '')"
     return {
-        "email": find(text, EMAIL, F.contains(text, F.lit("@"))),
-        "ip": F.filter(find(text, IP, number), lambda s: F.forall(F.split(s["m"], r"\."), _part)),
-        "card": F.filter(find(text, CARD, number), lambda s: _luhn(s["m"])),
-        "phone": F.filter(find(text, PHONE, F.contains(text, F.lit("+"))), lambda s: digits(s["m"]).between(9, 15)),
+        "email": find("text", EMAIL, "contains(text, '@')"),
+        "ip": kept(find("text", IP, number), f"forall(split(s.m, {quoted(chr(92) + '.')}), c -> length({part}) < 3 or (length({part}) = 3 and {part} <= '255'))"),
+        "card": kept(find("text", CARD, number), _luhn("s.m")),
+        "phone": kept(find("text", PHONE, "contains(text, '+')"), f"{digits('s.m')} between 9 and 15"),
     }
 
 
-def _before(text: Column, start: Column) -> Column:
-    """The word before a place, in lower case."""
-    near = F.substring(text, F.greatest(F.lit(1), start - 47), F.least(start, F.lit(48)))
-    return F.lower(F.regexp_extract(near, r"(\S+)\s+$", 1))
+#: Tokens of the column ``text`` that may be discovered.
+TOKENS = kept(find("text", TOKEN, "text rlike '[0-9]'"), f"{digits('s.m')} >= {MIN_DIGITS}")
+
+
+def _entities(tokens: str, seeds: str) -> str:
+    """Seeds and tokens in ascending order; of entities that overlap, the first."""
+    entity = lambda of, seed: f"transform({of}, s -> named_struct('start', s.start, 'end', s.end, 'seed', {seed}, 'instance', concat('{MARK}', translate(lower(s.m), ' ', '{MARK}'))))"
+    several = f"array_sort(concat({entity(seeds, 'true')}, {entity(apart(tokens, seeds), 'false')}))"
+    first = let(reach("en"), "past", "filter(transform(en, (e, j) -> if(e.start >= get(past, j), e, null)), e -> e is not null)")
+    return f"if(size({tokens}) + size({seeds}) > 0, {let(several, 'en', first)}, {entity(f'slice({seeds}, 1, 0)', 'true')})"
+
 
+#: The words of the column ``text`` in lower case; an entity is one word, marked.
+WORDS = "filter(split(" + replaced(f"translate(lower(text), '{MARK}', ' ')", "entities", "concat(' ', s.instance, ' ')") + r", '\\s+'), w -> w <> '')"
 
-def _after(text: Column, start: Column) -> Column:
-    """The token that begins at a place, in lower case."""
-    return F.lower(F.regexp_extract(F.substring(text, start + 1, F.lit(AHEAD)), r"^\S+", 0))
+
+def _patterns(left: str, right: str) -> str:
+    """The patterns in which a word between two others stands; entities and missing words make none."""
+    before, after = (f"if(not startswith({w}, '{MARK}'), concat('{sign} ', {w}), null)" for sign, w in (("<", left), (">", right)))
+    return f"filter(array({before}, {after}, concat({before}, ' ', {after})), p -> p is not null)"
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """Of each row: doc_id, a hash of its text, the base spans by kind, entities with their patterns, and the places where entities start."""
+    """Of each row: doc_id, a hash of its text, the base spans by kind, and entities in order, each with its patterns."""
     rows = docs.select("doc_id", whole_text(F.col("text")).alias("text")).withColumn("h", F.xxhash64("text"))
-    rows = rows.select("*", *[c.alias(k) for k, c in base_spans(F.col("text")).items()], F.filter(find(F.col("text"), TOKEN, F.col("text").rlike("[0-9]")), lambda s: digits(s["m"]) >= MIN_DIGITS).alias("tokens"))
-    rows = rows.withColumn("seeds", F.concat(*KINDS))
-    entity = lambda seed: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lower(s["m"]).alias("instance"), _before(F.col("text"), s["start"]).alias("pattern"), F.lit(seed).alias("seed"))
-    entities = F.filter(F.concat(F.transform("seeds", entity(True)), F.transform(apart(F.col("tokens"), F.col("seeds")), entity(False))), lambda e: e["pattern"] != "")
-    rows = rows.withColumn("entities", entities)
-    heads = F.transform(F.array_distinct(F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["pattern"].alias("pattern")))), lambda e: F.struct(e["pattern"].alias("pattern"), _after(F.col("text"), e["start"]).alias("next")))
-    return rows.select("doc_id", "h", *[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(k) for k in KINDS], "entities", heads.alias("heads"))
-
-
-def _contexts(docs: DataFrame, found: DataFrame, words: DataFrame, edges: DataFrame) -> DataFrame:
-    """How many distinct contexts each word has: pattern, count. An occurrence that no entity follows counts by its next token."""
-    tokens = docs.select(F.split(F.lower(whole_text(F.col("text"))), r"\s+").alias("w"))
-    pairs = tokens.select(F.explode(F.arrays_zip(F.col("w").alias("pattern"), F.slice("w", F.lit(2), F.size("w")).alias("next"))).alias("p")).select("p.pattern", F.left(F.coalesce("p.next", F.lit("")), F.lit(AHEAD)).alias("next"))
-    heads = found.select(F.explode("heads").alias("p")).select("p.*")
-    said = [x.join(few(words), "pattern", "left_semi").groupBy("pattern", "next").count().withColumn("count", F.col("count") * sign) for x, sign in ((pairs, 1), (heads, -1))]
-    plain = said[0].unionByName(said[1]).groupBy("pattern", "next").agg(F.sum("count").alias("count")).where("count > 0").groupBy("pattern").count()
-    instances = edges.join(few(words), "pattern", "left_semi").groupBy("pattern").count()
-    return plain.unionByName(instances).groupBy("pattern").agg(F.sum("count").alias("count"))
+    rows = rows.select("*", *[F.expr(x).alias(k) for k, x in base_spans().items()], F.expr(TOKENS).alias("tokens")).withColumn("seeds", F.concat(*KINDS))
+    rows = rows.withColumn("entities", F.expr(_entities("tokens", "seeds"))).withColumn("words", F.expr(f"if(size(entities) > 0, {WORDS}, null)"))
+    marked = f"filter(transform(words, (w, i) -> if(startswith(w, '{MARK}'), {_patterns('if(i > 0, get(words, i - 1), null)', 'get(words, i + 1)')}, null)), x -> x is not null)"
+    seen = let(marked, "hits", "transform(entities, (e, j) -> named_struct('start', e.start, 'end', e.end, 'seed', e.seed, 'instance', e.instance, 'patterns', get(hits, j)))")
+    bare = [F.expr(f"transform({k}, s -> named_struct('start', s.start, 'end', s.end))").alias(k) for k in KINDS]
+    return rows.select("doc_id", "h", *bare, F.expr(f"if(size(entities) > 0, {seen}, null)").alias("entities"))
+
+
+def _contexts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """How many different words stand in each pattern, entities included, told apart by 64-bit hashes: pattern, contexts."""
+    rows = docs.select(whole_text(F.col("text")).alias("text"))
+    rows = rows.select("text", F.expr(TOKENS).alias("tokens"), F.expr(f"concat({', '.join(base_spans().values())})").alias("seeds"))
+    rows = rows.select("text", F.expr(_entities("tokens", "seeds")).alias("entities")).select(F.expr(WORDS).alias("w"))
+    near = "transform(w, (x, i) -> named_struct('word', xxhash64(x), 'left', if(i > 0, get(w, i - 1), null), 'right', get(w, i + 1)))"
+    each = rows.select(F.expr(f"explode({near})").alias("x")).select("x.word", F.expr(f"explode({_patterns('x.left', 'x.right')})").alias("pattern"))
+    return each.join(few(patterns), "pattern", "left_semi").groupBy("pattern", "word").count().groupBy("pattern").agg(F.count(F.lit(1)).alias("contexts"))
 
 
 def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Spans of identifiers that confident patterns discover: doc_id, h, extra (array of start, end); stored."""
+    """Spans of identifiers that trusted patterns discover: doc_id, h, extra (array of start, end); stored."""
     each = found.select("doc_id", "h", F.explode("entities").alias("e")).select("doc_id", "h", "e.*")
-    edges = stored(each.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
-    support = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count_if(~F.col("seed")).alias("unseen"))
-    words = stored(support.where((F.col("seeds") >= SUPPORT) & (F.col("unseen") > 0)).select("pattern"), "pii-words")
+    all_edges = stored(each.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
+    # A pattern that could ever be induced and discover: of enough instances, some unknown.
+    support = all_edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("seed")).alias("unseen"))
+    able = stored(support.where((F.col("n") >= SUPPORT) & (F.col("unseen") > 0)).select("pattern"), "pii-patterns")
     nothing = each.select("doc_id", "h", F.array(F.struct("start", "end")).alias("extra")).limit(0)
-    if words.isEmpty():
+    if able.isEmpty() or all_edges.where("seed").isEmpty():
+        drop(all_edges, able)
         return nothing
-    said = _contexts(docs, found, words, edges)
-    edges = stored(edges.join(said, "pattern"), "pii-graph")
-    scores = edges.select("instance", F.col("seed").cast("double").alias("score")).groupBy("instance").agg(F.max("score").alias("score"))
+    edges = stored(salted_to(all_edges, _contexts(docs, able), "pattern", F.col("instance")), "pii-graph")
+    drop(all_edges, able)
+    scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
+    mass = lambda: scores.agg(F.round(F.sum("score"), 2)).first()[0]
+    before = mass()
     for _ in range(ROUNDS):
-        patterns = edges.join(scores, "instance").groupBy("pattern").agg((F.sum("score") / (F.max("count") + SMOOTH)).alias("trust"), F.count_if(F.col("seed")).alias("seeds"))
-        trusted = edges.join(patterns, "pattern").groupBy("instance").agg(F.max("seed").alias("seed"), F.sum(F.ln(1 - F.least(F.lit(0.999), F.col("trust")))).alias("miss"))
-        scores = stored(trusted.select("instance", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp("miss")).alias("score")), "pii-scores")
-    good = stored(patterns.where((F.col("trust") >= CONFIDENT) & (F.col("seeds") >= SUPPORT)).select("pattern"), "pii-patterns")
-    if good.isEmpty():
+        scored = salted_to(edges, scores, "instance", F.col("pattern"))
+        trust = scored.groupBy("pattern").agg((F.sum("score") / (F.max("contexts") + SMOOTH)).alias("trust"), F.count_if(F.col("score") >= CONFIDENT).alias("known"))
+        trusted = stored(trust.where((F.col("trust") >= CONFIDENT) & (F.col("known") >= SUPPORT)).select("pattern", "trust"), "pii-trusted")
+        told = salted_to(edges, trusted, "pattern", F.col("instance")).groupBy("instance").agg(F.sum(F.ln(1 - F.least(F.lit(0.999), F.col("trust")))).alias("miss"))
+        known = edges.groupBy("instance").agg(F.max("seed").alias("seed")).join(told, "instance", "left")
+        scores = stored(known.select("instance", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("miss", F.lit(0.0)))).alias("score"), "seed"), "pii-scores")
+        if (now := mass()) == before:
+            break
+        before = now
+    new = stored(scores.where(~F.col("seed") & (F.col("score") >= CONFIDENT)).select("instance"), "pii-new")
+    if new.isEmpty():
         return nothing
-    new = each.where("not seed").join(few(good), "pattern", "left_semi").join(scores.where(F.col("score") >= CONFIDENT), "instance", "left_semi")
-    return stored(new.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("extra")), "pii-extra")
+    # An instance is taken where it stands in a trusted pattern.
+    places = each.where("not seed").select("doc_id", "h", "start", "end", "instance", F.explode("patterns").alias("pattern"))
+    places = places.join(few(trusted), "pattern", "left_semi").join(few(new), "instance", "left_semi")
+    return stored(places.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("extra")), "pii-extra")
 
 
-def _with_extra(rows: DataFrame, extra: DataFrame) -> DataFrame:
+def _with_extra(rows: DataFrame, extra: DataFrame, h: str = "h", name: str = "extra") -> DataFrame:
+    """``rows`` with the discovered spans of each row's id and text hash, as column ``name``."""
     none = F.array().cast("array<struct<start:int,end:int>>")
     if extra.isEmpty():
-        return rows.withColumn("extra", none)
-    extra = few(extra).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "extra")
-    return rows.join(extra, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")), "left").drop("_d", "_h").withColumn("extra", F.coalesce("extra", none))
+        return rows.withColumn(name, none)
+    extra = few(extra.select(F.col("doc_id").alias("_pii_d"), F.col("h").alias("_pii_k"), F.col("extra").alias("_pii_x")))
+    rows = rows.join(extra, F.col("doc_id").eqNullSafe(F.col("_pii_d")) & (F.col(h) == F.col("_pii_k")), "left")
+    return rows.withColumn(name, F.coalesce("_pii_x", none)).drop("_pii_d", "_pii_k", "_pii_x")
 
 
 def scan_pii(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans; one row for each input row.
 
     Spans in code points, end exclusive, ordered by kind (email, ip, card, phone, other), then start. A null
-    or empty text has none: counts 0, the digest of the empty string, spans empty. Repeated rows repeat;
-    other columns are ignored.
+    or empty text has none: counts 0, the digest of the empty string, spans empty. Repeated rows repeat, null
+    ids stay null; other columns are ignored.
     """
     found = stored(_found(docs), "pii")
     rows = _with_extra(found, discover(docs, found))
-    base = F.concat(*[named(k, i, F.col(k)) for i, k in enumerate(KINDS)])
+    base = f"concat({', '.join(named(k, i, k) for i, k in enumerate(KINDS))})"
     return rows.select(
         "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(written(base), 256).alias("base_sha256"),
-        written(F.concat(base, named("other", 4, F.col("extra")))).alias("spans"),
+        F.sha2(F.expr(written(base)), 256).alias("base_sha256"),
+        F.expr(written(f"concat({base}, {named('other', 4, 'extra')})")).alias("spans"),
     )
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span of personal data replaced by its kind in brackets, and n_chars to match."""
-    extra = discover(docs, stored(_found(docs), "pii"))
+    """``docs`` with every span of personal data replaced by its kind in brackets, and n_chars to match.
+
+    Of spans that overlap the first is replaced, and what the others cover goes with it. Texts without any span
+    stay as they are, null ones null. Repeated rows repeat.
+    """
+    found = stored(_found(docs), "pii")
+    extra = discover(docs, found)
+    drop(found)
     text = whole_text(F.col("text"))
-    rows = _with_extra(docs.withColumns({"h": F.xxhash64(text), **{f"_{k}": c for k, c in base_spans(text).items()}}), extra)
-    spans = F.array_sort(F.concat(*[named(k, i, F.col(f"_{k}")) for i, k in enumerate(KINDS)], named("other", 4, F.col("extra"))))
-
-    def step(acc, s):
-        cut = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], cut).otherwise(acc["out"]).alias("out"))
-
-    clean = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    rows = rows.withColumn("_spans", spans).withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(docs.columns)
+    # Texts and spans under names of our own, whatever columns the documents have.
+    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), F.col("doc_id")).withColumn("h", F.xxhash64("text"))
+    rows = _with_extra(rows.select("*", *[F.expr(x).alias(k) for k, x in base_spans().items()]), extra)
+    rows = rows.withColumn("spans", F.expr(f"array_sort(concat({', '.join(named(k, i, k) for i, k in enumerate(KINDS))}, {named('other', 4, 'extra')}))"))
+    rows = rows.select("row", (F.size("spans") > 0).alias("found"), F.expr(replaced("text", "spans", "concat('[', upper(s.kind), ']')")).alias("clean"))
+    own = {"text": F.when(F.col("found"), F.col("clean")).otherwise(F.col("row.text")), "n_chars": F.when(F.col("found"), F.length("clean").cast("long")).otherwise(F.col("row.n_chars") if "n_chars" in docs.columns else None)}
+    return rows.select(*[(own[c] if c in own else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op8_pii(spark, sf_dir):

@@ -1,84 +1,157 @@
 """Secret scan with a battery of randomness tests.
 
-Base kinds are regular expressions. Other candidates are long runs of letters, digits and +/_=-. For
-each, an encoding is inferred (hex, base32 or base64) and three tests ask how likely an ordinary token
-would look as random: chi-squared uniformity over the encoding's alphabet, runs of character classes,
-and the serial correlation of vowels. Fisher's method combines them. A false-discovery control accepts
-candidates per length class, over the whole corpus: what it needs are counts by (length class, p-value
-bin), a fixed number of rows.
+Base kinds are regular expressions. Other candidates are runs of 20 or more letters, digits and +/_=-
+that overlap no base span. For each an encoding is inferred (digits, hex, base32, letters of one case,
+one case with digits, base64), its characters are decoded to values, and three tests of randomness ask
+whether these are uniform over the alphabet (chi-squared), how often they cross the alphabet's middle
+(runs), and whether neighbours are alike (serial correlation). Fisher's method combines the three
+p-values into one statistic, small for random values.
+
+What ordinary tokens look like is fitted to the corpus: in each encoding and length class the statistic's
+logarithm is a mixture of random values, whose distribution is known, and of ordinary tokens, a normal
+distribution that expectation and maximisation fit beside ``PRIOR`` assumed tokens. The probability of an
+ordinary token to look as random as the one at hand goes to a false-discovery control for each encoding
+and length class. All it needs are counts by (encoding, length class, bin of the statistic), a bounded
+number of rows. Short tokens of few kinds of characters can't be told apart, and so none is accepted.
 
 All of it is column expressions; texts are never shuffled.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, whole_text
-from .spans import apart, find, named, written
+from .spans import apart, find, kept, let, named, quoted, written
 
 #: The base kinds.
 ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
 VALUE = r"""^[A-Za-z_]+["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$"""
 ACCESS, HEX = "AKIA[A-Z0-9]+", "[0-9a-f]+"
 TOKEN = "[A-Za-z0-9+/_=-]{20,}"
-#: Rate of false discoveries, p-value bins of a tenth of a power of ten, lower bound of a p-value.
-RATE, BINS, FLOOR = 0.01, 120, 1e-5
+#: Rate of false discoveries; bins of the statistic's logarithm in a unit, and their number.
+RATE, FINE, BINS = 0.01, 10, 90
+#: Mean and spread of the logarithm of a chi-squared variable with 6 degrees of freedom: the statistic of random values.
+RANDOM = (1.616, 0.628)
+#: Assumed ordinary tokens of a stratum: their number, the spread of the statistic's logarithm, and the sum of squared frequencies of
+#: characters, by which the mean follows: 0.065 of letters in one case, 0.05 in both, 1.6 / size for digits and hexadecimal.
+PRIOR, SPREAD, ONE_CASE, BOTH, FEW = 20, 0.5, 0.065, 0.05, 1.6
+STEPS = 60
 #: Lower ends of the length classes.
 LENGTHS = (20, 32, 48, 64)
-#: By encoding: alphabet size, and the excess of sum(p^2) * size over 1 in ordinary tokens.
-HEXA, B32, B64 = (16, 0.6), (32, 1.1), (64, 3.2)
-#: In ordinary tokens: rate of changes of character class, rate of changes between vowels and others.
-CLASS_RATE, VOWEL_RATE = 0.12, 0.65
-
-
-def _phi(z: Column) -> Column:
-    """The normal distribution function, by its logistic approximation."""
-    z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
-    return 1 / (1 + F.exp(-(1.5976 * z + 0.07056 * z * z * z)))
-
-
-def p_value(m: Column) -> Column:
-    """How likely an ordinary token would look as random as this one."""
-    n = F.length(m).cast("double")
-    hexa, b32 = m.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), m.rlike("^[A-Z2-7=]+$")
-    pick = lambda i: F.when(hexa, F.lit(float(HEXA[i]))).when(b32, F.lit(float(B32[i]))).otherwise(F.lit(float(B64[i])))
-    k, excess = pick(0), pick(1)
-    squares = F.aggregate(F.array_distinct(F.split(m, "")), F.lit(0.0), lambda acc, c: acc + F.pow(F.length(m) - F.length(F.replace(m, c, F.lit(""))), F.lit(2.0)))
-    chi = k / n * squares - n
-    uniform = _phi((chi - (k - 1) - n * excess) / F.sqrt(2 * (k - 1) + 4 * n * excess))
-    changes = lambda pattern: F.size(F.regexp_extract_all(m, F.lit(pattern), F.lit(0))).cast("double")
-    runs = changes("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+") - 1
-    by_runs = 1 - _phi((runs - 0.5 - (n - 1) * CLASS_RATE) / F.sqrt((n - 1) * CLASS_RATE * (1 - CLASS_RATE)))
-    vowels = changes("[aeiouAEIOU]+|[^aeiouAEIOU]+") - 1
-    serial = F.when(m.rlike("[A-Za-z]"), _phi((vowels + 0.5 - (n - 1) * VOWEL_RATE) / F.sqrt((n - 1) * VOWEL_RATE * (1 - VOWEL_RATE)))).otherwise(1.0)
-    x = -F.ln(F.greatest(F.lit(FLOOR), uniform)) - F.ln(F.greatest(F.lit(FLOOR), by_runs)) - F.ln(F.greatest(F.lit(FLOOR), serial))
-    return F.exp(-x) * (1 + x + x * x / 2)
-
-
-def _bin(m: Column) -> Column:
-    return F.least(F.lit(BINS), F.floor(-10 * F.log10(p_value(m)))).cast("int")
-
-
-def _class(m: Column) -> Column:
-    return F.lit(0) + sum(((F.length(m) >= n).cast("int") for n in LENGTHS[1:]), F.lit(0))
-
-
-def _candidates(text: Column) -> Column:
-    return F.filter(find(text, TOKEN, F.lit(True)), lambda s: s["m"].rlike("[0-9A-Z+/_=-]"))
+#: Encodings, in the order in which they are tried: expression, alphabet.
+ENCODINGS = [
+    ("^[0-9]+$", "0123456789"),
+    ("^[0-9a-f]+$", "0123456789abcdef"),
+    ("^[0-9A-F]+$", "0123456789ABCDEF"),
+    ("^[a-z]+$", "abcdefghijklmnopqrstuvwxyz"),
+    ("^[A-Z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("^[a-z0-9]+$", "abcdefghijklmnopqrstuvwxyz0123456789"),
+    ("^[A-Z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"),
+    ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+]
+
+
+def _surprise(z: str) -> str:
+    """-ln of the probability that a normal variable exceeds z, by 0.5 exp(-0.717 z - 0.416 z^2) for z >= 0."""
+    tail = f"0.717D * abs(z) + 0.416D * z * z + {math.log(2)}D"
+    return let(f"greatest(-30D, least(30D, {z}))", "z", f"if(z >= 0, {tail}, -ln(1 - exp(-({tail}))))")
+
+
+def _either_way(z: str) -> str:
+    return f"({_surprise(f'abs({z})')} - {math.log(2)}D)"
+
+
+def _plain(m: str) -> str:
+    """Without padding, and with the letters of base64 for those of its other form."""
+    return f"translate(regexp_replace({m}, '=+$', ''), '-_=', '+//')"
+
+
+def encoding(plain: str) -> str:
+    return "case " + " ".join(f"when {plain} rlike '{e}' then {k}" for k, (e, _) in enumerate(ENCODINGS)) + " end"
+
+
+def statistic(m: str) -> str:
+    """Fisher's combination of the battery, as SQL: small if the decoded values look random."""
+    chars = "filter(split(plain, ''), c -> c <> '')"
+    squares = "aggregate(array_distinct(chars), 0D, (acc, c) -> acc + pow(n - length(replace(plain, c, '')), 2))"
+    uniform = let(f"greatest(1e-6, (k / n * {squares} - n) / (k - 1))", "ratio", _surprise("(cbrt(ratio) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1)))"))
+    zero = "named_struct('last', cast(null as double), 'crossings', 0D, 'products', 0D)"
+    crossings = "acc.crossings + if((acc.last > 0) != (here > 0), 1D, 0D)"
+    step = let("v - (k - 1) / 2", "here", f"named_struct('last', here, 'crossings', coalesce({crossings}, acc.crossings), 'products', acc.products + coalesce(acc.last * here, 0D))")
+    walk = f"aggregate(transform(chars, c -> cast(position(c, alphabet) - 1 as double)), {zero}, (acc, v) -> {step})"
+    runs = _either_way("(walk.crossings - (n - 1) / 2) / sqrt((n - 1) / 4)")
+    serial = _either_way("walk.products / (sqrt(n - 1) * (k * k - 1) / 12)")
+    out = let(walk, "walk", f"2 * ({uniform} + {runs} + {serial})")
+    out = let(chars, "chars", let("cast(length(alphabet) as double)", "k", let("cast(length(plain) as double)", "n", f"if(n > 1, {out}, 1e6)")))
+    alphabets = ", ".join(quoted(x) for _, x in ENCODINGS)
+    return let(_plain(m), "plain", let(f"get(array({alphabets}), {encoding('plain')})", "alphabet", out))
+
+
+def _bin(m: str) -> str:
+    return f"cast(least({BINS}, greatest(0, floor({FINE} * ln(greatest(1D, {statistic(m)}))))) as int)"
+
+
+def _class(m: str) -> str:
+    """The stratum of a token: its encoding and length class."""
+    return f"({let(_plain(m), 'plain', encoding('plain'))} * {len(LENGTHS)} + " + " + ".join(f"if(length({m}) >= {n}, 1, 0)" for n in LENGTHS[1:]) + ")"
+
+
+def assumed_mean(c: int) -> float:
+    """The logarithm of the statistic of an ordinary token at the lower end of a stratum's lengths, by its expected chi-squared."""
+    code, length = divmod(c, len(LENGTHS))
+    k, n = len(ENCODINGS[code][1]), LENGTHS[length]
+    excess = k * (BOTH if k == 64 else ONE_CASE if k >= 26 else FEW / k) - 1
+    z = n * excess / math.sqrt(2 * (k - 1))
+    return math.log(2 * (0.717 * z + 0.416 * z * z + math.log(2)) + 4)
+
+
+def stratum_cutoff(counts: dict[int, int], c: int, rate: float = RATE) -> int:
+    """The highest accepted bin of a stratum's counts, -1 if none: Benjamini and Hochberg with the fitted ordinary tokens."""
+    middle = {b: (b + 0.5) / FINE for b in counts}
+    density = lambda x, m, s: math.exp(-(((x - m) / s) ** 2) / 2) / s
+    total, prior = sum(counts.values()), assumed_mean(c)
+    share, mean, spread = 0.5, prior, SPREAD
+    for _ in range(STEPS):
+        # How many of each bin are ordinary.
+        own = {b: n / (1 + share * density(middle[b], *RANDOM) / max(1e-300, (1 - share) * density(middle[b], mean, spread))) for b, n in counts.items()}
+        weight = PRIOR + sum(own.values())
+        share = min(0.99, max(0.01, 1 - weight / (PRIOR + total)))
+        mean = (PRIOR * prior + sum(n * middle[b] for b, n in own.items())) / weight
+        spread = math.sqrt((PRIOR * (SPREAD**2 + (prior - mean) ** 2) + sum(n * (middle[b] - mean) ** 2 for b, n in own.items())) / weight)
+    under, best = 0, -1
+    for b in sorted(counts):
+        under += counts[b]
+        if 0.5 * math.erfc((mean - (b + 1) / FINE) / spread / math.sqrt(2)) <= rate * under / total:
+            best = b
+    return best
+
+
+def _base() -> dict[str, str]:
+    """Base spans of the column ``text``."""
+    return {
+        "assign": kept(find("text", ASSIGN), f"length(regexp_extract(s.m, {quoted(VALUE)}, 1)) >= 6"),
+        "access": kept(find("text", ACCESS, "contains(text, 'AKIA')"), "length(s.m) >= 20"),
+        "hex": find("text", HEX.replace("+", "{24,}")),
+    }
+
+
+def _bases() -> list[Column]:
+    return [F.expr(x).alias(k) for k, x in _base().items()]
 
 
 def cutoffs(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> dict[int, int]:
-    """The lowest accepted bin of each length class, by Benjamini and Hochberg on the binned p-values."""
-    found = docs.select(F.explode(_candidates(whole_text(F.col(text_col)))["m"]).alias("m")).groupBy(_class(F.col("m")).alias("c"), _bin(F.col("m")).alias("b")).count()
-    counts = {(r["c"], r["b"]): r["count"] for r in found.collect()}
-    out = {}
-    for c in range(len(LENGTHS)):
-        total = sum(n for (k, _), n in counts.items() if k == c)
-        over = [sum(n for (k, b), n in counts.items() if k == c and b >= low) for low in range(BINS + 1)]
-        out[c] = next((b for b in range(BINS + 1) if over[b] and 10 ** (-b / 10) <= rate * over[b] / total), BINS + 1)
-    return out
+    """The highest accepted bin of each stratum of candidates over the whole corpus."""
+    rows = docs.select(whole_text(F.col(text_col)).alias("text")).select("text", F.expr(find("text", TOKEN)).alias("tokens")).where("size(tokens) > 0")
+    tokens = rows.select("tokens", *_bases()).select(F.explode(F.expr(apart("tokens", "concat(assign, access, hex)"))["m"]).alias("m"))
+    counts: dict[int, dict[int, int]] = {}
+    for r in tokens.groupBy(F.expr(_class("m")).alias("c"), F.expr(_bin("m")).alias("b")).count().collect():
+        counts.setdefault(r["c"], {})[r["b"]] = r["count"]
+    return {c: stratum_cutoff(x, c, rate) for c, x in counts.items()}
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,26 +159,22 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Spans are whole matches in code points, end exclusive, ordered by start, then assign, access, hex,
     random. Random spans are those that overlap no base span. A null or empty text has none: counts 0,
-    the digest of the empty string, spans empty. Repeated rows repeat; other columns are ignored.
+    the digest of the empty string, spans empty. Repeated rows repeat and count as often for the control;
+    null ids stay null; other columns are ignored.
     """
-    lowest = cutoffs(docs, text_col)
+    highest = cutoffs(docs, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(F.col(text_col)).alias("text"))
-    text = F.col("text")
-    rows = rows.select(
-        "doc_id",
-        F.filter(find(text, ASSIGN, F.lit(True)), lambda s: F.length(F.regexp_extract(s["m"], VALUE, 1)) >= 6).alias("assign"),
-        F.filter(find(text, ACCESS, F.contains(text, F.lit("AKIA"))), lambda s: F.length(s["m"]) >= 20).alias("access"),
-        find(text, HEX.replace("+", "{24,}"), F.lit(True)).alias("hex"),
-        _candidates(text).alias("tokens"),
-    )
-    accepted = lambda m: F.element_at(F.array(*[F.lit(lowest[c]) for c in range(len(LENGTHS))]), _class(m) + 1) <= _bin(m)
-    rows = rows.withColumn("base", F.concat(named("assign", 0, F.col("assign")), named("access", 1, F.col("access")), named("hex", 2, F.col("hex"))))
-    more = F.when(F.size("tokens") > 0, named("random", 3, F.filter(apart(F.col("tokens"), F.col("base")), lambda s: accepted(s["m"])))).otherwise(named("random", 3, F.slice("tokens", 1, 0)))
-    return rows.withColumn("more", more).select(
+    rows = rows.select("doc_id", *_bases(), F.expr(find("text", TOKEN)).alias("tokens"))
+    limits = f"array({', '.join(str(highest.get(c, -1)) for c in range(len(ENCODINGS) * len(LENGTHS)))})"
+    rows = rows.withColumn("base", F.expr(f"array_sort(concat({named('assign', 0, 'assign')}, {named('access', 1, 'access')}, {named('hex', 2, 'hex')}))"))
+    rows = rows.withColumn("free", F.when(F.size("tokens") > 0, F.expr(apart("tokens", "base"))))
+    rows = rows.withColumn("found", F.when(F.size("free") > 0, F.expr(kept("free", f"get({limits}, {_class('s.m')}) >= {_bin('s.m')}"))))
+    everything = f"if(size(found) > 0, array_sort(concat(base, {named('random', 3, 'found')})), base)"
+    return rows.select(
         "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
-        F.sha2(written(F.array_sort("base")), 256).alias("base_sha256"),
-        written(F.array_sort(F.concat("base", "more"))).alias("spans"),
+        F.sha2(F.expr(written("base")), 256).alias("base_sha256"),
+        F.expr(written(everything)).alias("spans"),
     )
 
 

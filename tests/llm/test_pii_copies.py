@@ -21,7 +21,24 @@ def test_words_in_other_contexts_lower_trust(spark):
     assert {r["spans"] for r in pii.scan_pii(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 50").collect()} == {""}
     phones = [(k, f"badge: +1 555 123 40{k:02d}") for k in range(20)] + [(50, "z badge: ID-778812 w"), (60, "badge: +1"), (61, "badge:")]
     frame = spark.createDataFrame(phones, "doc_id long, text string")
-    found = pii._found(frame)
-    edges = found.selectExpr("explode(entities) e").selectExpr("e.pattern", "e.instance").distinct()
-    words = spark.createDataFrame([("badge:",)], "pattern string")
-    assert pii._contexts(frame, found, words, edges).collect()[0]["count"] == 20 + 1 + 2
+    patterns = spark.createDataFrame([("< badge:",)], "pattern string")
+    assert pii._contexts(frame, patterns).collect()[0]["contexts"] == 20 + 1 + 1
+
+
+def test_discovered_instances_induce_patterns(spark):
+    """Ids that the word before gives away are followed by a word that gives away others, in the next round."""
+    rows = [(k, f"x{k} badge: u{k}@x.org y{k}") for k in range(80)]
+    rows += [(100 + k, f"z{k} badge: ID-7788{k:02d} issued") for k in range(30)] + [(200, "they say ID-990011 issued"), (201, "they say ID-990012 today")]
+    got = {r["doc_id"]: r["spans"] for r in pii.scan_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("other:" in got[100 + k] for k in range(30))
+    assert got[200] == "other:9:18" and got[201] == ""
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert clean[200] == "they say [OTHER] issued" and clean[201] == rows[-1][1] and clean[3] == "x3 badge: [EMAIL] y3"
+
+
+def test_long_identifiers_and_both_sides(spark):
+    """Identifiers of any length; a pattern of the words on both sides where neither alone is enough."""
+    long = "A" * 300 + "-" + "7" * 300
+    rows = [(k, f"w ref {k}@x.org ends") for k in range(12)] + [(50, f"w ref {long} ends"), *[(60 + k, f"a ref plain{chr(97 + k)} other") for k in range(20)], *[(90 + k, f"a some plain{chr(97 + k)} ends") for k in range(20)]]
+    got = {r["doc_id"]: r["spans"] for r in pii.scan_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[50] == f"other:6:{6 + len(long)}"
