@@ -67,9 +67,9 @@ WORDS = "filter(split(" + replaced(f"translate(lower(text), '{MARK}', ' ')", "en
 
 
 def _patterns(left: str, right: str) -> str:
-    """The patterns in which a word between two others stands; entities and missing words make none."""
+    """The patterns in which a word between two others stands; entities and missing words make null ones."""
     before, after = (f"if(not startswith({w}, '{MARK}'), concat('{sign} ', {w}), null)" for sign, w in (("<", left), (">", right)))
-    return f"filter(array({before}, {after}, concat({before}, ' ', {after})), p -> p is not null)"
+    return f"array({before}, {after}, concat({before}, ' ', {after}))"
 
 
 def _found(docs: DataFrame) -> DataFrame:
@@ -83,28 +83,33 @@ def _found(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", *bare, F.expr(f"if(size(entities) > 0, {seen}, null)").alias("entities"))
 
 
-def _contexts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """How many different words stand in each pattern, entities included, told apart by 64-bit hashes: pattern, contexts."""
+def _contexts(docs: DataFrame, patterns: DataFrame, of: str = "true") -> DataFrame:
+    """How many different words stand in each pattern, entities included, told apart by 64-bit hashes: pattern, contexts. ``of``: of which rows."""
     rows = docs.select(whole_text(F.col("text")).alias("text"))
     rows = rows.select("text", F.expr(TOKENS).alias("tokens"), F.expr(f"concat({', '.join(base_spans().values())})").alias("seeds"))
-    rows = rows.select("text", F.expr(_entities("tokens", "seeds")).alias("entities")).select(F.expr(WORDS).alias("w"))
+    rows = rows.select("text", F.expr(_entities("tokens", "seeds")).alias("entities")).select(F.expr(f"if({of}, {WORDS}, null)").alias("w"))  # a filter would be pushed down and find all twice
     near = "transform(w, (x, i) -> named_struct('word', xxhash64(x), 'left', if(i > 0, get(w, i - 1), null), 'right', get(w, i + 1)))"
-    each = rows.select(F.expr(f"explode({near})").alias("x")).select("x.word", F.expr(f"explode({_patterns('x.left', 'x.right')})").alias("pattern"))
+    each = rows.select(F.expr(f"explode({near})").alias("x")).select("x.word", F.expr(f"explode({_patterns('x.left', 'x.right')})").alias("pattern")).where("pattern is not null")
     return each.join(few(patterns), "pattern", "left_semi").groupBy("pattern", "word").count().groupBy("pattern").agg(F.count(F.lit(1)).alias("contexts"))
 
 
 def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Spans of identifiers that trusted patterns discover: doc_id, h, extra (array of start, end); stored."""
     each = found.select("doc_id", "h", F.explode("entities").alias("e")).select("doc_id", "h", "e.*")
-    all_edges = stored(each.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
+    all_edges = stored(each.select("instance", "seed", F.explode("patterns").alias("pattern")).where("pattern is not null").groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
     # A pattern that could ever be induced and discover: of enough instances, some unknown.
-    support = all_edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("seed")).alias("unseen"))
-    able = stored(support.where((F.col("n") >= SUPPORT) & (F.col("unseen") > 0)).select("pattern"), "pii-patterns")
+    support = all_edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("seed")).alias("seeds"))
+    able = stored(support.where((F.col("n") >= SUPPORT) & (F.col("n") > F.col("seeds"))), "pii-able")
+    # Its contexts in texts with entities alone bound its trust from above; most patterns can't reach trust, so that few words are counted over all texts.
+    least = _contexts(docs, able.select("pattern"), "size(entities) > 0")
+    most = lambda known: F.col(known) / (F.coalesce("contexts", F.lit(0)) + SMOOTH) >= CONFIDENT
+    able = stored(able.join(least, "pattern", "left").where(most("n")).select("pattern", ((F.col("seeds") >= SUPPORT) & most("seeds")).alias("begins")), "pii-patterns")
     nothing = each.select("doc_id", "h", F.array(F.struct("start", "end")).alias("extra")).limit(0)
-    if able.isEmpty() or all_edges.where("seed").isEmpty():
+    # In the first round only seeds are known: where they trust no pattern, no later round finds anything.
+    if able.where("begins").isEmpty():
         drop(all_edges, able)
         return nothing
-    edges = stored(salted_to(all_edges, _contexts(docs, able), "pattern", F.col("instance")), "pii-graph")
+    edges = stored(salted_to(all_edges, _contexts(docs, able.select("pattern")), "pattern", F.col("instance")), "pii-graph")
     drop(all_edges, able)
     scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
     mass = lambda: scores.agg(F.round(F.sum("score"), 2)).first()[0]
