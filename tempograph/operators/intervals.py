@@ -11,14 +11,19 @@ def interval_join(left: DataFrame, right: DataFrame, bucket: float, how: str = "
 
     Each interval stands in every bucket that it touches. A pair is kept in the later of the two first
     buckets only, so that none comes twice and nothing has to be made distinct. ``by`` names further keys.
+    Rows with a null bound or key match nothing; repeated rows match each by itself. With ``how="left"`` left rows
+    without a match stay, with nulls.
     """
     spans = lambda df, s, e, f: df.withColumn(f, F.floor(F.col(s) / bucket)).withColumn("bucket", F.explode(F.sequence(f, F.floor(F.col(e) / bucket))))
     pairs = spans(left, "ls", "le", "lf").join(spans(right.where("rs <= re"), "rs", "re", "rf"), ["bucket", *by])
     pairs = pairs.where("rs <= le and re >= ls and bucket = greatest(lf, rf)").drop("bucket", "lf", "rf")
     if how == "inner":
         return pairs
-    found = pairs.select(*left.columns, *[c for c in right.columns if c not in by])
-    return left.join(found, left.columns, "left")
+    # Each copy of a left row has its own pairs; rows without any come by an anti join in which nulls are equal.
+    pairs = pairs.select(*left.columns, *[c for c in right.columns if c not in by])
+    met = pairs.select(*[F.col(c).alias(f"_met_{k}") for k, c in enumerate(left.columns)]).distinct()
+    same = [left[c].eqNullSafe(met[f"_met_{k}"]) for k, c in enumerate(left.columns)]
+    return pairs.unionByName(left.join(met, same, "left_anti"), allowMissingColumns=True)
 
 
 def match_cues(frames: DataFrame, cues: DataFrame, window: float, bucket: float = 60.0, by: list[str] = ()) -> DataFrame:

@@ -65,11 +65,11 @@ def scenes(spark, sf_dir: str) -> DataFrame:
 
 def _frames_and_cues(spark, sf_dir):
     t = timeline(spark, sf_dir)
-    return t.select(F.col("event_id").alias("id"), F.col("sec").alias("t")), t.select(F.col("event_id").alias("cue"), F.col("sec").alias("rs"), (F.col("sec") + F.col("value") * 0.1).alias("re"))
+    return t.select("movie_id", F.col("event_id").alias("id"), F.col("sec").alias("t")), t.select("movie_id", F.col("event_id").alias("cue"), F.col("sec").alias("rs"), (F.col("sec") + F.col("value") * 0.1).alias("re"))
 
 
 CUES = """SELECT f.event_id AS id, count(c.event_id) AS n_cues, coalesce(string_agg(c.event_id::VARCHAR, ',' ORDER BY c.sec, c.event_id), '') AS cues
-FROM tl f {how} JOIN tl c ON c.sec <= f.sec + 3 AND c.sec + c.value * 0.1 >= greatest(0, f.sec - 3) GROUP BY f.event_id"""
+FROM tl f {how} JOIN tl c ON c.movie_id = f.movie_id AND c.sec <= f.sec + 3 AND c.sec + c.value * 0.1 >= greatest(0, f.sec - 3) GROUP BY f.event_id"""
 
 
 @query(" " + CUES.format(how=""))
@@ -80,7 +80,7 @@ def interval_overlap_join(spark, sf_dir):
 @query(" " + CUES.format(how="LEFT"))
 def interval_overlap_left_counts(spark, sf_dir):
     frames, cues = _frames_and_cues(spark, sf_dir)
-    return I.match_cues(frames, cues, 3.0).select("id", F.size("cues").cast("long").alias("n_cues"), F.array_join("cues", ",").alias("cues"))
+    return I.match_cues(frames, cues, 3.0, by=["movie_id"]).select("id", F.size("cues").cast("long").alias("n_cues"), F.array_join("cues", ",").alias("cues"))
 
 
 @query(" SELECT movie_id, idx, coalesce(string_agg(label, '|') OVER (PARTITION BY movie_id ORDER BY idx ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), '') AS context FROM tl ")
@@ -302,7 +302,7 @@ def causal_pairs_top3(spark, sf_dir):
     return T.causal_pairs(timeline(spark, sf_dir).withColumn("title", F.col("label"))).select("movie_id", "idx", F.col("title").alias("cause"), "effect", "effect_idx")
 
 
-@query(" , a AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), b AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_suppkey % 10 = 0) SELECT DISTINCT l_orderkey, l_suppkey FROM a JOIN b USING (l_partkey)")
+@query(" , a AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), b AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) SELECT DISTINCT l_orderkey, l_suppkey FROM a JOIN b USING (l_partkey)")
 def array_overlap_join(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     return T.overlap_join(items.select("l_orderkey", "l_partkey").distinct(), items.select("l_suppkey", "l_partkey").distinct(), "l_partkey")
@@ -326,15 +326,17 @@ def json_tolerant_extract(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", documents.field(p, "$.k", "int", -1).alias("k"), documents.field(p, "$.missing", "string", "none").alias("missing"))
 
 
-LINES = ["Hello, Anna Smith", "Ben, come here", "My name is Clara", "This is Dora Lane and Hi Ed", "i am tired", "Nothing here"]
-VALUES = ", ".join(f"({k}, '{x}')" for k, x in enumerate(LINES))
+def _name_sql() -> str:
+    text = " || ".join(f"regexp_extract_all(text, '{p.replace(chr(39), chr(39) * 2)}', 1)" for p in S.NAME_PATTERNS)
+    bad = ", ".join(f"'{w}'" for w in S.NO_NAMES)
+    return f""" , n AS (SELECT conv_id, turn, role, text, list_transform({text}, lambda x: regexp_split_to_array(trim(x, ' \t\n\r'), '\\s+')) AS found FROM conversations),
+ m AS (SELECT conv_id, turn, role, list_transform(found, lambda x: CASE WHEN len(x) > 1 AND x[1] IN ({bad}) THEN array_to_string(x[2:], ' ') ELSE array_to_string(x, ' ') END) AS names FROM n)
+SELECT conv_id, turn, role, array_to_string(list_filter(names, lambda x: length(x) >= 3 AND x NOT IN ({bad})), ',') AS names FROM m"""
 
 
-@query(f""" , v(id, text) AS (VALUES {VALUES}), n AS (SELECT id, regexp_extract_all(text, '(?:Hello|Hi|Hey|Thanks|Thank you),? ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) || regexp_extract_all(text, '(?i)([A-Z][a-z]+), (?:come|look|wait|listen|stop|go)', 1)
- || regexp_extract_all(text, '(?i)(?:my name is|i am|i''m) ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) || regexp_extract_all(text, '(?i)(?:this is|meet) ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) AS names FROM v)
-SELECT id, array_to_string(list_filter(names, lambda x: length(x) >= 3), ',') AS names FROM n""")
+@query(_name_sql())
 def name_patterns(spark, sf_dir):
-    return spark.createDataFrame(list(enumerate(LINES)), "id int, text string").select("id", F.array_join(S.candidate_names(F.col("text")), ",").alias("names"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.array_join(S.candidate_names(F.col("text")), ",").alias("names"))
 
 
 def _cues(spark, sf_dir):
@@ -591,7 +593,7 @@ def location_rules(spark, sf_dir):
 
 
 @query(""" , w AS (SELECT movie_id, count(*) AS total, max(sec) AS d FROM tl GROUP BY movie_id), o AS (SELECT movie_id, label, count(*) AS n, max(sec) - min(sec) AS span, avg(sig) AS sig FROM tl GROUP BY ALL)
-SELECT movie_id, label, printf('%s appears in %d/%d analyzed events across a span of %.1fs (screen time ratio: %.1f%%) with average scene significance %.1f/10.', CASE WHEN label = 'error' THEN 'Unnamed character' ELSE chr(39) || label || chr(39) END, n, total, round(span, 1), round(round(span / d, 3) * 100, 1), round(sig, 1)) AS rationale FROM o JOIN w USING (movie_id)""")
+SELECT movie_id, label, printf('%s: in %d of %d events over %.1f s, %.1f%% of the time on screen, mean significance %.1f.', CASE WHEN label = 'error' THEN 'Unnamed character' ELSE chr(39) || label || chr(39) END, n, total, round(span, 1), round(round(span / d, 3) * 100, 1), round(sig, 1)) AS rationale FROM o JOIN w USING (movie_id)""")
 def lead_rationale(spark, sf_dir):
     p = T.prominence(timeline(spark, sf_dir))
     name = F.when(F.col("label") != "error", F.col("label"))

@@ -87,8 +87,8 @@ def test_clips_items_captions(movie):
 def test_story(movie):
     leads = T.prominence(movie["events"].select("movie_id", "idx", "sec", "sig", F.explode("cast").alias("label"))).withColumnRenamed("label", "who")
     rows = {r["movie_id"]: r for r in M.story(movie["heads"], movie["scenes"], movie["beats"], leads, M.ambiguous(movie["events"])).collect()}
-    assert rows[1]["open_uncertainties"] == ["High event interpretation ambiguity detected in events: [4].", "How the scenes outdoors and those at the club are connected is unconfirmed."]
-    assert "(4 scenes, 3 story beats; coverage status: COMPLETE)" in rows[1]["story_summary"] and "Ann" in rows[1]["story_summary"]
+    assert rows[1]["open_uncertainties"] == ["Events that can be read in several ways: [4].", "How the scenes outdoors and those at the club are connected is unconfirmed."]
+    assert "scenes 4, beats 3, coverage COMPLETE" in rows[1]["story_summary"] and "Ann" in rows[1]["story_summary"]
     assert rows[3]["story_summary"] == "No timeline events available for story reconstruction."
 
 
