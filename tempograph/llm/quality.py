@@ -77,7 +77,8 @@ class Network:
             if one:
                 x, m, at = one
                 df = g[k] * p["v"]
-                dm = (df[:FILTERS] / len(m) + df[FILTERS:] * (m == feats[k, FILTERS:])) * (m > 0)
+                top = m == feats[k, FILTERS:]  # of several chunks, if the largest lies in their common block
+                dm = (df[:FILTERS] / len(m) + df[FILTERS:] * top / top.sum(0)) * (m > 0)
                 row, col = np.nonzero(dm)
                 each.append(x[at[row, col, None] + np.arange(WIDTH)] * np.int64(FILTERS) + np.arange(WIDTH) * (256 * FILTERS) + lines[col, None])
                 weights.append(dm[row, col])

@@ -86,7 +86,8 @@ def _limbs(m: np.ndarray, bits: int) -> list[np.ndarray]:
 def _long_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Scores as longs, clamped. Rows beyond what longs sum exactly are multiplied as Python integers."""
     dim = max(1, q.shape[1])
-    top = [np.abs(m).max(1, initial=0) * SCALE for m in (q, c)]
+    with np.errstate(over="ignore"):
+        top = [np.abs(m).max(1, initial=0) * SCALE for m in (q, c)]
     modest = [t * dim < LONG for t in top]
     # The larger rows go, of either side, until the largest product left is within bounds.
     order = np.sort(np.concatenate([t[k] for t, k in zip(top, modest, strict=True)]))[::-1]
@@ -110,7 +111,7 @@ def _long_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 def select_tile(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
     """For each query its best k of this tile as (score, -id), best first. ``ids`` ascend, so a smaller place wins a tie."""
     n = len(ids)
-    if not q.shape[1] or np.abs(q).max() * SCALE * np.abs(c).max() * SCALE * q.shape[1] < EXACT:
+    if not q.shape[1] or math.prod([float(np.abs(q).max()), float(np.abs(c).max()), q.shape[1]]) < EXACT / SCALE**2:
         key = (q * SCALE) @ (c * SCALE).T * TILE_ROWS + (TILE_ROWS - 1 - np.arange(n))
         key[qid[:, None] == ids[None, :]] = -np.inf
         if n > k:

@@ -1,12 +1,13 @@
 """No sentence of a sampled document is left out of its bag."""
 
-import pandas as pd
+import pyarrow as pa
 
 from tempograph.llm import toxicity
 
 
 def test_training_takes_every_sentence():
     text = " ".join("an awful one." if k == 1001 else f"plain word {k}." for k in range(1500))
-    bags = list(toxicity._bags([pd.DataFrame({"doc_id": [1], "text": [text], "y": [1]})]))
-    got = next(toxicity._as_numbers({"awful": 0})(bags))
+    bag = next(toxicity._bags([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text], "y": [1]})]))
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1], "y": [1], "bag": bag["bag"]})
+    got = next(toxicity._as_numbers({"awful": 0})([rows]))
     assert got["empty"][0] == 1499 and got["sizes"][0] == [1] and got["ids"][0] == [0]
