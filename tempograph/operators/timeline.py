@@ -75,10 +75,13 @@ def identities(df: DataFrame, label: str = "label") -> DataFrame:
     return seen.withColumn("character_id", padded_id("CHARACTER", F.row_number().over(Window.partitionBy("movie_id").orderBy("first_idx", label))))
 
 
-def edges(df: DataFrame, key: str, member: str) -> DataFrame:
-    """Ordered pairs of different members of one event; of each pair its first event."""
-    a, b = df.select(key, F.col(member).alias("source")).distinct(), df.select(key, F.col(member).alias("target")).distinct()
-    return a.join(b, key).where("source <> target").groupBy("source", "target").agg(F.min(key).alias("first_event"))
+def edges(df: DataFrame, key: str, member: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Ordered pairs of different members of one event; of each pair its first event. ``by`` names further keys of an event, as its movie.
+
+    Repeated rows count once; a null key, event or member is in no pair.
+    """
+    a, b = df.select(*by, key, F.col(member).alias("source")).distinct(), df.select(*by, key, F.col(member).alias("target")).distinct()
+    return a.join(b, [*by, key]).where("source <> target").groupBy(*by, "source", "target").agg(F.min(key).alias("first_event"))
 
 
 def vote(evidence: DataFrame) -> DataFrame:
@@ -93,15 +96,27 @@ def first_of(df: DataFrame, keys: list[str], order: str = "idx") -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where("_n = 1").drop("_n")
 
 
-def prominence(df: DataFrame, label: str = "label", stop: tuple[str, ...] = ("leaving", "unknown")) -> DataFrame:
-    """0.40 share of events + 0.30 share of time + 0.20 significance + 0.10 for a name, in 0..1, 3 decimals; ranked."""
-    whole = df.groupBy("movie_id").agg(F.countDistinct("idx").alias("events"), F.greatest(F.lit(1.0), F.max("sec")).alias("duration"))
+#: Names that earn no bonus.
+NO_BONUS = ("leaving", "unknown")
+
+
+def ranked_leads(df: DataFrame, name: str, first: str) -> DataFrame:
+    """screen_ratio, score and rank of rows (movie_id, n, events, span, duration, mean_sig).
+
+    0.40 share of events + 0.30 share of time + 0.20 significance + 0.10 for a name, in 0..1, 3 decimals; ties go to more events, then to the lowest ``first``.
+    """
+    df = df.withColumn("screen_ratio", F.round(F.greatest(F.lit(0.0), F.col("span")) / F.greatest(F.lit(1.0), F.col("duration")), 3))
+    named = F.coalesce((F.col(name) != "") & ~F.lower(name).isin(*NO_BONUS), F.lit(False))
+    score = 0.40 * F.col("n") / F.col("events") + 0.30 * F.col("screen_ratio") + 0.20 * F.least(F.lit(1.0), F.coalesce("mean_sig", F.lit(5.0)) / 10.0) + F.when(named, 0.10).otherwise(0.0)
+    df = df.withColumn("score", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 3))
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy("movie_id").orderBy(F.desc("score"), F.desc("n"), first)))
+
+
+def prominence(df: DataFrame, label: str = "label") -> DataFrame:
+    """Leads among the labels of events (movie_id, idx, sec, sig), where every event has a label and a label is a name."""
+    whole = df.groupBy("movie_id").agg(F.countDistinct("idx").alias("events"), F.max("sec").alias("duration"))
     own = df.groupBy("movie_id", label).agg(F.countDistinct("idx").alias("n"), (F.max("sec") - F.min("sec")).alias("span"), F.sum("sig").alias("sig"), F.count(F.lit(1)).alias("k"), F.min("idx").alias("first"))
-    x = own.join(whole, "movie_id").withColumn("screen_ratio", F.round(F.col("span") / F.col("duration"), 3))
-    bonus = F.when(F.lower(label).isin(*stop), 0.0).otherwise(0.10)
-    score = 0.40 * F.col("n") / F.col("events") + 0.30 * F.col("screen_ratio") + 0.20 * F.least(F.lit(1.0), F.coalesce(F.col("sig") / F.col("k"), F.lit(5.0)) / 10.0) + bonus
-    x = x.withColumn("score", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 3))
-    return x.withColumn("rank", F.row_number().over(Window.partitionBy("movie_id").orderBy(F.desc("score"), F.desc("n"), "first")))
+    return ranked_leads(own.join(whole, "movie_id").withColumn("mean_sig", F.col("sig") / F.col("k")), label, "first")
 
 
 def coverage(n: Column, samples: Column, reached: Column, duration: Column) -> Column:
@@ -169,28 +184,45 @@ def layout(items: DataFrame) -> DataFrame:
 
 
 def validate_clips(clips: DataFrame, longest: float = 3.0, apart: float = 5.0) -> DataFrame:
-    """Errors and warnings of clips (movie_id, idx, clip_id, start, stop, duration, event, scene, reason, movie_end), by clip."""
-    last = F.lag("stop").over(order())
-    gap = F.col("start") - last
+    """Errors and warnings of clips (movie_id, idx, clip_id, start, stop, duration, event, scene, reason, movie_end, pushed), by clip.
+
+    What concerns two adjacent clips stands at the second. A pair of which either clip was ``pushed`` may be close, but may not overlap.
+    Of clips with one id all but the first are wrong. A null id, scene or reason counts as empty, a null event as 0, a null ``pushed``
+    as false; other nulls meet no rule.
+    """
+    gap = F.col("start") - F.lag("stop").over(order())
+    free = ~(F.coalesce("pushed", F.lit(False)) | F.coalesce(F.lag("pushed").over(order()), F.lit(False)))
     rule = lambda cond, code: F.when(cond, F.lit(code))
-    computed = F.col("stop") - F.col("start")
+    nameless = F.coalesce("clip_id", F.lit("")) == ""
     errors = [
-        rule(F.coalesce("clip_id", F.lit("")) == "", "empty_id"),
-        rule(F.count(F.lit(1)).over(Window.partitionBy("movie_id", "clip_id")) > 1, "duplicate_id"),
+        rule(nameless, "empty_id"),
+        rule(~nameless & (F.row_number().over(Window.partitionBy("movie_id", "clip_id").orderBy("idx")) > 1), "duplicate_id"),
         rule(F.col("duration") <= 0, "no_duration"),
         rule(F.col("duration") > longest + 0.01, "too_long"),
         rule(F.col("start") < 0, "negative_start"),
         rule(F.col("stop") <= F.col("start"), "end_before_start"),
-        rule(F.abs(F.col("duration") - computed) > 0.15, "duration_mismatch"),
+        rule(F.abs(F.col("duration") - F.round(F.col("stop") - F.col("start"), 2)) > 0.15, "duration_mismatch"),
         rule((F.col("movie_end") > 0) & (F.col("stop") > F.col("movie_end") + 1.0), "past_end"),
         rule(F.coalesce("event", F.lit(0)) <= 0, "no_event"),
         rule(F.coalesce("scene", F.lit("")) == "", "no_scene"),
         rule(gap < 0, "overlap"),
+        rule((gap >= 0) & (gap < 0.5) & free, "touching"),
     ]
-    warnings = [rule(F.coalesce("reason", F.lit("")) == "", "no_reason"), rule((gap >= 0) & (gap < 0.5), "touching"), rule((gap >= 0.5) & (gap < apart), "close"), rule(F.lag("start").over(order()) - F.col("start") > 5, "backwards")]
+    warnings = [rule(F.coalesce("reason", F.lit("")) == "", "no_reason"), rule((gap >= 0.5) & (gap < apart) & free, "close"), rule(F.lag("start").over(order()) - F.col("start") > 5, "backwards")]
     return clips.withColumns({"errors": F.array_compact(F.array(*errors)), "warnings": F.array_compact(F.array(*warnings))}).withColumn("valid", F.size("errors") == 0)
 
 
+def validate_plans(plans: DataFrame, checked: DataFrame) -> DataFrame:
+    """movie_id, errors, warnings (how many), valid: one row for each plan (movie_id, total_clips) over its validated clips.
+
+    A plan that reports clips but has none is wrong. Without either it is valid; a null total counts as 0.
+    """
+    own = checked.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("errors")).alias("e"), F.sum(F.size("warnings")).alias("w"))
+    none = ((F.coalesce("n", F.lit(0)) == 0) & (F.coalesce("total_clips", F.lit(0)) > 0)).cast("long")
+    df = plans.select("movie_id", "total_clips").join(own, "movie_id", "left").select("movie_id", (F.coalesce("e", F.lit(0)) + none).alias("errors"), F.coalesce("w", F.lit(0)).alias("warnings"))
+    return df.withColumn("valid", F.col("errors") == 0)
+
+
 def metrics(items: DataFrame) -> DataFrame:
     """Counts and seconds by item type, and the share of moving footage."""
     part = lambda kind: F.coalesce(F.sum(F.when(F.col("item_type") == kind, F.col("duration"))), F.lit(0).cast("decimal(12,2)"))

@@ -208,19 +208,30 @@ def clip_packing(spark, sf_dir):
     return T.pack_clips(t.withColumn("movie_end", F.max("t").over(Window.partitionBy("movie_id")) + 5))
 
 
-@query(""" , c AS (SELECT l_orderkey AS movie_id, idx, CASE WHEN idx % 5 = 0 THEN 'x' ELSE l_partkey::VARCHAR END AS clip_id, l_quantity AS start, l_quantity + l_discount * 40 AS stop, l_tax * 50 AS duration, l_suppkey % 7 AS event FROM li),
-n AS (SELECT *, start - lag(stop) OVER w AS gap, lag(start) OVER w - start AS back, count(*) OVER (PARTITION BY movie_id, clip_id) AS same FROM c WINDOW w AS (PARTITION BY movie_id ORDER BY idx))
-SELECT movie_id, idx, concat_ws(',', CASE WHEN same > 1 THEN 'duplicate_id' END, CASE WHEN duration <= 0 THEN 'no_duration' END, CASE WHEN duration > 3.01 THEN 'too_long' END, CASE WHEN stop <= start THEN 'end_before_start' END,
- CASE WHEN abs(duration - (stop - start)) > 0.15 THEN 'duration_mismatch' END, CASE WHEN stop > 46 THEN 'past_end' END, CASE WHEN event <= 0 THEN 'no_event' END, CASE WHEN gap < 0 THEN 'overlap' END) AS errors,
- concat_ws(',', CASE WHEN gap >= 0 AND gap < 0.5 THEN 'touching' END, CASE WHEN gap >= 0.5 AND gap < 5 THEN 'close' END, CASE WHEN back > 5 THEN 'backwards' END) AS warnings FROM n""")
+@query(""" , c AS (SELECT l_orderkey AS movie_id, idx, CASE WHEN idx % 5 = 0 THEN 'x' ELSE l_partkey::VARCHAR END AS clip_id, l_quantity AS start, l_quantity + l_discount * 40 AS stop, l_tax * 50 AS duration, l_suppkey % 7 AS event, l_suppkey % 3 = 0 AS pushed FROM li),
+n AS (SELECT *, start - lag(stop) OVER w AS gap, lag(start) OVER w - start AS back, NOT pushed AND NOT coalesce(lag(pushed) OVER w, false) AS free, row_number() OVER (PARTITION BY movie_id, clip_id ORDER BY idx) AS nth FROM c WINDOW w AS (PARTITION BY movie_id ORDER BY idx))
+SELECT movie_id, idx, concat_ws(',', CASE WHEN nth > 1 THEN 'duplicate_id' END, CASE WHEN duration <= 0 THEN 'no_duration' END, CASE WHEN duration > 3.01 THEN 'too_long' END, CASE WHEN stop <= start THEN 'end_before_start' END,
+ CASE WHEN abs(duration - round(stop - start, 2)) > 0.15 THEN 'duration_mismatch' END, CASE WHEN stop > 46 THEN 'past_end' END, CASE WHEN event <= 0 THEN 'no_event' END, CASE WHEN gap < 0 THEN 'overlap' END, CASE WHEN gap >= 0 AND gap < 0.5 AND free THEN 'touching' END) AS errors,
+ concat_ws(',', CASE WHEN gap >= 0.5 AND gap < 5 AND free THEN 'close' END, CASE WHEN back > 5 THEN 'backwards' END) AS warnings FROM n""")
 def validator_pairs(spark, sf_dir):
     c = lines(spark, sf_dir).select(
         F.col("l_orderkey").alias("movie_id"), "idx", F.when(F.col("idx") % 5 == 0, "x").otherwise(F.col("l_partkey").cast("string")).alias("clip_id"), F.col("l_quantity").alias("start"),
         (F.col("l_quantity") + F.col("l_discount") * 40).alias("stop"), (F.col("l_tax") * 50).alias("duration"), (F.col("l_suppkey") % 7).cast("int").alias("event"), F.lit("s").alias("scene"), F.lit("r").alias("reason"), F.lit(45.0).alias("movie_end"),
+        (F.col("l_suppkey") % 3 == 0).alias("pushed"),
     )
     return T.validate_clips(c).select("movie_id", "idx", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"))
 
 
+@query(""" , e AS (SELECT movie_id, count(*) AS events, greatest(1.0, max(sec)) AS duration FROM tl GROUP BY movie_id),
+c AS (SELECT movie_id, label, count(*) AS n, arg_max(sec, idx) - arg_min(sec, idx) AS span, avg(sig) AS sig, printf('CHARACTER_%03d', row_number() OVER (PARTITION BY movie_id ORDER BY min(idx), label)) AS character_id FROM tl GROUP BY movie_id, label),
+x AS (SELECT c.*, events, round(greatest(0.0, span) / duration, 3) AS screen_ratio FROM c JOIN e USING (movie_id)),
+y AS (SELECT *, round(least(1.0, greatest(0.0, 0.40::DOUBLE * n / events + 0.30::DOUBLE * screen_ratio + 0.20::DOUBLE * least(1.0::DOUBLE, sig / 10.0::DOUBLE) + CASE WHEN label = 'error' THEN 0.0::DOUBLE ELSE 0.10::DOUBLE END)), 3) AS score FROM x)
+SELECT movie_id, character_id, CASE WHEN label <> 'error' THEN label END AS name, n, screen_ratio, score, row_number() OVER (PARTITION BY movie_id ORDER BY score DESC, n DESC, character_id)::INTEGER AS rank FROM y""")
+def story_leads(spark, sf_dir):
+    events, characters, appearances, _ = _movie(spark, sf_dir)
+    return M.leads(events, characters, appearances).select("movie_id", "character_id", "name", "n", "screen_ratio", "score", "rank")
+
+
 ITEMS = """ , i AS (SELECT l_orderkey AS movie_id, idx, CASE l_returnflag WHEN 'A' THEN 'STILL_FREEZE' WHEN 'R' THEN 'BLACK_TRANSITION' ELSE 'SOURCE_CLIP' END AS item_type, (l_quantity * 0.06)::DECIMAL(12,2) AS duration FROM li)
 """
 

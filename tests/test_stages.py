@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tempograph.__main__ import INPUTS, main
 from tempograph.functions import scalars as S
-from tempograph.operators import timeline as T
 from tempograph.plans import stages as M
 from tempograph.sources.documents import staged
 
@@ -85,13 +84,22 @@ def test_clips_items_captions(movie):
 
 
 def test_story(movie):
-    leads = T.prominence(movie["events"].select("movie_id", "idx", "sec", "sig", F.explode("cast").alias("label"))).withColumnRenamed("label", "who")
+    leads = M.leads(movie["events"], movie["characters"], movie["appearances"])
     rows = {r["movie_id"]: r for r in M.story(movie["heads"], movie["scenes"], movie["beats"], leads, M.ambiguous(movie["events"])).collect()}
     assert rows[1]["open_uncertainties"] == ["Events that can be read in several ways: [4].", "How the scenes outdoors and those at the club are connected is unconfirmed."]
     assert "scenes 4, beats 3, coverage COMPLETE" in rows[1]["story_summary"] and "Ann" in rows[1]["story_summary"]
     assert rows[3]["story_summary"] == "No timeline events available for story reconstruction."
 
 
+def test_leads(spark):
+    events = spark.createDataFrame([(1, k, 10.0 * k, 5) for k in range(10)], "movie_id int, event int, sec double, sig int")
+    characters = [(1, "c1", None, 10.0, 19.0), (1, "c2", "Ann", None, None), (1, "c3", "Ann", 0.0, 90.0), (1, "c4", "Unknown", 9.0, None), (2, "c1", "Bob", 0.0, 1.0)]
+    characters = spark.createDataFrame(characters, "movie_id int, character_id string, name string, first_seen double, last_seen double")
+    appearances = spark.createDataFrame([(1, "c1", 1), (1, "c1", 2), (1, "c3", 3), (1, "c3", 99)], "movie_id int, character_id string, event int")
+    got = [tuple(r) for r in M.leads(events, characters, appearances).select("rank", "character_id", "who", "n", "score").orderBy("rank").collect()]
+    assert got == [(1, "c3", "Ann", 2, 0.58), (2, "c1", "c1", 2, 0.21), (3, "c2", "Ann", 0, 0.2), (4, "c4", "Unknown", 0, 0.1)]
+
+
 @pytest.mark.parametrize(("text", "width", "want"), [("one two three", 8, "one two\nthree"), ("one two", 7, "one\ntwo"), ("a b c d e", 3, "a b\nc d e"), ("", 9, ""), ("word", 2, "word")])
 def test_wrap(spark, text, width, want):
     assert spark.range(1).select(S.wrap_caption(F.lit(text), width).alias("x")).first()["x"] == want

@@ -72,8 +72,21 @@ def test_grid_and_cues(spark):
 def test_packing_and_validation(spark):
     events = spark.createDataFrame([(1, k, 3.0 * k, 600.0) for k in range(4)], "movie_id long, ord int, t double, movie_end double")
     assert [r["start"] for r in T.pack_clips(events).orderBy("ord").collect()] == [0, 5, 10, 15]
-    clip = spark.createDataFrame([(1, 1, "a", -1.0, 9.0, 10.0, 1, "s", "r", 600.0)], "movie_id long, idx int, clip_id string, start double, stop double, duration double, event int, scene string, reason string, movie_end double")
+    kinds = "movie_id long, idx int, clip_id string, start double, stop double, duration double, event int, scene string, reason string, movie_end double, pushed boolean"
+    clip = spark.createDataFrame([(1, 1, "a", -1.0, 9.0, 10.0, 1, "s", "r", 600.0, None)], kinds)
     assert T.validate_clips(clip).first()["errors"] == ["too_long", "negative_start"]
+    # The second of two alike ids; touching is wrong unless either clip was pushed; overlap always is.
+    rows = [(1, "a", 0.0, False), (2, "a", 3.2, False), (3, None, 6.3, True), (4, None, 9.4, None), (5, "b", 12.0, True), (6, "c", 17.0, False), (7, "d", 22.0, False)]
+    checked = T.validate_clips(spark.createDataFrame([(1, i, x, t, t + 3, 3.0, 1, "s", "r", None, p) for i, x, t, p in rows], kinds))
+    got = {r["idx"]: (r["errors"], r["warnings"]) for r in checked.collect()}
+    assert got == {1: ([], []), 2: (["duplicate_id", "touching"], []), 3: (["empty_id"], []), 4: (["empty_id"], []), 5: (["overlap"], []), 6: ([], []), 7: ([], ["close"])}
+    plans = spark.createDataFrame([(1, 7), (2, 3), (3, 0), (4, None)], "movie_id long, total_clips int")
+    assert sorted(tuple(r) for r in T.validate_plans(plans, checked).collect()) == [(1, 5, 1, False), (2, 1, 0, False), (3, 0, 0, True), (4, 0, 0, True)]
+
+
+def test_edges(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 1, "b"), (2, 1, "c"), (2, 2, "a"), (2, 2, None)], "movie_id long, event int, who string")
+    assert sorted(tuple(r) for r in T.edges(df, "event", "who", ("movie_id",)).collect()) == [(1, "a", "b", 1), (1, "b", "a", 1)]
 
 
 def test_names_and_documents(spark):
