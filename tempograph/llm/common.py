@@ -10,7 +10,7 @@ import types
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -100,6 +100,16 @@ def slices(batches, rows: int = FRAME):
             yield batch.slice(k, rows)
 
 
+def pieces(raw: bytes, span: int = 1 << 20):
+    """The runs of a text, each of about ``span`` bytes, cut before a space; a word is never cut."""
+    start = 0
+    while start < len(raw):
+        end = raw.find(b" ", start + span)
+        end = len(raw) if end < 0 else end
+        yield raw[start:end]
+        start = end
+
+
 def give_back() -> None:
     """Return freed memory to the system, where the C library can."""
     pa.default_memory_pool().release_unused()
@@ -146,3 +156,17 @@ def salted_to(many: DataFrame, one: DataFrame, key: str, spread: Column, salts:
 def spread_out(salts: int = 64) -> Column:
     """One row for each salt in a mask."""
     return F.explode(F.expr(f"filter(sequence(0, {salts - 1}), s -> shiftrightunsigned(mask, s) & 1 = 1)"))
+
+
+def ranked(df: DataFrame, order: list[Column], group: list[str], name: str) -> DataFrame:
+    """``df`` with ``rank`` (long, from 1) by ``order`` within ``group``, with no task getting more than a range of the rows.
+
+    Rows are dealt by range and stored with their range's number; a prefix sum over the ranges' counts, one small row for each range and
+    group, gives each range its base. The stored table is left for the result to read.
+    """
+    cut = stored(df.repartitionByRange(*[F.col(g) for g in group], *order).withColumn("part", F.spark_partition_id()), name)
+    counts = cut.groupBy(*group, "part").agg(F.count(F.lit(1)).alias("here"))
+    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(*group, "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("base"))
+    numbered = cut.withColumn("place", F.row_number().over(Window.partitionBy(*group, "part").orderBy(*order)))
+    return numbered.join(F.broadcast(bases), [*group, "part"]).withColumn("rank", F.col("base") + F.col("place")).drop("part", "base", "place")

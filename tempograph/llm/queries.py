@@ -1,6 +1,6 @@
 """Queries of this subpackage, with DuckDB SQL where it can express them."""
 
-from . import bpe, exact_dedup, license_scan, near_dedup, packing, pii, quality, secrets_scan, topk, toxicity
+from . import bpe, collocations, exact_dedup, license_scan, maxent, near_dedup, packing, pii, quality, resampling, secrets_scan, topk, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -13,10 +13,14 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_lm_scoring": maxent.op11_lm_scoring,
+    "op12_resampling": resampling.op12_resampling,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES = {
     "op2_topk_search": topk.ORACLE,
     "op4_near_dedup": near_dedup.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
