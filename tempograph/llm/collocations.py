@@ -248,6 +248,7 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, cover: i
     lowest = both.groupBy("lang", "phrase", "a").agg(F.min(F.struct(F.expr(SCORE).alias("score"), "k", "l", "r")).alias("b"))
     flat = lowest.select("lang", "phrase", "a", "b.l", "b.r", "b.score")
     first = ranked(flat, [F.desc("score"), F.desc("a"), F.asc("phrase")], ["lang"], "collocations").where(F.col("rank") <= top)
+    drop(*found)
     # A language is a row here: the counts of its words.
     return first.join(sizes, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
 

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_frames, pieces, ranked, stored, table
+from .common import drop, in_frames, pieces, ranked, stored, table
 
 LONGEST, BUCKETS, SHARE, LEAST, SEED = 3, 10_000, 5, 20, 42
 #: Letters in lower case, other bytes that stand in no word as spaces.
@@ -94,8 +94,9 @@ def resample(docs: DataFrame, target: DataFrame, share: int = SHARE, least: int
     scored = in_frames(rows, weigh, "doc_id long, n_words long, n_features long, weight long")
     scored = scored.select("doc_id", "n_features", "weight", (F.col("weight") + drawn_by).alias("score"), (F.col("n_words") >= least).alias("long_enough"))
     order = [F.desc("long_enough"), F.desc("score"), F.asc_nulls_last("doc_id"), F.desc("n_features"), F.desc("weight")]
-    places = ranked(scored, order, [], "resampling")
     draws = rows.where(F.col("n_words") >= least).count() * share // 100
+    places = ranked(scored, order, [], "resampling")
+    drop(rows)
     return places.select("doc_id", "n_features", "weight", "score", F.when(F.col("long_enough") & (F.col("rank") <= draws), F.col("rank")).alias("rank"))
 
 
