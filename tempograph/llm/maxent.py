@@ -5,8 +5,8 @@ most SLOTS / 2 words can have that), the others by hash. A slot is a member of a
 
     P(word | history) = P(class | history) * P(member | class, history) * P(word | slot)
 
-The first two are softmaxes over weights of hashed features: the word before, the two words before as an n-gram, and the
-words two and three before by themselves (skips). They start as the slots' shares, so that features only add. The last is
+The first two are softmaxes over weights of hashed features: the word before, the two words before as an n-gram, and, for the class,
+the words two and three before by themselves (skips). They start as the slots' shares, so that features only add. The last is
 the word's add-one share of its slot's tokens, unknown words included.
 
 Training is by gradient updates: in each of ``ROUNDS`` rounds every task walks over its part of the training documents of that round
@@ -31,7 +31,7 @@ from .common import drop, in_frames, pieces, stored, table, whole_text
 
 FOLDS, HELD = 7, 2
 CLASSES = MEMBERS = 16
-SLOTS, ROWS, COMMON = CLASSES * MEMBERS, 1 << 15, 1 << 16
+SLOTS, ROWS, COMMON = CLASSES * MEMBERS, 1 << 15, 1 << 20
 ROUNDS, STEP, RATE = 2, 4096, 0.1
 #: Tokens of a block, distinct words that a task adds up before it sends them, words whose numbers it remembers.
 BLOCK, SENT, MEMO = 1 << 18, 200_000, 300_000
@@ -41,6 +41,8 @@ PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in ra
 END = b" "
 #: Features of a history: the hashed words that make it up, by distance.
 FEATURES = ((1,), (1, 2), (2,), (3,))
+#: How many of them the members' softmax has; skips tell classes only.
+NEAR = 2
 MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 #: Weights that travel as one row.
 CHUNK = 1 << 11
@@ -76,15 +78,17 @@ class Codes(dict):
     def __init__(self, common: list[bytes], own: int):
         super().__init__()
         self.own = own
-        self.fixed = {w: zlib.crc32(w) | self.slot(w, k) << 32 | k + 1 << 44 for k, w in enumerate(common)}
+        self.fixed = {w: self.code(w, k) | k + 1 << 42 for k, w in enumerate(common)}
         self.update(self.fixed)
 
-    def slot(self, word: bytes, k: int) -> int:
+    def code(self, word: bytes, k: int) -> int:
         """The first ``own`` words have slots of their own."""
-        return k if k < self.own else self.own + zlib.crc32(word) % (SLOTS - self.own)
+        crc = zlib.crc32(word)
+        return crc | (k if k < self.own else self.own + crc % (SLOTS - self.own)) << 32
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = code = zlib.crc32(word) | self.slot(word, self.own) << 32
+        crc = zlib.crc32(word)
+        self[word] = code = crc | self.own + crc % (SLOTS - self.own) << 32
         return code
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -136,10 +140,10 @@ class Model:
 
     def layers(self, code: np.ndarray, rows: list[np.ndarray]):
         """Of both softmaxes: its name, the rows of its weights, its logits before features, and the outcome."""
-        slot = code >> 32 & 0xFFF
+        slot = code >> 32 & 0x3FF
         cls, member = slot % CLASSES, slot // CLASSES
         yield "class", [r & ROWS - 1 for r in rows], self.start["class"][None, :], cls
-        yield "member", [(r ^ (cls + 1) * 0x2545F491) * 0x9E3779B1 >> 7 & ROWS - 1 for r in rows], self.start["member"][cls], member
+        yield "member", [(r ^ (cls + 1) * 0x2545F491) * 0x9E3779B1 >> 7 & ROWS - 1 for r in rows[:NEAR]], self.start["member"][cls], member
 
     def probabilities(self, name: str, rows: list[np.ndarray], base: np.ndarray) -> np.ndarray:
         w = self.p[name]
@@ -161,15 +165,18 @@ class Model:
         return total
 
     def gradient(self, code: np.ndarray, rows: list[np.ndarray]):
-        """(name, distinct rows, gradient of their weights, how often each occurs), for each softmax and feature, over some tokens."""
+        """Of each softmax: its name, the distinct rows of its weights, their gradient over some tokens, and how often each row occurs."""
         for name, at, base, hit in self.layers(code, rows):
             g = self.probabilities(name, at, base)
             g[np.arange(len(hit)), hit] -= 1
-            for r in at:
-                order = np.argsort(r.astype(np.uint16), kind="stable")
-                ordered = r[order]
-                begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                yield name, ordered[begins], np.add.reduceat(g.take(order, axis=0), begins, axis=0), np.diff([*begins, len(r)])
+            every = np.concatenate(at).astype(np.uint16)
+            order = np.argsort(every, kind="stable")
+            every = every[order]
+            ends = np.flatnonzero(np.append(every[1:] != every[:-1], True))
+            # Sums of runs as differences of running sums.
+            total = np.cumsum(g.take(order % len(hit), axis=0), axis=0)[ends]
+            total[1:] -= total[:-1].copy()
+            yield name, every[ends], total, np.diff(ends, prepend=-1)
 
 
 def _train(model: Model, common: list[bytes], own: int):
@@ -185,10 +192,10 @@ def _train(model: Model, common: list[bytes], own: int):
                 for s in range(0, len(code), STEP):
                     # The gradient is taken before the step, whole, so that all features see the same weights.
                     for name, at, g, n in list(mine.gradient(code[s : s + STEP], [r[s : s + STEP] for r in rows])):
-                        g /= np.sqrt(n)[:, None].astype(np.float32)
-                        power[name][at] += (g * g).mean(1)
+                        power[name][at] += np.einsum("ij,ij->i", g, g) / (n * g.shape[1])
                         met[name][at] += n
-                        mine.p[name][at] -= RATE * g / np.sqrt(power[name][at])[:, None]
+                        g *= (RATE / np.sqrt(n * power[name][at]))[:, None]
+                        mine.p[name][at] -= g
         if any(n.any() for n in met.values()):
             for name, n in met.items():
                 change = (mine.p[name] - model.p[name]) * n[:, None]
@@ -269,7 +276,7 @@ def score_texts(docs: DataFrame, train: DataFrame | None = None, rounds: int = R
             n, known, base, score, rare = (np.zeros(size, t) for t in (np.int64, np.int64, np.float64, np.float64, np.int64))
             unknown: list[bytes] = []
             for words, code, features, doc in blocks(batch["text"].to_pylist(), codes):
-                number, slot = code >> 44, code >> 32 & 0xFFF
+                number, slot = code >> 42, code >> 32 & 0x3FF
                 is_common = number > 0
                 add = np.where(is_common, np.append(0.0, of_common)[number], 0.0)
                 n += np.bincount(doc, minlength=size)
