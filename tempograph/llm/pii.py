@@ -4,8 +4,9 @@ Seeds are the base entities; instances that may be discovered are tokens with di
 the word before an entity, the word after it, and both together; patterns and instances form a graph. A
 pattern is induced once ``SUPPORT`` known instances stand in it. Its trust is the mass of its instances'
 scores over all distinct contexts of it: its instances, and the other tokens that stand in it. So copies of
-texts don't count. An instance is known by the noisy-or of its trusted patterns (seeds are). ``ROUNDS``
-rounds of both, as DataFrames, let instances that one round discovers induce the patterns of the next.
+texts don't count. An instance is known by the noisy-or of its trusted patterns (seeds are). Rounds of
+both, as DataFrames, let instances that one round discovers induce the patterns of the next. Scores never
+fall, so rounds go on to the fixed point: until no pattern becomes trusted and no score rises by ``STILL``.
 
 Everything is DataFrame functions. Texts are not shuffled; what is stored and joined are the entities, and
 the edges of the graph meet patterns and instances by salted keys.
@@ -28,7 +29,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 #: Identifiers that may be discovered: one token of 6 characters or more with ``MIN_DIGITS`` digits or more.
 TOKEN = r"(?<![A-Za-z0-9._+@/-])(?=[A-Za-z._+@/-]*+[0-9])[A-Za-z0-9][A-Za-z0-9._+@/-]{5,}+"
-MIN_DIGITS, ROUNDS, SUPPORT, CONFIDENT, SMOOTH = 5, 8, 5, 0.7, 2.0
+MIN_DIGITS, SUPPORT, CONFIDENT, SMOOTH, STILL = 5, 5, 0.7, 2.0, 1e-6
 #: Stands before an entity in a tokenized text, and for the blanks in one.
 MARK = "\u0001"
 
@@ -62,8 +63,8 @@ def _entities(tokens: str, seeds: str) -> str:
     return f"if(size({tokens}) + size({seeds}) > 0, {let(several, 'en', first)}, {entity(f'slice({seeds}, 1, 0)', 'true')})"
 
 
-#: The words of the column ``text`` in lower case; an entity is one word, marked.
-WORDS = "filter(split(" + replaced(f"translate(lower(text), '{MARK}', ' ')", "entities", "concat(' ', s.instance, ' ')") + r", '\\s+'), w -> w <> '')"
+#: The words of the column ``text`` in lower case; an entity is one word, marked. Lower-cased last, since that can lengthen a text.
+WORDS = "filter(split(lower(" + replaced(f"translate(text, '{MARK}', ' ')", "entities", "concat(' ', s.instance, ' ')") + r"), '\\s+'), w -> w <> '')"
 
 
 def _patterns(left: str, right: str) -> str:
@@ -111,26 +112,31 @@ def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
         return nothing
     edges = stored(salted_to(all_edges, _contexts(docs, able.select("pattern")), "pattern", F.col("instance")), "pii-graph")
     drop(all_edges, able)
-    scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    mass = lambda: scores.agg(F.round(F.sum("score"), 2)).first()[0]
-    before = mass()
-    for _ in range(ROUNDS):
-        scored = salted_to(edges, scores, "instance", F.col("pattern"))
+    scores = stored(edges.groupBy("instance").agg(F.max("seed").alias("seed")).select("instance", F.col("seed").cast("double").alias("score"), "seed"), "pii-scores")
+    trusted, known_patterns = None, 0
+    while True:
+        scored = salted_to(edges.drop("seed"), scores, "instance", F.col("pattern"))
         trust = scored.groupBy("pattern").agg((F.sum("score") / (F.max("contexts") + SMOOTH)).alias("trust"), F.count_if(F.col("score") >= CONFIDENT).alias("known"))
-        trusted = stored(trust.where((F.col("trust") >= CONFIDENT) & (F.col("known") >= SUPPORT)).select("pattern", "trust"), "pii-trusted")
-        told = salted_to(edges, trusted, "pattern", F.col("instance")).groupBy("instance").agg(F.sum(F.ln(1 - F.least(F.lit(0.999), F.col("trust")))).alias("miss"))
-        known = edges.groupBy("instance").agg(F.max("seed").alias("seed")).join(told, "instance", "left")
-        scores = stored(known.select("instance", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("miss", F.lit(0.0)))).alias("score"), "seed"), "pii-scores")
-        if (now := mass()) == before:
+        before, trusted = trusted, stored(trust.where((F.col("trust") >= CONFIDENT) & (F.col("known") >= SUPPORT)).select("pattern", "trust"), "pii-trusted")
+        told = salted_to(edges.select("pattern", "instance"), trusted, "pattern", F.col("instance")).groupBy("instance").agg(F.sum(F.ln(1 - F.least(F.lit(0.999), F.col("trust")))).alias("miss"))
+        new_score = F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("miss", F.lit(0.0))))
+        last, scores = scores, stored(scores.join(told, "instance", "left").select("instance", new_score.alias("score"), "seed", (new_score - F.col("score")).alias("rise")), "pii-scores")
+        drop(last, *([before] if before else []))
+        had, known_patterns = known_patterns, trusted.count()
+        if known_patterns == had and scores.where(F.col("rise") >= STILL).isEmpty():
             break
-        before = now
+    drop(edges)
     new = stored(scores.where(~F.col("seed") & (F.col("score") >= CONFIDENT)).select("instance"), "pii-new")
+    drop(scores)
     if new.isEmpty():
+        drop(new, trusted)
         return nothing
     # An instance is taken where it stands in a trusted pattern.
     places = each.where("not seed").select("doc_id", "h", "start", "end", "instance", F.explode("patterns").alias("pattern"))
     places = places.join(few(trusted), "pattern", "left_semi").join(few(new), "instance", "left_semi")
-    return stored(places.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("extra")), "pii-extra")
+    extra = stored(places.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("extra")), "pii-extra")
+    drop(new, trusted)
+    return extra
 
 
 def _with_extra(rows: DataFrame, extra: DataFrame, h: str = "h", name: str = "extra") -> DataFrame:

@@ -42,3 +42,22 @@ def test_long_identifiers_and_both_sides(spark):
     rows = [(k, f"w ref {k}@x.org ends") for k in range(12)] + [(50, f"w ref {long} ends"), *[(60 + k, f"a ref plain{chr(97 + k)} other") for k in range(20)], *[(90 + k, f"a some plain{chr(97 + k)} ends") for k in range(20)]]
     got = {r["doc_id"]: r["spans"] for r in pii.scan_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[50] == f"other:6:{6 + len(long)}"
+
+
+def test_offsets_behind_letters_that_lower_case_lengthens(spark):
+    dotted = "\u0130" * 8
+    rows = [(k, f"x{k} badge: u{k}@x.org y") for k in range(20)] + [(50, f"{dotted}z badge: ID-778812 w")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["spans"] for r in pii.scan_pii(frame).collect()}[50] == "other:17:26"
+    assert {r["doc_id"]: r["text"] for r in pii.redact(frame).collect()}[50] == f"{dotted}z badge: [OTHER] w"
+
+
+def test_chain_of_many_rounds(spark):
+    """Each group of ids tips the next pattern over its trust, round after round, to the last."""
+    levels, n = 14, iter(range(10**6))
+    said = lambda k, what: (m := next(n), f"t{m} key{k}: {what} y{m}")
+    ids = lambda j: [f"ID-{j:02d}{i}00{i}" for i in range(3)]
+    rows = [said(0, f"s{i}@x.org") for i in range(20)] + [said(k, f"u{k}x{i}@x.org") for k in range(1, levels) for i in range(12)]
+    rows += [said(k, x) for j in range(1, levels + 1) for k in (j - 1, j) if k < levels for x in ids(j)]
+    got = {r["doc_id"]: r["spans"] for r in pii.scan_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("other:" in got[m] for m, t in rows if "ID-" in t)
