@@ -41,3 +41,14 @@ def test_gradient_by_differences():
         net.p[name][place] = old - d
         assert np.isclose((up - loss()) / (2 * d), grad[name][place], atol=2e-3)
         net.p[name][place] = old
+
+
+def test_epochs_go_on_until_the_loss_is_steady():
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 160).astype(np.float32)
+    raws = [bytes(rng.integers(97, 123, 300, dtype=np.uint8)) + (b" good" if t else b" poor") * 5 for t in y]
+    net = quality.Network().fit(raws, y)
+    n = len(net.losses)
+    assert quality.LEAST_EPOCHS <= n <= quality.MOST_EPOCHS and net.losses[-1] < 0.1
+    assert n == quality.MOST_EPOCHS or min(net.losses[: -quality.PATIENCE]) - min(net.losses[-quality.PATIENCE :]) < quality.STEADY
+    assert np.mean([(net.score(r) >= 0.5) == t for r, t in zip(raws, y)]) > 0.95
