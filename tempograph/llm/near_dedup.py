@@ -13,6 +13,14 @@ count the intersections; each pair of tiles is a row of its own, dealt by (bucke
 component no pair is needed, so that large groups of near copies cost a star and not a square, and what is
 emitted are links, not pairs.
 
+Buckets of more than a tile that still hold several components are crowds: texts of one template, say, that
+are almost similar enough. Their members leave the buckets for smaller ones, one for each of their rarest
+shingles. In one common order of shingles, rare ones first, two sets of the wanted similarity share one that
+is among the first n - ceil(2 p n / (100 + p)) + 1 of the smaller set (its index) and among the first
+n - ceil(p n / 100) + 1 of the larger one, so no link is lost; what texts have of their template comes late
+in that order, and shingles that are in no index are dropped. These buckets go the same way, star first, where
+pairs without an index member aren't needed.
+
 A bucket, a centre or a component's root may be shared by a large part of all documents. What is told of
 it is aggregated before the shuffle, and goes back to its members by (key, salt), so that no task gets all.
 
@@ -32,6 +40,8 @@ BANDS, ROWS = 48, 6
 SALTS = 64
 #: Members and shingles of a tile, about; columns of a matrix.
 TILE, TILE_SHINGLES, COLUMNS = 256, 1 << 17, 4096
+#: Places by which shingles of crowds are counted to be put in order; any order is right, rare ones first is fast.
+ORDER_BITS = 20
 M1, M2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -151,6 +161,36 @@ def _links(percent: int):
     return run
 
 
+def _shingle_counts(width: int):
+    """How often shingles fall into each of 2 ** ORDER_BITS places."""
+
+    def run(batches):
+        total = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            for t in batch["text"].to_pylist():
+                total += np.bincount((shingles(t, width) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(total))
+        met = np.flatnonzero(total)
+        yield {"place": met, "n": total[met]}
+
+    return run
+
+
+def _first_shingles(width: int, percent: int, counts: np.ndarray):
+    """Each set's first shingles by the counts of their places, as keys, and whether they are of its index."""
+
+    def run(batches):
+        for batch in batches:
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                x = shingles(text, width)
+                n = len(x)
+                if n:
+                    x = x[np.lexsort((x, counts[(x >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]))]
+                    probe, index = n + 1 + -percent * n // 100, n + 1 + -2 * percent * n // (100 + percent)
+                    yield {"id": [doc_id] * probe, "n": [n] * probe, "key": x[:probe].view(np.int64), "index": np.arange(probe) < index}
+
+    return run
+
+
 def _packed_sets(width: int):
     def run(batches):
         for batch in batches:
@@ -207,6 +247,52 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     return e
 
 
+def _starred(placed: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members (id, n, index, key, salt, centre) of the buckets of (id, n, index, key) that several share, one of them by its index; and the verified links to the centres. Both stored."""
+    placed = placed.withColumn("salt", _salt("id"))
+    crowds = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("low"), F.max("id").alias("high"), F.max("index").alias("index"), F.expr(MASK).alias("mask")).where("low <> high and index")
+    shared = stored(placed.join(crowds.select("key", "members", spread_out(SALTS).alias("salt")), ["key", "salt"]), "buckets")
+    ranked = stored(shared.join(shared.groupBy("id").agg(F.sum("members").alias("degree")), "id"), "ranked")
+    centres = ranked.groupBy("key").agg((-F.max(F.struct("degree", (-F.col("id")).alias("neg")))["neg"]).alias("centre"), F.expr(MASK).alias("mask"))
+    members = stored(ranked.join(centres.select("key", "centre", spread_out(SALTS).alias("salt")), ["key", "salt"]).select("id", "n", "index", "key", "salt", "centre"), "centres")
+    drop(shared, ranked)
+    return members, verify(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), docs, width, percent)
+
+
+def _still_open(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, but for the centres: key, id, root, outside (of the centre's component), tile, indexes, tiles, crowd. Stored.
+
+    Tiles of members by their index come first; ``indexes`` is how many these are.
+    """
+    owned = members.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", "n", "index", "key", "salt", "centre", F.coalesce("root", "id").alias("root"))
+    count = lambda x: F.greatest(F.ceil(F.count_if(x) / TILE), F.ceil(F.sum(F.when(x, F.col("n")).otherwise(0)) / TILE_SHINGLES))
+    open_keys = owned.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("id") == F.col("centre"), F.col("root"))).alias("main"),
+        count(F.col("index")).alias("indexes"), count(~F.col("index")).alias("others"), F.expr(MASK).alias("mask"),
+    ).where("low <> high")
+    open_keys = open_keys.select("key", "main", "indexes", "others", spread_out(SALTS).alias("salt"))
+    place = F.xxhash64("id")
+    tile = F.when(F.col("index"), F.pmod(place, F.col("indexes"))).otherwise(F.col("indexes") + F.pmod(place, F.col("others")))
+    tiles = F.col("indexes") + F.col("others")
+    return stored(owned.where("id <> centre").join(open_keys, ["key", "salt"]).select("key", "id", "root", (F.col("root") != F.col("main")).alias("outside"), tile.alias("tile"), "indexes", tiles.alias("tiles"), (tiles > 1).alias("crowd")), "mixed")
+
+
+def _tiled(mixed: DataFrame, stars: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The stars with the links that members of open buckets have with each other, tile by tile."""
+    ids = stored(mixed.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    sets = stored(in_frames(_texts(docs, ids), _packed_sets(width), "id long, set binary"), "packed")
+    tiles = mixed.join(sets, "id").groupBy("key", "tile", "indexes", "tiles").agg(F.max("outside").alias("any"), F.collect_list(F.struct("id", "root", "outside", "set")).alias("members"))
+    right = tiles.select("key", "tile", "any", F.col("members").alias("right"))
+    left = tiles.where("tile < indexes").select("key", F.col("tile").alias("t"), F.col("any").alias("x"), F.col("members").alias("left"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("tile"))
+    meet = left.join(right, ["key", "tile"]).where(F.col("x") | F.col("any")).select((F.col("t") == F.col("tile")).alias("same"), "left", "right")
+    links = stored(in_frames(meet, _links(percent), "a long, b long", 1).distinct(), "links")
+    drop(ids, sets)
+    if not links.isEmpty():
+        stars = components(links.union(stars.select(F.col("v").alias("a"), F.col("u").alias("b"))), "stars2")
+    drop(links)
+    return stars
+
+
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row for each input row: doc_id, n_shingles, component_id, kept.
 
@@ -221,36 +307,33 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     classes = stored(classes, "classes")
 
     heads = rows.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    placed = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), _salt("doc_id").alias("salt"), F.explode("bands").alias("key"))
-    crowds = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("low"), F.max("id").alias("high"), F.expr(MASK).alias("mask")).where("low <> high")
-    shared = stored(placed.join(crowds.select("key", "members", spread_out(SALTS).alias("salt")), ["key", "salt"]), "buckets")
-    ranked = stored(shared.join(shared.groupBy("id").agg(F.sum("members").alias("degree")), "id"), "ranked")
-    centres = ranked.groupBy("key").agg((-F.max(F.struct("degree", (-F.col("id")).alias("neg")))["neg"]).alias("centre"), F.expr(MASK).alias("mask"))
-    members = stored(ranked.join(centres.select("key", "centre", spread_out(SALTS).alias("salt")), ["key", "salt"]).select("id", "n", "key", "salt", "centre"), "centres")
-    drop(shared, ranked)
-    edges = verify(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), docs, width, percent)
+    placed = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.lit(True).alias("index"), F.explode("bands").alias("key"))
+    members, edges = _starred(placed, docs, width, percent)
     stars = components(edges)
-
-    owned = members.join(stars.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", "n", "key", "salt", "centre", F.coalesce("root", "id").alias("root"))
-    open_keys = owned.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("id") == F.col("centre"), F.col("root"))).alias("main"), F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"), F.expr(MASK).alias("mask")
-    )
-    open_keys = open_keys.where("low <> high").select("key", "main", F.greatest(F.ceil(F.col("members") / TILE), F.ceil(F.col("total") / TILE_SHINGLES)).alias("tiles"), spread_out(SALTS).alias("salt"))
-    mixed = owned.where("id <> centre").join(open_keys, ["key", "salt"]).select("key", "id", "root", (F.col("root") != F.col("main")).alias("outside"), F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"), "tiles")
-    mixed = stored(mixed, "mixed")
+    drop(edges)
+    mixed = _still_open(members, stars)
+    crowd = stored(mixed.where("crowd").select(F.col("id").alias("doc_id")).distinct(), "crowd")
+    if not crowd.isEmpty():
+        # The others of their tile; the crowds' own buckets give way to those of their rare shingles.
+        small = stored(mixed.where("not crowd"), "small")
+        drop(members, mixed)
+        texts = _texts(docs, crowd)
+        counts = np.zeros(1 << ORDER_BITS, np.int64)
+        for r in in_frames(texts, _shingle_counts(width), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+            counts[r["place"]] = r["n"]
+        firsts = stored(in_frames(texts, _first_shingles(width, percent, counts), "id long, n int, key long, index boolean", 64), "firsts")
+        members, edges = _starred(firsts.distinct(), docs, width, percent)
+        before, stars = stars, components(edges.union(stars.select(F.col("v").alias("a"), F.col("u").alias("b"))), "stars1")
+        drop(before, firsts, edges)
+        again = _still_open(members, stars)
+        mixed = stored(small.unionByName(again), "mixed")
+        drop(small, again)
+    drop(members, crowd)
     if not mixed.isEmpty():
-        ids = stored(mixed.select(F.col("id").alias("doc_id")).distinct(), "ids")
-        sets = stored(in_frames(_texts(docs, ids), _packed_sets(width), "id long, set binary"), "packed")
-        tiles = mixed.join(sets, "id").groupBy("key", "tile", "tiles").agg(F.max("outside").alias("any"), F.collect_list(F.struct("id", "root", "outside", "set")).alias("members"))
-        right = tiles.select("key", "tile", "any", F.col("members").alias("right"))
-        left = tiles.select("key", F.col("tile").alias("t"), F.col("any").alias("x"), F.col("members").alias("left"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("tile"))
-        meet = left.join(right, ["key", "tile"]).where(F.col("x") | F.col("any")).select((F.col("t") == F.col("tile")).alias("same"), "left", "right")
-        links = stored(in_frames(meet, _links(percent), "a long, b long", 1).distinct(), "links")
-        drop(ids, sets)
-        if not links.isEmpty():
-            stars = components(links.union(stars.select(F.col("v").alias("a"), F.col("u").alias("b"))), "stars2")
-        drop(links)
-    drop(members, mixed, edges)
+        before, stars = stars, _tiled(mixed, stars, docs, width, percent)
+        if stars is not before:
+            drop(before)
+    drop(mixed)
 
     roots = classes.join(stars.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left")
     roots = roots.select("digest", F.coalesce("root", "rep").alias("component_id"), spread_out(SALTS).alias("salt"))
