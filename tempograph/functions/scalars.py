@@ -23,12 +23,12 @@ WATER_WORDS = ["water", "boat", "rain", "storm", "pavement", "crawfish", "mud",
 def _clock(ms: Column, mark: str) -> Column:
     ms = ms.cast("long")
     part = lambda a, b: (F.floor(ms / a) % b).cast("int")
-    return F.format_string(f"%02d:%02d:%02d{mark}%03d", F.floor(ms / 3_600_000).cast("int"), part(60_000, 60), part(1000, 60), (ms % 1000).cast("int"))
+    return F.when(ms.isNotNull(), F.format_string(f"%02d:%02d:%02d{mark}%03d", F.floor(ms / 3_600_000).cast("int"), part(60_000, 60), part(1000, 60), (ms % 1000).cast("int")))
 
 
 def format_timestamp(seconds: Column) -> Column:
-    """HH:MM:SS.mmm; negative counts as 0; hours aren't wrapped."""
-    return _clock(F.greatest(F.lit(0.0), F.round(seconds * 1000)), ".")
+    """HH:MM:SS.mmm; negative counts as 0; hours aren't wrapped; null stays null."""
+    return _clock(F.when(seconds.isNotNull(), F.greatest(F.lit(0.0), F.round(seconds * 1000))), ".")
 
 
 def format_srt_time(seconds: Column) -> Column:
@@ -37,21 +37,31 @@ def format_srt_time(seconds: Column) -> Column:
 
 def parse_timestamp(text: Column) -> Column:
     """Seconds from H:M:S, M:S or S with comma or dot, 3 decimals; what can't be read is 0."""
-    parts = F.split(F.get(F.split(F.trim(F.replace(text, F.lit(","), F.lit("."))), r"\s+"), F.lit(0)), ":")
+    parts = F.split(F.get(F.split(strip(F.replace(text, F.lit(","), F.lit("."))), rf"{BLANK}+"), F.lit(0)), ":")
     n = lambda i: F.get(parts, F.lit(i)).try_cast("double")
     value = F.when(F.size(parts) == 3, n(0) * 3600 + n(1) * 60 + n(2)).when(F.size(parts) == 2, n(0) * 60 + n(1)).when(F.size(parts) == 1, n(0))
     return F.round(F.coalesce(value, F.lit(0.0)), 3)
 
 
+#: White space of all scripts, and what isn't; cue settings in a text.
+BLANK, SOLID = r"[\s\x1C-\x1F\x85\p{Z}]", r"[^\s\x1C-\x1F\x85\p{Z}]"
+SETTINGS = rf"align:[\p{{L}}\p{{N}}_]+|(?:position|size|line):{SOLID}+"
+
+
+def strip(text: Column) -> Column:
+    """Without white space of any script at both ends."""
+    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+
+
 def clean_text(text: Column) -> Column:
     """Subtitle text without breaks, overrides, tags and cue settings, white space collapsed."""
-    for pattern, to in ((r"\\[Nn]", " "), (r"\{[^}]*\}", ""), (r"<[^>]*>", ""), (r"(align|position|size|line):[^ \t\r\n]+", ""), (r"[\r\n]+", " "), (r"[ \t\f\x0B]+", " ")):
+    for pattern, to in ((r"\\[Nn]", " "), (r"\{[^}]*\}", ""), (r"<[^>]+>", ""), (SETTINGS, ""), (f"{BLANK}+", " ")):
         text = F.regexp_replace(text, pattern, to)
     return F.trim(text)
 
 
 def vtt_speaker(text: Column) -> Column:
-    return F.nullif(F.trim(F.regexp_extract(text, r"<v(?:\.[^ \t>]+)?[ \t]+([^>]+)>", 1)), F.lit(""))
+    return F.nullif(strip(F.regexp_extract(text, rf"<v(?:\.[\p{{L}}\p{{N}}_-]+)?{BLANK}+([^>]+)>", 1)), F.lit(""))
 
 
 def sanitize_id(name: Column, default: str = "unnamed_movie") -> Column:
@@ -146,6 +156,43 @@ def candidate_names(text: Column, disallowed: list[str] = NO_NAMES) -> Column:
     return F.filter(names, lambda n: (F.length(n) >= 3) & ~bad(n))
 
 
+def name_evidence(text: Column, disallowed: list[str] = NO_NAMES) -> Column:
+    """Names as in ``candidate_names``, and behind each found in several words its last word, unless that is disallowed."""
+    bad = lambda w: w.isin(list(disallowed)) if disallowed else F.lit(False)
+    found = F.transform(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in NAME_PATTERNS]), lambda n: F.split(F.trim(F.regexp_replace(n, r"\s+", " ")), " "))
+
+    def each(w):
+        name = F.array_join(F.when((F.size(w) > 1) & bad(F.get(w, F.lit(0))), F.slice(w, F.lit(2), F.size(w))).otherwise(w), " ")
+        last = F.element_at(w, -1)
+        return F.when((F.length(name) >= 3) & ~bad(name), F.array_compact(F.array(name, F.when((F.size(w) > 1) & ~bad(last), last)))).otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.transform(found, each))
+
+
+def person_labels(people: Column, labels: Column) -> Column:
+    """Labels, or where there are none PERSON_A, PERSON_B, ... for the people counted; neither gives none."""
+    n = F.least(F.greatest(F.coalesce(people, F.lit(0)), F.lit(0)), F.lit(126)).cast("int")
+    made = F.transform(F.slice(F.sequence(F.lit(0), F.lit(126)), F.lit(1), n), lambda k: F.concat(F.lit("PERSON_"), F.char(k + 65)))
+    return F.when(F.size(F.coalesce(labels, F.array().cast("array<string>"))) > 0, labels).otherwise(made)
+
+
+def iso_time(at: Column) -> Column:
+    """A timestamp in UTC as ISO 8601 with its offset; microseconds only where there are some."""
+    utc = F.to_utc_timestamp(at, F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.unix_micros(at) % 1_000_000 != 0, F.date_format(utc, ".SSSSSS")).otherwise(""), F.lit("+00:00"))
+
+
+def parse_iso(text: Column) -> Column:
+    """The timestamp of an ISO 8601 text with an offset, Z or none (UTC); null where it can't be read."""
+    zoned = F.when(text.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return zoned.try_cast("timestamp")
+
+
+def digest(content: Column) -> Column:
+    """SHA-256 of a text's bytes in UTF-8 or of binary content, in lower-case hexadecimal; null stays null."""
+    return F.sha2(content.cast("binary"), 256)
+
+
 def caption_chunks(text: Column, most: int = 15) -> Column:
     """Sentences, then comma or hyphen pieces packed greedily up to ``most`` words; a blank text is one chunk."""
     size = lambda x: F.size(F.split(F.trim(x), r"\s+"))

@@ -1,14 +1,11 @@
-"""Merging of identities, and descriptions of frames by a provider."""
+"""Evidence of names, merging of identities, and the descriptions of a provider that makes them up."""
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from .timeline import vote
 
 
@@ -48,7 +45,7 @@ def vote_again(evidence: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def mock_description(cues, at):
-    """What the deterministic provider says of a frame with these cues (array of strings) at this time (string)."""
+    """What the deterministic provider says of a frame with these cues (array of strings) at this time (string)."""
     said = F.size(cues) > 0
     labels = F.when(said, F.array(F.lit("PERSON_A"), F.lit("PERSON_B"))).otherwise(F.array(F.lit("PERSON_A")))
     return F.struct(
@@ -60,19 +57,24 @@ def mock_description(cues, at):
     )
 
 
-def describe(frames: DataFrame, provider: Callable[[pd.DataFrame], pd.DataFrame], schema: str, tries: int = 3, wait: float = 2.0) -> DataFrame:
-    """Call an outside provider on batches of frames. A failed batch is tried again after n * ``wait`` seconds; the last failure fails the task, which Spark repeats."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for n in range(1, tries + 1):
-                try:
-                    out = provider(pdf)
-                    break
-                except (OSError, ValueError):
-                    if n == tries:
-                        raise
-                    time.sleep(n * wait)
-            yield out
+def name_evidence(events: DataFrame) -> DataFrame:
+    """movie_id, idx, label, line, at, sec, text, candidate, speaker, confidence: names said near events, given to the first label seen.
 
-    return frames.mapInPandas(run, schema)
+    events: movie_id, idx, sec, labels, dialogue (array of start_seconds, text, speaker). A line's speaker counts 0.90, unless a disallowed name; names in its text
+    count 0.80, as does the last word of one of several words. Of a label's evidence of one text and candidate the first stays. Events without labels give none.
+    """
+    line = F.posexplode("dialogue").alias("line", "d")
+    e = events.select("movie_id", "idx", "sec", F.get("labels", F.lit(0)).alias("label"), line).where("label IS NOT NULL")
+    text, speaker = F.coalesce("d.text", F.lit("")), F.nullif(S.strip(F.col("d.speaker")), F.lit(""))
+    tag = F.when(speaker.isNotNull() & ~speaker.isin(S.NO_NAMES), F.struct(F.concat(F.lit("[Speaker Tag: "), speaker, F.lit("] "), text).alias("text"), speaker.alias("candidate"), F.lit(0.90).alias("confidence")))
+    said = F.transform(S.name_evidence(text), lambda n: F.struct(text.alias("text"), n.alias("candidate"), F.lit(0.80).alias("confidence")))
+    each = F.posexplode(F.concat(F.array_compact(F.array(tag)), said)).alias("at", "x")
+    rows = e.select("movie_id", "idx", "label", "line", F.coalesce("d.start_seconds", "sec").alias("sec"), speaker.alias("speaker"), each).select("movie_id", "idx", "label", "line", "at", "sec", "speaker", "x.*")
+    best = rows.groupBy("movie_id", "label", "text", "candidate").agg(F.min(F.struct("idx", "line", "at", "sec", "speaker", "confidence")).alias("b"))
+    return best.select("movie_id", "b.idx", "label", F.col("b.line").alias("line"), F.col("b.at").alias("at"), "b.sec", "text", "candidate", "b.speaker", "b.confidence")
+
+
+def seen(events: DataFrame) -> DataFrame:
+    """Events in which someone is: labels as given, or made for the people counted; events with neither go."""
+    labels = S.person_labels(F.col("people_count"), F.col("labels"))
+    return events.withColumn("labels", labels).where(F.size("labels") > 0)

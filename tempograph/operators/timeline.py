@@ -12,11 +12,12 @@ def order():
 
 
 def rolling_context(df: DataFrame, line: str, most: int = 4) -> DataFrame:
+    """``df`` with ``context``, the lines of the ``most`` rows before, oldest first; null lines are left out. Rows of one ordinal follow in no defined order."""
     return df.withColumn("context", F.collect_list(line).over(order().rowsBetween(-most, -1)))
 
 
 def sessionize(df: DataFrame, new: Column, cap: int = 6) -> DataFrame:
-    """Scene numbers from 1: a scene starts where ``new`` holds, and where it already has ``cap`` events."""
+    """Scene numbers from 1: a scene starts where ``new`` holds or is null, as for a movie's first event, and where it already has ``cap`` events. Rows of one ordinal share their scene; a null movie is one movie."""
     runs = df.withColumn("run", F.sum(F.coalesce(new, F.lit(True)).cast("int")).over(order()))
     runs = runs.withColumn("piece", F.floor((F.row_number().over(Window.partitionBy("movie_id", "run").orderBy("idx")) - 1) / cap))
     starts = (F.col("run") != F.lag("run", 1, -1).over(order())) | (F.col("piece") != F.lag("piece", 1, -1).over(order()))
@@ -24,17 +25,18 @@ def sessionize(df: DataFrame, new: Column, cap: int = 6) -> DataFrame:
 
 
 def by_gap(limit: float) -> Column:
+    """Whether more than ``limit`` seconds lie between an event and the one before; null for the first one, and where a time is null."""
     return F.col("sec") - F.lag("sec").over(order()) > limit
 
 
 def modes(df: DataFrame, keys: list[str], value: str, by: str) -> DataFrame:
-    """The most frequent value of each group; of equal ones, the one that comes first."""
+    """The most frequent value of each group; of equal ones, the one that comes first. A null value counts as a value; repeated rows count each."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), F.min(by).alias("first"))
     return counts.groupBy(*keys).agg(F.max_by(value, F.struct("n", -F.col("first"))).alias(value))
 
 
 def scene_records(events: DataFrame) -> DataFrame:
-    """Of scenes: start, end (last time + 30), indices, labels, place (mode), importance."""
+    """Of scenes: start, end (last time + 30), indices, labels, place (mode), importance. Null labels are left out; repeated rows count each; no rows give no scenes."""
     keys = ["movie_id", "scene"]
     base = events.groupBy(*keys).agg(
         F.min_by("sec", "idx").alias("start_seconds"),
@@ -68,7 +70,7 @@ def beats(df: DataFrame, function: str = "function") -> DataFrame:
 
 
 def identities(df: DataFrame, label: str = "label") -> DataFrame:
-    """Labels numbered by first appearance, with first and last sighting by ordinal."""
+    """Labels numbered by first appearance, with first and last sighting by ordinal. Labels that appear at once go by name; a null label is a label; repeated rows count as appearances."""
     from ..functions.scalars import padded_id
 
     seen = df.groupBy("movie_id", label).agg(F.min("idx").alias("first_idx"), F.min_by("sec", "idx").alias("first_seen"), F.max_by("sec", "idx").alias("last_seen"), F.count(F.lit(1)).alias("appearances"))
@@ -85,7 +87,7 @@ def edges(df: DataFrame, key: str, member: str, by: tuple[str, ...] = ()) -> Dat
 
 
 def vote(evidence: DataFrame) -> DataFrame:
-    """The candidate of most evidence, then of highest confidence, then the first; and how sure that is."""
+    """The candidate of most evidence, then of highest confidence, then the first; and how sure that is. A null confidence counts as none, a null candidate as a candidate; repeated evidence counts each."""
     c = evidence.groupBy("movie_id", "candidate").agg(F.count(F.lit(1)).alias("votes"), F.max("confidence").alias("top"), F.min("idx").alias("first"))
     best = c.groupBy("movie_id").agg(F.max_by(F.struct("candidate", "votes", "top"), F.struct("votes", "top", -F.col("first"))).alias("b")).select("movie_id", "b.*")
     level = F.when(F.col("votes") >= 2, "high").when(F.col("top") >= 0.85, "medium").when(F.col("top") >= 0.60, "low").otherwise("unknown")
@@ -93,6 +95,7 @@ def vote(evidence: DataFrame) -> DataFrame:
 
 
 def first_of(df: DataFrame, keys: list[str], order: str = "idx") -> DataFrame:
+    """Of each group of keys, nulls being a key, the row that comes first in ``order``; of equal ones any."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where("_n = 1").drop("_n")
 
 
@@ -142,43 +145,20 @@ def clip_budget(importance: Column, n: Column) -> Column:
 
 
 def subsample(df: DataFrame, keys: list[str], order: str, k: Column) -> DataFrame:
-    """Of n ordered rows, those at floor(i n / k) for i < k."""
+    """Of n ordered rows, those at floor(i n / k) for i < k; a k above n takes all, one of 0 or null none. Repeated rows count each."""
     df = df.withColumns({"_p": F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1, "_c": F.count(F.lit(1)).over(Window.partitionBy(*keys))}).withColumn("_k", F.least(k.cast("int"), F.col("_c").cast("int")))
-    return df.where(F.exists(F.sequence(F.lit(0), F.col("_k") - 1), lambda i: F.floor(i * F.col("_c") / F.col("_k")) == F.col("_p"))).drop("_p", "_c", "_k")
+    here = F.exists(F.sequence(F.lit(0), F.col("_k") - 1), lambda i: F.floor(i * F.col("_c") / F.col("_k")) == F.col("_p"))
+    return df.where(F.when(F.col("_k") > 0, here).otherwise(False)).drop("_p", "_c", "_k")
 
 
 def or_all(df: DataFrame, keys: list[str], good: Column) -> DataFrame:
-    """Rows that qualify, or all rows of a group in which none does."""
-    df = df.withColumn("_g", good).withColumn("_any", F.max("_g").over(Window.partitionBy(*keys)))
+    """Rows that qualify, or all rows of a group in which none does; a null condition doesn't qualify."""
+    df = df.withColumn("_g", F.coalesce(good, F.lit(False))).withColumn("_any", F.max("_g").over(Window.partitionBy(*keys)))
     return df.where("_g or not _any").drop("_g", "_any")
 
 
-def pack_clips(events: DataFrame, length: float = 3.0) -> DataFrame:
-    """Clips of at most ``length`` around event times (ord, t) of a movie (movie_end); a clip that comes within a second of the last is pushed two seconds past it.
-
-    The end that the next clip sees isn't rounded and depends on the last one, so this is a fold over the movie's ordered events.
-    """
-    length = min(3.0, length)
-    events = events.withColumn("t", F.coalesce("t", 30.0 * F.col("ord")))
-    lists = events.groupBy("movie_id").agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("e"), F.coalesce(F.max("movie_end"), F.lit(7200.0)).alias("stop"))
-
-    def step(acc, x):
-        stop = F.col("stop")
-        s0 = F.greatest(F.lit(0.0), x["t"] - 0.5)
-        e0 = F.least(stop, s0 + length)
-        push = s0 < acc["end"] + 1
-        s = F.when(push, acc["end"] + 2).otherwise(s0)
-        e = F.when(push, F.least(stop, s + F.round(e0 - s0, 2))).otherwise(e0)
-        clip = F.struct(x["ord"].alias("ord"), F.round(s, 2).alias("start"), F.round(e, 2).alias("stop"), F.round(e - s, 2).alias("duration"), push.alias("pushed"))
-        return F.struct(e.alias("end"), F.array_append(acc["out"], clip).alias("out"))
-
-    out = F.array().cast("array<struct<ord:int,start:double,stop:double,duration:double,pushed:boolean>>")
-    packed = F.aggregate("e", F.struct(F.lit(-999.0).alias("end"), out.alias("out")), step, lambda acc: acc["out"])
-    return lists.select("movie_id", F.inline(packed))
-
-
 def layout(items: DataFrame) -> DataFrame:
-    """Start and end of items on a timeline, from exact decimal durations."""
+    """Start and end of items on a timeline, from exact decimal durations. A null duration takes no time, its end is the last one's, its start null."""
     end = F.sum("duration").over(order().rowsBetween(Window.unboundedPreceding, 0))
     return items.withColumn("end_seconds", end).withColumn("start_seconds", F.col("end_seconds") - F.col("duration"))
 
@@ -224,20 +204,20 @@ def validate_plans(plans: DataFrame, checked: DataFrame) -> DataFrame:
 
 
 def metrics(items: DataFrame) -> DataFrame:
-    """Counts and seconds by item type, and the share of moving footage."""
+    """Counts and seconds by item type, and the share of moving footage. Null durations and other types take part in the total only; a movie without items has no row."""
     part = lambda kind: F.coalesce(F.sum(F.when(F.col("item_type") == kind, F.col("duration"))), F.lit(0).cast("decimal(12,2)"))
     m = items.groupBy("movie_id").agg(F.count_if(F.col("item_type") == "SOURCE_CLIP").alias("clips"), part("SOURCE_CLIP").alias("footage"), part("STILL_FREEZE").alias("freeze"), part("BLACK_TRANSITION").alias("black"), F.sum("duration").alias("total"))
     return m.withColumn("moving_percent", F.round(F.col("footage").cast("double") / F.greatest(F.lit(0.01), F.col("total").cast("double")) * 100, 1))
 
 
 def causal_pairs(df: DataFrame, most: int = 3) -> DataFrame:
-    """Consecutive pairs, at most ``most`` of each movie."""
+    """Consecutive pairs, at most ``most`` of each movie; a pair whose effect is null is left out but counts."""
     pairs = df.withColumns({"effect": F.lead("title").over(order()), "effect_idx": F.lead("idx").over(order()), "_n": F.row_number().over(order())})
     return pairs.where((F.col("_n") <= most) & F.col("effect").isNotNull()).drop("_n")
 
 
 def overlap_join(a: DataFrame, b: DataFrame, item: str) -> DataFrame:
-    """Keys of rows whose item lists overlap, by an equi-join on the items."""
+    """Keys of rows whose item lists overlap, by an equi-join on the items. A null item meets nothing; repeated rows count once."""
     return a.join(b, item).select(*[c for c in a.columns if c != item], *[c for c in b.columns if c != item]).distinct()
 
 
@@ -255,14 +235,20 @@ def ordered_distinct(value: str, order: str = "idx") -> Column:
 
 
 def pending(frames: DataFrame, done: DataFrame, limit: int | None = None, force: bool = False) -> DataFrame:
-    """Frames still to be processed: the prefix limit applies first, per movie; ``force`` takes all."""
+    """Frames still to be processed: the prefix limit applies first, per movie; ``force`` takes all of these. Frames with a null key are never done; repeated rows stay."""
     if limit and limit > 0:
         frames = frames.withColumn("_n", F.row_number().over(order())).where(F.col("_n") <= limit).drop("_n")
     return frames if force else frames.join(done.select("movie_id", "idx"), ["movie_id", "idx"], "left_anti")
 
 
+def missing_files(frames: DataFrame, files: DataFrame, force: bool = False) -> DataFrame:
+    """Frames whose file (``path``) isn't there or is empty. files: path, length, as a listing has them. A null path is missing; ``force`` takes all."""
+    there = files.where("length > 0").select(F.col("path").alias("_path")).distinct()
+    return frames if force else frames.join(there, F.col("path") == F.col("_path"), "left_anti")
+
+
 def choose_track(tracks: DataFrame, keys: list[str], rules: list[Column], order: list[str]) -> DataFrame:
-    """Of each group the row that meets the earliest rule; of several, the first in order."""
+    """Of each group the row that meets the earliest rule; of several, the first in order. A null rule isn't met; rows that meet none come last."""
     score = F.lit(len(rules))
     for k, r in reversed(list(enumerate(rules))):
         score = F.when(r, k).otherwise(score)

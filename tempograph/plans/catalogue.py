@@ -5,6 +5,8 @@ A user's ordered events play a movie's timeline: movie_id, idx from 1, sec from
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from ..functions import scalars as S
 from ..operators import identity as D
 from ..operators import intervals as I
 from ..operators import timeline as T
+from ..operators.packing import pack_clips
 from ..sources import documents, media, subtitles
 from . import stages as M
 
@@ -205,7 +208,7 @@ c AS (SELECT movie_id, 0 AS idx, -999.0::DOUBLE AS pe, 0.0::DOUBLE AS s, 0.0::DO
 SELECT movie_id, idx AS ord, round(s, 2) AS start, round(pe, 2) AS stop, d AS duration, pushed FROM c WHERE idx > 0""")
 def clip_packing(spark, sf_dir):
     t = timeline(spark, sf_dir).select("movie_id", F.col("idx").alias("ord"), (F.col("sec") / 3600).alias("t"))
-    return T.pack_clips(t.withColumn("movie_end", F.max("t").over(Window.partitionBy("movie_id")) + 5))
+    return pack_clips(t.withColumn("movie_end", F.max("t").over(Window.partitionBy("movie_id")) + 5))
 
 
 @query(""" , c AS (SELECT l_orderkey AS movie_id, idx, CASE WHEN idx % 5 = 0 THEN 'x' ELSE l_partkey::VARCHAR END AS clip_id, l_quantity AS start, l_quantity + l_discount * 40 AS stop, l_tax * 50 AS duration, l_suppkey % 7 AS event, l_suppkey % 3 = 0 AS pushed FROM li),
@@ -253,8 +256,42 @@ def manifest_metrics(spark, sf_dir):
     return m.withColumns({c: F.col(c).cast("double") for c in ("footage", "freeze", "black", "total")})
 
 
-@query(r""" , c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '\\[Nn]', ' ', 'g'), '\{[^}]*\}', '', 'g'), '<[^>]*>', '', 'g') AS h FROM pages)
-SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(h, '(align|position|size|line):[^ \t\r\n]+', '', 'g'), '[\r\n]+', ' ', 'g'), '[ \t\f\x0B]+', ' ', 'g')) AS text FROM c""")
+#: White space of all scripts, and what isn't, as DuckDB writes them.
+BLANK, SOLID = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]", r"[^\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+
+
+def _clean(x: str) -> str:
+    for pattern, to in ((r"\\[Nn]", " "), (r"\{[^}]*\}", ""), ("<[^>]+>", ""), (rf"align:[\p{{L}}\p{{N}}_]+|(?:position|size|line):{SOLID}+", ""), (f"{BLANK}+", " ")):
+        x = f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+    return f"trim({x})"
+
+
+def _tokens(x: str) -> str:
+    return f"len(regexp_split_to_array(trim({x}), '[\\s\\x0B]+'))"
+
+
+def _chunks(text: str, most: int) -> str:
+    """Sentences, and the pieces of those that are too long, packed; chr(1) stands where a text is cut."""
+    cut = lambda x, marks: f"string_split(regexp_replace({x}, '([{marks}])[\\s\\x0B]+', '\\1' || chr(1), 'g'), chr(1))"
+    pack = f"lambda acc, x: CASE WHEN {_tokens('string_split(acc, chr(1))[-1]')} + {_tokens('x')} <= {most} THEN acc || ' ' || x ELSE acc || chr(1) || x END"
+    pieces = f"list_filter({cut('s', ',' + chr(92) + '-')}, lambda y: trim(y) <> '')"
+    each = f"lambda s: CASE WHEN {_tokens('s')} <= {most} THEN [s] ELSE string_split(list_reduce({pieces}, {pack}), chr(1)) END"
+    found = f"flatten(list_transform(list_filter({cut(f'trim({text})', '.!?')}, lambda z: trim(z) <> ''), {each}))"
+    return f"CASE WHEN len({found}) > 0 THEN {found} ELSE [{text}] END"
+
+
+def _wrapped(text: str, width: int) -> str:
+    """Lines behind chr(1), after nine digits of the running length."""
+    words = f"list_filter(regexp_split_to_array({text}, '[\\s\\x0B]+'), lambda w: w <> '')"
+    n = "substr(acc, 1, 9)::INTEGER"
+    state = lambda size: f"lpad(({size})::VARCHAR, 9, '0') || substr(acc, 10)"
+    step = f"lambda acc, w: CASE WHEN length(acc) = 9 THEN {state(f'{n} + length(w) + 1')} || chr(1) || w WHEN {n} + length(w) + 1 <= {width} THEN {state(f'{n} + length(w) + 1')} || ' ' || w ELSE {state('length(w)')} || chr(1) || w END"
+    lines = f"string_split(substr(list_reduce(list_prepend('000000000', {words}), {step}), 11), chr(1))"
+    halves = f"array_to_string({words}[1 : len({words}) // 2], ' ') || chr(10) || array_to_string({words}[len({words}) // 2 + 1 :], ' ')"
+    return f"CASE WHEN len({lines}) > 2 THEN {halves} ELSE array_to_string({lines}, chr(10)) END"
+
+
+@query(f" SELECT page_id, {_clean('html')} AS text FROM pages")
 def clean_markup(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", S.clean_text(F.col("html")).alias("text"))
 
@@ -265,7 +302,8 @@ def word_count_duration(spark, sf_dir):
     return d.withColumn("seconds", S.speech_seconds(F.col("words")))
 
 
-@query()
+@query(f""" , c AS (SELECT conv_id, turn, {_chunks("text", 15)} AS chunks FROM conversations), x AS (SELECT conv_id, turn, unnest(range(len(chunks)))::INTEGER AS pos, chunks FROM c)
+SELECT conv_id, turn, pos, chunks[pos + 1] AS chunk, {_wrapped("chunks[pos + 1]", 55)} AS wrapped FROM x""")
 def caption_chunks(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(S.caption_chunks(F.col("text"))).alias("pos", "chunk"))
     return c.withColumn("wrapped", S.wrap_caption(F.col("chunk")))
@@ -356,18 +394,30 @@ def _cues(spark, sf_dir):
     return c.select(F.col("conv_id").cast("string").alias("movie_id"), n.alias("idx"), (n * 4.0).alias("start_seconds"), (n * 4.0 + 2.5).alias("end_seconds"), S.clean_text(F.col("text")).alias("text"))
 
 
-@query()
+def _clock(x: str) -> str:
+    ms = f"round({x} * 1000)::BIGINT"
+    return f"printf('%02d:%02d:%02d.%03d', {ms} // 3600000, {ms} // 60000 % 60, {ms} // 1000 % 60, {ms} % 1000)"
+
+
+def _cue_sql(text: str, speaker: str) -> str:
+    """The cues of the conversations' turns after a round trip, in which cue n has ``text`` of the cleaned turn."""
+    return f""" , q AS (SELECT conv_id::VARCHAR AS movie_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n, {_clean("text")} AS c FROM conversations WHERE trim(text) <> ''),
+t AS (SELECT movie_id, n * 4.0::DOUBLE AS a, n * 4.0::DOUBLE + 2.5 AS b, {_clean(text)} AS text FROM q)
+SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY a)::INTEGER AS idx, a AS start_seconds, b AS end_seconds, {_clock("a")} AS start, {_clock("b")} AS "end", round(b - a, 3) AS duration_seconds, text, {speaker} AS speaker FROM t WHERE text <> ''"""
+
+
+@query(_cue_sql("c", "NULL::VARCHAR"))
 def srt_round_trip(spark, sf_dir):
     return subtitles.parse_srt(subtitles.to_srt(_cues(spark, sf_dir)))
 
 
-@query()
+@query(_cue_sql("replace(c, ',', '.')", "'Speaker'"))
 def vtt_parse(spark, sf_dir):
     srt = subtitles.to_srt(_cues(spark, sf_dir).withColumn("text", F.concat(F.lit("<v Speaker>"), "text")))
     return subtitles.parse_vtt(srt.select("movie_id", F.concat(F.lit("WEBVTT\n\nNOTE skipped\n\n"), F.replace("content", F.lit(","), F.lit("."))).alias("content")))
 
 
-@query()
+@query(_cue_sql("c", "'Name'"))
 def ass_parse(spark, sf_dir):
     c = _cues(spark, sf_dir)
     line = F.concat(F.lit("Dialogue: 0,"), S.format_timestamp(F.col("start_seconds")), F.lit(","), S.format_timestamp(F.col("end_seconds")), F.lit(",Name,{\\pos(1,2)}"), "text")
@@ -474,8 +524,8 @@ mw AS (SELECT movie_id, scene, 1 AS beat, 1 AS size FROM mk WHERE scene = 1 UNIO
  LATERAL (SELECT NOT (k.pf = 'SETUP' AND k.scene_function = 'SETUP' OR k.pf = 'ESCALATION' AND k.scene_function = 'ESCALATION') AND w.size >= 2 AS new) x),
 bt AS (SELECT movie_id, beat, list(scene ORDER BY scene) AS scenes, list(scene_function ORDER BY scene) AS fs, flatten(list(event_indices ORDER BY scene)) AS ev, string_agg(summary, ' ' ORDER BY scene) AS description,
  list_sort(list_distinct(list(location))) AS cast_, arg_min(location, scene) AS place, max(importance) AS importance, arg_max(uncertainty, importance) AS uncertainty FROM mk JOIN mw USING (movie_id, scene) GROUP BY movie_id, beat),
-bs AS (SELECT *, CASE WHEN list_contains(fs, 'ESCALATION') THEN 'Escalation & Crisis' ELSE 'Story Progression (' || array_to_string(fs, ', ') || ')' END AS title,
- CASE WHEN list_contains(fs, 'ESCALATION') THEN 'A dispute turns into danger.' ELSE 'Events unfold across ' || len(scenes) || ' scenes in ' || place || '.' END AS cause FROM bt)"""
+bs AS (SELECT *, CASE WHEN list_contains(fs, 'ESCALATION') THEN 'Escalation' ELSE 'Passage: ' || array_to_string(fs, ', ') END AS title,
+ CASE WHEN list_contains(fs, 'ESCALATION') THEN 'A dispute turns into danger.' ELSE len(scenes) || ' scenes, the first in ' || place || '.' END AS cause FROM bt)"""
 )
 
 
@@ -503,36 +553,85 @@ def _planned(spark, sf_dir):
     return events, scenes_, heads, M.plan(heads, documents.staged(M.beats(scenes_), "beats"), M.causal_links(events))
 
 
-@query(
+PLAN = (
     BEATS
     + """, hn AS (SELECT movie_id, count(*) AS n FROM tl GROUP BY movie_id),
 hd AS (SELECT movie_id, round(CASE WHEN n >= 58 THEN 900.0::DOUBLE ELSE greatest(45.0::DOUBLE, least(900.0::DOUBLE * (n / 69.0::DOUBLE) * 1.25::DOUBLE, 900.0::DOUBLE)) END, 1) AS target FROM hn),
-pu AS (SELECT *, CASE WHEN title = 'Escalation & Crisis' THEN 'rising_action_and_crisis' WHEN list_contains(fs, 'CLIMAX') THEN 'peak_climax' WHEN list_contains(fs, 'TRANSITION') THEN 'atmospheric_transition' ELSE 'story_progression' END AS purpose, importance::DECIMAL(18,2) AS w FROM bs JOIN hd USING (movie_id)),
-sh AS (SELECT *, round(greatest(10.0::DOUBLE, w::DOUBLE / sum(w) OVER (PARTITION BY movie_id)::DOUBLE * target), 1)::DECIMAL(18,1) AS share FROM pu)
-SELECT movie_id, beat::INTEGER AS segment, purpose, CASE purpose WHEN 'rising_action_and_crisis' THEN 'moderate' WHEN 'peak_climax' THEN 'high' ELSE 'none' END AS spoiler_level, importance, uncertainty,
- (2 + len(list_filter([1, 2, 3], lambda i: list_contains(ev, i) OR list_contains(ev, i + 1))))::INTEGER AS n_points, round(share::DOUBLE * target / sum(share) OVER (PARTITION BY movie_id)::DOUBLE, 1) AS seconds FROM sh"""
+pu AS (SELECT *, CASE WHEN title = 'Escalation' THEN 'rising_action_and_crisis' WHEN list_contains(fs, 'CLIMAX') THEN 'peak_climax' WHEN list_contains(fs, 'TRANSITION') THEN 'atmospheric_transition' ELSE 'story_progression' END AS purpose, importance::DECIMAL(18,2) AS w FROM bs JOIN hd USING (movie_id)),
+sh AS (SELECT *, round(greatest(10.0::DOUBLE, w::DOUBLE / sum(w) OVER (PARTITION BY movie_id)::DOUBLE * target), 1)::DECIMAL(18,1) AS share FROM pu)"""
 )
+
+
+@query(PLAN + """ SELECT movie_id, beat::INTEGER AS segment, purpose, CASE purpose WHEN 'rising_action_and_crisis' THEN 'moderate' WHEN 'peak_climax' THEN 'high' ELSE 'none' END AS spoiler_level, importance, uncertainty,
+ (2 + len(list_filter([1, 2, 3], lambda i: list_contains(ev, i) OR list_contains(ev, i + 1))))::INTEGER AS n_points, round(share::DOUBLE * target / sum(share) OVER (PARTITION BY movie_id)::DOUBLE, 1) AS seconds FROM sh""")
 def narration_plan(spark, sf_dir):
     return _planned(spark, sf_dir)[3].select("movie_id", "segment", "purpose", "spoiler_level", "importance", "uncertainty", F.size("key_points").alias("n_points"), "seconds")
 
 
 @query(""" , e AS (SELECT movie_id, idx, label || ' ' || event_id AS s, lead(label || ' ' || event_id) OVER w AS t FROM tl WINDOW w AS (PARTITION BY movie_id ORDER BY idx)), h AS (SELECT movie_id FROM tl WHERE idx = 60),
 r AS (SELECT movie_id, 1 AS ord, 'a long story' AS cause, 'a late event' AS effect, 'high' AS confidence, '1,60' AS evidence FROM h)
-SELECT * FROM r UNION ALL SELECT movie_id, idx, s, 'Directly leads to subsequent development: ' || t, 'medium', idx || ',' || (idx + 1) FROM e WHERE idx <= 3 AND t IS NOT NULL AND movie_id NOT IN (SELECT movie_id FROM r)""")
+SELECT * FROM r UNION ALL SELECT movie_id, idx, s, 'Then: ' || t, 'medium', idx || ',' || (idx + 1) FROM e WHERE idx <= 3 AND t IS NOT NULL AND movie_id NOT IN (SELECT movie_id FROM r)""")
 def causal_rules(spark, sf_dir):
     x = M.causal_links(_movie(spark, sf_dir)[0], [((60,), (1, 2), "a long story", "a late event", (1, 60))])
     return x.withColumn("evidence", F.array_join(F.col("evidence").cast("array<string>"), ","))
 
 
 @query(""" , c AS (SELECT movie_id, label, printf('CHARACTER_%03d', row_number() OVER (PARTITION BY movie_id ORDER BY min(idx), label)) AS character_id, min(idx) AS f, arg_min(sec, idx) AS s FROM tl GROUP BY movie_id, label)
-SELECT movie_id, character_id, CASE WHEN label <> 'error' THEN label END AS name, printf('Introduced at %.1fs (Event %d) in %s: do %s.', s, f, label, label) AS introduction,
- 'Uncertain circumstances' AS conflict, 'Observed taking action across timeline events' AS major_decisions FROM c""")
+SELECT movie_id, character_id, CASE WHEN label <> 'error' THEN label END AS name, printf('First seen at %.1f s (event %d), %s: do %s.', s, f, label, label) AS introduction,
+ 'Uncertain circumstances' AS conflict, 'No decision recorded' AS major_decisions FROM c""")
 def character_arcs(spark, sf_dir):
     a = M.arcs(*_movie(spark, sf_dir)[:3])
     return a.select("movie_id", "character_id", "name", "introduction", "conflict", F.array_join("major_decisions", ",").alias("major_decisions"))
 
 
-@query()
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+SCRIPT = (
+    PLAN
+    + f""", ef AS (SELECT movie_id, idx, lead(label || ' ' || event_id) OVER (PARTITION BY movie_id ORDER BY idx) AS nxt FROM tl),
+fl AS (SELECT s.movie_id, s.beat, arg_min(nxt, idx) AS effect FROM sh s JOIN ef e ON e.movie_id = s.movie_id AND e.idx <= 3 AND e.nxt IS NOT NULL AND (list_contains(s.ev, e.idx) OR list_contains(s.ev, e.idx + 1)) GROUP BY ALL),
+te AS (SELECT movie_id, beat, string_agg('At ' || location || CASE WHEN scene_function = 'ESCALATION' THEN ' things get tense.' ELSE ' we see how they get by.' END, ' ' ORDER BY scene) AS tells FROM mx JOIN mw USING (movie_id, scene) GROUP BY ALL),
+ty AS (SELECT movie_id, beat AS segment, CASE purpose {" ".join(f"WHEN '{p}' THEN {_text(t)}" for p, _, t in M.PROSE)} ELSE concat_ws(' ', CASE WHEN beat = 1 THEN 'The story opens with a hook.' ELSE 'Then the story goes deeper.' END, tells, 'This leads on: ' || lower('Then: ' || effect)) END AS text,
+ list_sort(ev) AS ev, importance, false AS is_continuation FROM sh JOIN te USING (movie_id, beat) LEFT JOIN fl USING (movie_id, beat)),
+sg AS (SELECT * FROM ty UNION ALL SELECT movie_id, max(segment) + 1, {_text(M.CONTINUES)}, arg_max(ev, segment), 3, true FROM ty JOIN hn USING (movie_id) WHERE n < 58 GROUP BY movie_id),
+sw AS (SELECT *, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'))::INTEGER AS word_count FROM sg)"""
+)
+CLIPS = (
+    SCRIPT
+    + """, ce AS (SELECT movie_id, segment, importance, unnest(ev) AS event FROM sg WHERE NOT is_continuation),
+cj AS (SELECT ce.*, t.sec, t.sig, t.label, ms.scene FROM ce JOIN tl t ON t.movie_id = ce.movie_id AND t.idx = ce.event JOIN ms ON ms.movie_id = ce.movie_id AND ms.idx = ce.event),
+cf AS (SELECT * FROM cj QUALIFY sig >= 3 OR NOT bool_or(sig >= 3) OVER (PARTITION BY movie_id, segment)),
+cn AS (SELECT *, count(*) OVER (PARTITION BY movie_id, segment) AS c, row_number() OVER (PARTITION BY movie_id, segment ORDER BY event) - 1 AS pos FROM cf),
+ck AS (SELECT *, CASE WHEN importance >= 7 THEN CASE WHEN c <= 1 THEN 1 ELSE least(3, c) END WHEN importance >= 4 THEN least(2, c) ELSE 1 END AS k FROM cn),
+co AS (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY segment, event)::INTEGER AS ord FROM ck WHERE len(list_filter(range(0, k), lambda i: (i * c) // k = pos)) > 0),
+cr AS (SELECT DISTINCT movie_id, 0 AS ord, -999.0::DOUBLE AS pe, 0.0::DOUBLE AS s, 0.0::DOUBLE AS d, false AS pushed FROM co UNION ALL
+ SELECT co.movie_id, co.ord, b.e1, b.s1, round(b.e1 - b.s1, 2), a.push FROM cr JOIN co ON co.movie_id = cr.movie_id AND co.ord = cr.ord + 1,
+ LATERAL (SELECT greatest(0.0::DOUBLE, co.sec - 0.5) AS s0, least(2592000.0::DOUBLE, greatest(0.0::DOUBLE, co.sec - 0.5) + 3.0) AS e0, greatest(0.0::DOUBLE, co.sec - 0.5) < cr.pe + 1 AS push) a,
+ LATERAL (SELECT CASE WHEN push THEN cr.pe + 2 ELSE s0 END AS s1, CASE WHEN push THEN least(2592000.0::DOUBLE, cr.pe + 2 + round(e0 - s0, 2)) ELSE e0 END AS e1) b),
+cl AS (SELECT movie_id, ord, printf('CLIP_%03d', ord) AS clip_id, segment::INTEGER AS segment, event, scene, round(s, 2) AS start, round(pe, 2) AS stop, d AS duration, pushed, 'Shows: do ' || label AS reason, importance FROM cr JOIN co USING (movie_id, ord))"""
+)
+
+
+def _shown(freezes: int) -> str:
+    return CLIPS + f""", it AS (SELECT movie_id, segment, ord, 0 AS o, 'SOURCE_CLIP' AS item_type, duration::DECIMAL(12, 2) AS dur FROM cl UNION ALL SELECT movie_id, segment, ord, 1, 'STILL_FREEZE', 1.0 FROM cl WHERE ord <= {freezes}
+ UNION ALL SELECT movie_id, segment, NULL, 2, 'BLACK_TRANSITION', 0.3 FROM sg),
+ix AS (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY segment, ord NULLS LAST, o) AS idx FROM it), iy AS (SELECT *, sum(dur) OVER (PARTITION BY movie_id ORDER BY idx) AS e FROM ix)"""
+
+
+@query(
+    BEATS
+    + """, w AS (SELECT movie_id, count(*) AS events, greatest(1.0, max(sec)) AS duration FROM tl GROUP BY movie_id), o AS (SELECT movie_id, label, count(*) AS n, max(sec) - min(sec) AS span, sum(sig) AS sig, min(idx) AS f FROM tl GROUP BY ALL),
+x AS (SELECT o.*, events, round(0.40::DOUBLE * n / events + 0.30::DOUBLE * round(span / duration, 3) + 0.20::DOUBLE * least(1.0::DOUBLE, sig / n / 10.0::DOUBLE) + 0.10::DOUBLE, 3) AS score FROM o JOIN w USING (movie_id)),
+y AS (SELECT *, (round(score * 1000)::INTEGER + 5) // 10 AS hundredths FROM x QUALIFY row_number() OVER (PARTITION BY movie_id ORDER BY score DESC, n DESC, f) = 1),
+b AS (SELECT movie_id, count(*) AS n_beats, sum(len(scenes)) AS n_scenes, string_agg('In ' || chr(39) || title || chr(39) || ', ' || description, ' ' ORDER BY beat) AS told FROM bs GROUP BY movie_id),
+u AS (SELECT movie_id, 'Events that can be read in several ways: [' || string_agg(idx::VARCHAR, ', ' ORDER BY idx) || '].' AS unsure FROM tl WHERE sig >= 9 GROUP BY movie_id)
+SELECT movie_id, CASE WHEN events >= 58 THEN 'COMPLETE' ELSE 'PARTIAL' END AS story_status,
+ 'Story of ' || chr(39) || movie_id || chr(39) || ' in order of time: scenes ' || n_scenes || ', beats ' || n_beats || ', coverage ' || CASE WHEN events >= 58 THEN 'COMPLETE' ELSE 'PARTIAL' END || '.' || chr(10) || chr(10) || told || chr(10) || chr(10)
+ || printf('The lead is %s (prominence %d.%02d), seen in %d events.', label, hundredths // 100, hundredths % 100, n) AS story_summary,
+ concat_ws(chr(10), CASE WHEN events < 58 THEN printf('Only a part of the movie was analysed (%d events); how it ends isn''t seen.', events) END, unsure) AS open_uncertainties FROM y JOIN b USING (movie_id) LEFT JOIN u USING (movie_id)"""
+)
 def story_document(spark, sf_dir):
     events, characters, appearances, movies = _movie(spark, sf_dir)
     s, heads = documents.staged(M.scenes(events, GAP), "scenes"), M.headers(events, movies)
@@ -540,7 +639,7 @@ def story_document(spark, sf_dir):
     return M.story(heads, s, M.beats(s), leads, M.ambiguous(events)).withColumn("open_uncertainties", F.array_join("open_uncertainties", "\n"))
 
 
-@query()
+@query(SCRIPT + " SELECT movie_id, segment::INTEGER AS segment, text, word_count, round(word_count / 150.0::DOUBLE * 60.0::DOUBLE, 1) AS seconds, importance, is_continuation FROM sw")
 def script_segments(spark, sf_dir):
     events, s, heads, p = _planned(spark, sf_dir)
     return M.script(documents.staged(p, "plan"), s, events, heads).select("movie_id", "segment", "text", "word_count", "seconds", "importance", "is_continuation")
@@ -552,17 +651,32 @@ def _preview(spark, sf_dir):
     return text, documents.staged(M.clips(text, s, events, heads), "clips")
 
 
-@query()
+@query(CLIPS + " SELECT * FROM cl")
 def clip_plan(spark, sf_dir):
     return _preview(spark, sf_dir)[1]
 
 
-@query()
+@query(
+    _shown(2)
+    + """, m AS (SELECT movie_id, count(*) FILTER (item_type = 'SOURCE_CLIP') AS clips, coalesce(sum(dur) FILTER (item_type = 'SOURCE_CLIP'), 0)::DOUBLE AS footage, coalesce(sum(dur) FILTER (item_type = 'STILL_FREEZE'), 0)::DOUBLE AS freeze,
+ coalesce(sum(dur) FILTER (item_type = 'BLACK_TRANSITION'), 0)::DOUBLE AS black, sum(dur)::DOUBLE AS total, count(DISTINCT segment) AS segments, count(*) FILTER (item_type <> 'SOURCE_CLIP') AS placeholders,
+ count(*) FILTER (item_type = 'STILL_FREEZE') AS freezes, count(*) FILTER (item_type = 'BLACK_TRANSITION') AS transitions, coalesce(max(dur) FILTER (item_type = 'STILL_FREEZE'), 0)::DOUBLE AS longest_freeze,
+ coalesce(max(dur) FILTER (item_type = 'BLACK_TRANSITION'), 0)::DOUBLE AS longest_transition FROM it GROUP BY movie_id) SELECT *, round(footage / greatest(0.01, total) * 100, 1) AS moving_percent FROM m"""
+)
 def preview_manifest(spark, sf_dir):
-    return M.manifest(M.items(*_preview(spark, sf_dir), freezes=2))
+    m = M.manifest(M.items(*_preview(spark, sf_dir), freezes=2))
+    return m.withColumns({c: F.col(c).cast("double") for c, kind in m.dtypes if kind.startswith("decimal")})
 
 
-@query()
+@query(
+    _shown(0)
+    + f""", sp AS (SELECT movie_id, segment, min(e - dur)::DOUBLE AS s, max(e)::DOUBLE AS e FROM iy GROUP BY ALL),
+ch AS (SELECT movie_id, segment, {_chunks("text", 14)} AS chunks, s, e, greatest(1.0::DOUBLE, e - s) AS length FROM sg JOIN sp USING (movie_id, segment)),
+ct AS (SELECT *, greatest(1, list_sum(list_transform(chunks, lambda v: {_tokens("v")}))) AS total FROM ch),
+cc AS (SELECT movie_id, segment, 1 AS pos, s AS start, CASE WHEN len(chunks) = 1 THEN e ELSE round(s + length * {_tokens("chunks[1]")} / total, 2) END AS stop FROM ct UNION ALL
+ SELECT cc.movie_id, cc.segment, pos + 1, stop, CASE WHEN pos + 1 = len(chunks) THEN e ELSE round(stop + length * {_tokens("chunks[pos + 1]")} / total, 2) END FROM cc JOIN ct ON ct.movie_id = cc.movie_id AND ct.segment = cc.segment WHERE pos < len(chunks))
+SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY segment, pos)::INTEGER AS idx, start AS start_seconds, stop AS end_seconds, {_wrapped("chunks[pos]", 45)} AS text FROM cc JOIN ct USING (movie_id, segment)"""
+)
 def preview_captions(spark, sf_dir):
     text, c = _preview(spark, sf_dir)
     return M.captions(text, M.items(text, c))
@@ -619,10 +733,89 @@ def frame_prompt(spark, sf_dir):
     return t.select("movie_id", "idx", S.prompt(F.col("idx").cast("string"), said, F.col("context")).alias("prompt"))
 
 
-@query()
+@query(
+    _shown(0)
+    + """, h AS (SELECT movie_id, count(*) AS n_events, count(DISTINCT label) AS n_characters, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (label <> 'error') AS named FROM tl GROUP BY movie_id)
+SELECT movie_id, 'SUCCESS' AS status, n_events, n_characters, coalesce(named, '') AS named, 0::BIGINT AS n_merges, NULL::VARCHAR AS error, (SELECT count(*) FROM mx WHERE mx.movie_id = h.movie_id) AS n_scenes, (SELECT count(*) FROM cl WHERE cl.movie_id = h.movie_id) AS n_clips,
+ (SELECT max(e)::DOUBLE FROM iy WHERE iy.movie_id = h.movie_id) AS seconds FROM h"""
+)
 def pipeline_summary(spark, sf_dir):
     events, s, heads, p = _planned(spark, sf_dir)
     text = documents.staged(M.script(documents.staged(p, "plan"), s, events, heads), "script")
     c = documents.staged(M.clips(text, s, events, heads), "clips")
     characters = T.identities(timeline(spark, sf_dir)).select("movie_id", F.when(F.col("label") != "error", F.col("label")).alias("name"))
     return M.summary(heads, characters, s, c, M.items(text, c)).withColumn("named", F.array_join("named", ","))
+
+
+@query(""" , k AS (SELECT l_orderkey, idx, l_linenumber, CASE l_partkey % 6 WHEN 0 THEN 'SubRip' WHEN 1 THEN 'hdmv_pgs_subtitle' WHEN 2 THEN 'ass' WHEN 3 THEN 'dvd_subtitle' WHEN 4 THEN 'mov_text' ELSE 'webvtt' END AS codec,
+ CASE l_suppkey % 5 WHEN 0 THEN 'fra' WHEN 1 THEN 'en-GB' WHEN 2 THEN 'msa' WHEN 4 THEN 'zho' END AS lang, l_returnflag = 'R' AND l_quantity > 40 AS def, l_orderkey % 10 AS d FROM li),
+r AS (SELECT *, CASE WHEN d = 0 THEN CASE WHEN l_linenumber = 2 THEN 1 END WHEN codec IN ('hdmv_pgs_subtitle', 'dvd_subtitle') THEN NULL WHEN d = 1 AND lang = 'fra' THEN 2 WHEN def THEN 3 WHEN lang IN ('en-GB', 'msa', 'zho') THEN 4 ELSE 5 END AS rule FROM k)
+SELECT l_orderkey AS movie_id, rule, l_linenumber AS stream_index, codec AS codec_name, lang AS language FROM r WHERE rule IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY rule, CASE WHEN rule = 4 THEN CASE lang WHEN 'en-GB' THEN 1 WHEN 'msa' THEN 2 ELSE 4 END ELSE 0 END, idx) = 1""")
+def subtitle_track_choice(spark, sf_dir):
+    kind, of = F.col("l_partkey") % 6, F.col("l_suppkey") % 5
+    codec = reduce(lambda c, x: c.when(kind == x[0], x[1]), enumerate(["SubRip", "hdmv_pgs_subtitle", "ass", "dvd_subtitle", "mov_text"]), F.when(F.lit(False), "")).otherwise("webvtt")
+    language = F.when(of == 0, "fra").when(of == 1, "en-GB").when(of == 2, "msa").when(of == 4, "zho")
+    tracks = lines(spark, sf_dir).select(
+        F.col("l_orderkey").alias("movie_id"), F.col("idx").alias("pos"), F.col("l_linenumber").alias("stream_index"), codec.alias("codec_name"), language.alias("language"),
+        ((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40)).alias("is_default"), (F.col("l_orderkey") % 10).alias("d"),
+    )
+    return media.choose_subtitle(tracks, ["movie_id"], F.when(F.col("d") == 0, 2), F.when(F.col("d") == 1, " FRA ")).select("movie_id", "rule", "stream_index", "codec_name", "language")
+
+
+def _evidence_sql() -> str:
+    text = " || ".join(f"regexp_extract_all(text, '{p.replace(chr(39), chr(39) * 2)}', 1)" for p in S.NAME_PATTERNS)
+    bad = ", ".join(f"'{w}'" for w in S.NO_NAMES)
+    name = f"CASE WHEN len(x) > 1 AND x[1] IN ({bad}) THEN array_to_string(x[2:], ' ') ELSE array_to_string(x, ' ') END"
+    each = f"lambda x: CASE WHEN length({name}) >= 3 AND {name} NOT IN ({bad}) THEN CASE WHEN len(x) > 1 AND x[-1] NOT IN ({bad}) THEN [{name}, x[-1]] ELSE [{name}] END ELSE []::VARCHAR[] END"
+    return f""" , n AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text)::INTEGER AS idx, turn, role, coalesce(text, '') AS text FROM conversations),
+ f AS (SELECT *, list_transform({text}, lambda x: regexp_split_to_array(trim(x, ' \t\n\r'), '\\s+')) AS found FROM n),
+ e AS (SELECT conv_id, idx, turn, role, text, [{{'text': '[Speaker Tag: ' || role || '] ' || text, 'name': role, 'c': 0.9::DOUBLE}}] || list_transform(flatten(list_transform(found, {each})), lambda y: {{'text': text, 'name': y, 'c': 0.8::DOUBLE}}) AS x FROM f),
+ u AS (SELECT conv_id, idx, turn, role, unnest(range(len(x))) AS place, x FROM e), v AS (SELECT conv_id, idx, turn, role, place, x[place + 1].text AS text, x[place + 1].name AS candidate, x[place + 1].c AS confidence FROM u)
+SELECT conv_id AS movie_id, idx, role AS label, place::INTEGER AS place, turn::DOUBLE AS sec, text, candidate, confidence FROM v QUALIFY row_number() OVER (PARTITION BY conv_id, role, text, candidate ORDER BY idx, place) = 1"""
+
+
+@query(_evidence_sql())
+def name_evidence(spark, sf_dir):
+    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    line = F.array(F.struct(F.col("turn").cast("double").alias("start_seconds"), F.coalesce("text", F.lit("")).alias("text"), F.col("role").alias("speaker")))
+    events = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("movie_id"), n.alias("idx"), F.col("turn").cast("double").alias("sec"), F.array("role").alias("labels"), line.alias("dialogue"))
+    return D.name_evidence(events).select("movie_id", "idx", "label", F.col("at").alias("place"), "sec", "text", "candidate", "confidence")
+
+
+@query(""" , k AS (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events), l AS (SELECT event_id, CASE WHEN k % 3 > 0 THEN [event_type] ELSE list_transform(range(0, k % 4), lambda i: 'PERSON_' || chr((65 + i)::INTEGER)) END AS l FROM k)
+SELECT event_id, array_to_string(l, ',') AS labels FROM l WHERE len(l) > 0""")
+def labels_of_people(spark, sf_dir):
+    k = documents.field(F.col("props"), "$.k", "int", 0)
+    e = table(spark, sf_dir, "events").select("event_id", (k % 4).alias("people_count"), F.when(k % 3 > 0, F.array("event_type")).alias("labels"))
+    return D.seen(e).select("event_id", F.array_join("labels", ",").alias("labels"))
+
+
+@query(""" , m AS (SELECT event_id, ts, epoch_us(ts) AS us FROM events)
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN us % 1000000 <> 0 THEN printf('.%06d', us % 1000000) ELSE '' END || '+00:00' AS iso, us AS back FROM m""")
+def iso_times(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", S.iso_time(F.col("ts").cast("timestamp")).alias("iso"))
+    return e.withColumn("back", F.unix_micros(S.parse_iso(F.col("iso"))))
+
+
+@query(" SELECT doc_id, sha256(text) AS sha256 FROM documents")
+def content_digests(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", S.digest(F.col("text")).alias("sha256"))
+
+
+@query(SCRIPT + """ SELECT sw.movie_id, CASE WHEN any_value(n) >= 58 THEN 'COMPLETE' ELSE 'PARTIAL' END AS status, any_value(target) AS target_seconds, sum(round(word_count / 150.0::DOUBLE * 60.0::DOUBLE, 1)::DECIMAL(18, 1))::DOUBLE AS estimated_seconds,
+ sum(word_count)::BIGINT AS total_words, count(*) AS segments, string_agg(text, chr(10) || chr(10) ORDER BY segment) AS full_script FROM sw JOIN hn USING (movie_id) JOIN hd USING (movie_id) GROUP BY sw.movie_id""")
+def script_totals(spark, sf_dir):
+    events, s, heads, p = _planned(spark, sf_dir)
+    return M.script_totals(M.script(documents.staged(p, "plan"), s, events, heads), heads).drop("warnings", "words_per_minute")
+
+
+@query(CLIPS + """, g AS (SELECT *, start - lag(stop) OVER w AS gap, lag(start) OVER w - start AS back, NOT pushed AND NOT coalesce(lag(pushed) OVER w, false) AS free FROM cl WINDOW w AS (PARTITION BY movie_id ORDER BY ord)),
+v AS (SELECT movie_id, count(*) AS n, sum(duration::DECIMAL(18, 2))::DOUBLE AS s, sum((duration <= 0)::INT + (duration > 3.01)::INT + (stop <= start)::INT + (abs(duration - round(stop - start, 2)) > 0.15)::INT + (stop > 2592001)::INT + coalesce((gap < 0)::INT, 0) + coalesce((gap >= 0 AND gap < 0.5 AND free)::INT, 0))::BIGINT AS errors,
+ sum(coalesce((gap >= 0.5 AND gap < 5 AND free)::INT, 0) + coalesce((back > 5)::INT, 0))::BIGINT AS warnings FROM g GROUP BY movie_id)
+SELECT h.movie_id, coalesce(x.n, 0) AS total_clips, coalesce(s, 0.0) AS total_seconds, coalesce(errors, 0) AS errors, coalesce(warnings, 0) AS warnings, coalesce(errors, 0) = 0 AS valid FROM hn h LEFT JOIN v x ON x.movie_id = h.movie_id""")
+def clip_totals(spark, sf_dir):
+    events, s, heads, p = _planned(spark, sf_dir)
+    c = documents.staged(M.clips(documents.staged(M.script(documents.staged(p, "plan"), s, events, heads), "script"), s, events, heads), "clips")
+    totals = M.clip_totals(c, heads)
+    return totals.select("movie_id", "total_clips", "total_seconds").join(T.validate_plans(totals, T.validate_clips(M.to_validate(c, heads))), "movie_id")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .documents import document_error
 
 PROBE = (
     "struct<format:struct<format_name:string,duration:string,tags:map<string,string>>,streams:array<struct<index:int,codec_type:string,codec_name:string,"
@@ -49,11 +50,45 @@ def shape_metadata(probes: DataFrame, keep: list[str] = ("movie_id",), probe: st
     )
 
 
+#: Codecs of subtitles that are texts, and the languages preferred, in order.
+TEXT_CODECS = ["subrip", "srt", "webvtt", "vtt", "ass", "ssa", "mov_text", "text"]
+PREFERRED = ["eng", "en", "msa", "ms", "zho", "zh"]
+
+
+def check_probes(probes: DataFrame, probe: str = "probe") -> tuple[DataFrame, DataFrame]:
+    """Probes that can be shaped, and the others with ``error``: empty, malformed, no object, or no format."""
+    why = F.coalesce(document_error(F.col(probe)), F.when(F.get_json_object(probe, "$.format").isNull(), "no format"))
+    marked = probes.withColumn("error", why)
+    return marked.where("error IS NULL").drop("error"), marked.where("error IS NOT NULL")
+
+
+def choose_subtitle(tracks: DataFrame, keys: list[str], index: Column | None = None, language: Column | None = None, preferred: list[str] = PREFERRED, codecs: list[str] = TEXT_CODECS) -> DataFrame:
+    """Of each movie the subtitle track to take, with ``rule``; a movie without a fitting one has no row.
+
+    tracks: keys, pos (the order in the movie), stream_index, codec_name, language, is_default. Rules: 1 the stream ``index`` asked for, of whatever codec, or none at all;
+    then of the text codecs only 2 the first of the ``language`` asked for, or one that begins with it; 3 the first default track; 4 the first of the
+    first preferred language that there is; 5 the first. What is asked for is a column, null or blank where nothing is. Nulls of a track meet no rule.
+    """
+    asked = F.lit(None).cast("int") if index is None else index
+    wish = F.nullif(F.lower(F.trim(F.lit(None).cast("string") if language is None else language)), F.lit(""))
+    own = F.lower(F.coalesce("language", F.lit("")))
+    text = F.coalesce(F.lower("codec_name").isin(codecs), F.lit(False))
+    first = F.lit(None).cast("int")
+    for place, p in reversed(list(enumerate(preferred))):
+        first = F.when(own.startswith(p), place).otherwise(first)
+    by_text = F.when(F.coalesce(own.startswith(wish), F.lit(False)), 2).when(F.coalesce("is_default", F.lit(False)), 3).when(first.isNotNull(), 4).otherwise(5)
+    rule = F.when(asked.isNotNull(), F.when(F.col("stream_index") == asked, 1)).when(text, by_text)
+    ranked = tracks.withColumns({"rule": rule, "_f": F.when(rule == 4, first).otherwise(0)}).where("rule IS NOT NULL")
+    best = ranked.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in ranked.columns if c not in (*keys, "_f")]), F.struct("rule", "_f", "pos")).alias("b"))
+    return best.select(*keys, "b.*")
+
+
 def discover_subtitles(movies: DataFrame, files: DataFrame, shared: str) -> DataFrame:
     """Subtitles of each movie, best first: movie_id, path, place from 1.
 
     movies: movie_id, path. files: path. Beside the movie count its stem and its stem with a language; in
-    the folder ``shared`` all that begins with the stem or the id. Extensions go in the order of EXTENSIONS.
+    the folder ``shared`` all that begins with the stem or the id. Extensions go in the order of EXTENSIONS. Repeated
+    files count once; a movie without a path has those of its id; null paths of files are none.
     """
     split = lambda df: df.withColumns({"folder": F.regexp_extract("path", r"^(.*)/[^/]*$", 1), "file": F.regexp_extract("path", r"([^/]+)$", 1)})
     m = split(movies).select("movie_id", "folder", F.regexp_replace("file", r"(?<=.)\.[^.]*$", "").alias("stem"))

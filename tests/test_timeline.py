@@ -13,10 +13,10 @@ from tempograph.functions import scalars as S
 from tempograph.operators import identity as D
 from tempograph.operators import intervals as I
 from tempograph.operators import timeline as T
+from tempograph.operators.packing import pack_clips
 from tempograph.plans import catalogue
 from tempograph.sources import documents, media, subtitles
 from tempograph.streaming.incremental import process_new
-from tempograph.streaming.tracking import track
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,7 +71,7 @@ def test_grid_and_cues(spark):
 
 def test_packing_and_validation(spark):
     events = spark.createDataFrame([(1, k, 3.0 * k, 600.0) for k in range(4)], "movie_id long, ord int, t double, movie_end double")
-    assert [r["start"] for r in T.pack_clips(events).orderBy("ord").collect()] == [0, 5, 10, 15]
+    assert [r["start"] for r in pack_clips(events).orderBy("ord").collect()] == [0, 5, 10, 15]
     kinds = "movie_id long, idx int, clip_id string, start double, stop double, duration double, event int, scene string, reason string, movie_end double, pushed boolean"
     clip = spark.createDataFrame([(1, 1, "a", -1.0, 9.0, 10.0, 1, "s", "r", 600.0, None)], kinds)
     assert T.validate_clips(clip).first()["errors"] == ["too_long", "negative_start"]
@@ -130,7 +130,7 @@ def test_media(spark):
     assert [r["path"] for r in found.orderBy("place").collect()] == ["/m/One.A.srt", "/m/One.A.en.srt", "/m/One.A.vtt", "/s/One.A2.ssa", "/s/one-x.ass"]
 
 
-def test_merges_and_provider(spark):
+def test_merges(spark):
     c = spark.createDataFrame([(1, x, float(k), k + 5.0) for k, x in enumerate("abc")] + [(2, "a", 0.0, 1.0)], "movie_id long, character_id string, first_seen double, last_seen double")
     m = spark.createDataFrame([(1, 1, "a", "b"), (1, 2, "b", "c"), (1, 3, "c", "a"), (1, 4, "c", "c")], "movie_id long, idx int, primary string, merged string")
     got = sorted(tuple(r) for r in D.merge_identities(c, m).select("movie_id", "character_id", "first_seen", "last_seen").collect())
@@ -138,24 +138,6 @@ def test_merges_and_provider(spark):
     e = spark.createDataFrame([(1, "a", "Ann", 0.5, 1), (1, "c", "Ann", 0.5, 2), (1, "b", "Bob", 0.9, 3)], "movie_id long, character_id string, candidate string, confidence double, idx int")
     assert [(r["character_id"], r["name"], r["name_confidence"]) for r in D.vote_again(e, D.resolve_merges(c, m)).collect()] == [("c", "Ann", "high")]
 
-    def provider(pdf, calls=[]):  # noqa: B006
-        calls.append(1)
-        if len(calls) == 1:
-            raise OSError
-        return pdf
-
-    assert D.describe(spark.range(3, numPartitions=1), provider, "id long", wait=0.01).count() == 3
-
-
-def test_tracking(spark, tmp_path):
-    src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
-    for part in ([(1, 2, "b"), (1, 1, "a"), (2, 1, "z")], [(1, 3, "c"), (1, 4, "a"), (1, 5, None)]):
-        df = spark.createDataFrame(part, "movie_id long, idx long, label string")
-        df.write.mode("append").parquet(src)
-        process_new(spark, src, df.schema, track, out, mark)
-    got = sorted((r["movie_id"], r["idx"], r["character_id"]) for r in spark.read.parquet(out).collect())
-    assert got == [(1, 1, "CHARACTER_001"), (1, 2, "CHARACTER_002"), (1, 3, "CHARACTER_003"), (1, 4, "CHARACTER_001"), (2, 1, "CHARACTER_001")]
-
 
 def rows(frame):
     clean = lambda x: None if pd.api.types.is_scalar(x) and pd.isna(x) else round(float(x), 6) if isinstance(x, (int, float)) or hasattr(x, "dtype") else str(x)
