@@ -13,7 +13,7 @@ count the intersections; each pair of tiles is a row of its own, dealt by (bucke
 component no pair is needed, so that large groups of near copies cost a star and not a square, and what is
 emitted are links, not pairs.
 
-Buckets of more than a tile that still hold several components are crowds: texts of one template, say, that
+Buckets of more than ``CROWD`` tiles that still hold several components are crowds: texts of one template, say, that
 are almost similar enough. Their members leave the buckets for smaller ones, one for each of their rarest
 shingles. In one common order of shingles, rare ones first, two sets of the wanted similarity share one that
 is among the first n - ceil(2 p n / (100 + p)) + 1 of the smaller set (its index) and among the first
@@ -40,6 +40,8 @@ BANDS, ROWS = 48, 6
 SALTS = 64
 #: Members and shingles of a tile, about; columns of a matrix.
 TILE, TILE_SHINGLES, COLUMNS = 256, 1 << 17, 4096
+#: Tiles of an open bucket up to which its members meet tile by tile, so that each meets a bounded number of others.
+CROWD = 8
 #: Places by which shingles of crowds are counted to be put in order; any order is right, rare ones first is fast.
 ORDER_BITS = 20
 M1, M2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -274,7 +276,7 @@ def _still_open(members: DataFrame, stars: DataFrame) -> DataFrame:
     place = F.xxhash64("id")
     tile = F.when(F.col("index"), F.pmod(place, F.col("indexes"))).otherwise(F.col("indexes") + F.pmod(place, F.col("others")))
     tiles = F.col("indexes") + F.col("others")
-    return stored(owned.where("id <> centre").join(open_keys, ["key", "salt"]).select("key", "id", "root", (F.col("root") != F.col("main")).alias("outside"), tile.alias("tile"), "indexes", tiles.alias("tiles"), (tiles > 1).alias("crowd")), "mixed")
+    return stored(owned.where("id <> centre").join(open_keys, ["key", "salt"]).select("key", "id", "root", (F.col("root") != F.col("main")).alias("outside"), tile.alias("tile"), "indexes", tiles.alias("tiles"), (tiles > CROWD).alias("crowd")), "mixed")
 
 
 def _tiled(mixed: DataFrame, stars: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:

@@ -29,6 +29,7 @@ def brute(texts, width, percent):
 def test_template_with_few_words_of_its_own(spark, monkeypatch, seed):
     """Texts of one template, with own words at its end, or words of a few groups, of different lengths; some are near copies of others."""
     monkeypatch.setattr(near_dedup, "TILE", 8)
+    monkeypatch.setattr(near_dedup, "CROWD", 1)
     rng = random.Random(seed)
     base = [f"t{k}" for k in range(100)]
     texts = []
