@@ -53,7 +53,7 @@ def refresh(inputs: dict[str, DataFrame], make: Callable[[dict[str, DataFrame]],
         mine = {name: df.where(F.col(key).isNotNull()).join(changed.select(F.col(key).alias("_key")), F.col(key).cast("string") == F.col("_key"), "left_semi") for name, df in inputs.items()}
         for name, df in make(mine).items():
             own = staged(df.withColumn(key, F.col(key).cast("string")), f"new-{name}")
-            own.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{target}/{name}")
+            own.hint("rebalance", F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{target}/{name}")
             _drop(spark, f"{target}/{name}", key, changed.join(own.select(key).distinct(), key, "left_anti"))
             _drop(spark, f"{target}/{name}", key, gone)
     elif not gone.isEmpty():

@@ -35,7 +35,7 @@ def upsert_new(stream: DataFrame, target: str, checkpoint: str, save: Callable[[
 def current(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
     """Of each key the row of the last batch that has it, of several rows there the largest; without the batch's number.
 
-    A null key is a key. The aggregation combines within tasks first, so that a key's earlier versions aren't shuffled.
+    A null key is a key; maps, which have no order, aren't among the columns. The aggregation combines within tasks first, so that a key's earlier versions aren't shuffled.
     """
     rows = spark.read.parquet(target)
     columns = [c for c in rows.columns if c != "batch"]

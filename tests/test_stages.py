@@ -128,3 +128,12 @@ def test_command_line(spark, tmp_path, capsys, kind):
     read = lambda name: getattr(spark.read, kind)(str(target / name))
     assert read("summary").select("status", "n_events", "n_scenes").first() == ("SUCCESS", 8, 2)
     assert read("leads").first()["who"] == "Ann" and read("validation").where("not valid").count() == 0
+
+
+def test_rules_of_a_film(movie):
+    """Prose by words of scenes and events, decisions and arcs, all given by the caller."""
+    prose = [("nothing", ("they run",), "Somebody runs."), *M.PROSE]
+    assert [x[1] for x in got(M.script(movie["plan"], movie["scenes"], movie["events"], movie["heads"], prose), "segment", "text")][1] == "Somebody runs."
+    decisions, kinds = [(("party",), "Went out"), (("attack",), "Fought")], [(("attack",), "a conflict", "an aim", "a change", "an end")]
+    a = got(M.arcs(movie["events"], movie["characters"], movie["appearances"], decisions, kinds), "character_id", "major_decisions", "conflict")
+    assert a == [("CHARACTER_001", ["Went out"], M.NO_ARC[0]), ("CHARACTER_002", ["Fought"], "a conflict")]
