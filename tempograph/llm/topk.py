@@ -183,7 +183,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
         .select("dim", "ids", "m", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int").alias("g"))
         .withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     )
-    lists = in_frames(c.join(q, ["dim", "g", "h"]).select("dim", "g", "q_ids", "q_m", "ids", "m"), _products(k), LISTS, 1)
+    # Spark's estimate of the query tiles leaves out their copies for each shard, so it would broadcast them all through the driver.
+    lists = in_frames(c.join(q.hint("merge"), ["dim", "g", "h"]).select("dim", "g", "q_ids", "q_m", "ids", "m"), _products(k), LISTS, 1)
     best = lambda col: F.slice(F.sort_array(F.flatten(F.collect_list(col)), asc=False), 1, k).alias("top")
     merged = lists.groupBy("query_id", "shard").agg(best("top")).groupBy("query_id").agg(best("top"))
     return merged.select("query_id", F.posexplode("top").alias("pos", "hit")).select(
