@@ -35,3 +35,12 @@ def test_one_decimal_is_exact(spark):
     seconds = [0.25, 0.75, 0.05, 0.15, 0.35, 12.25, 1234567.65, 1234567.85, 86399.95, 0.0, -0.25, -0.75, 7.999999, 0.04999999999999999, 2591999.949999, 1e13 + 0.25, 1e15]
     df = spark.createDataFrame([(x,) for x in seconds], "x double").withColumn("y", F.format_string("%.1f", S.one_decimal(F.col("x"))))
     assert [(r.x, r.y) for r in df.collect()] == [(x, f"{x:.1f}") for x in seconds]
+
+
+def test_leads_and_shares_round_as_sql(spark):
+    """Movies of many shapes, so that some scores and shares lie on the border of two roundings."""
+    shapes = spark.createDataFrame([(m, m % 37 + 3, m % 97 + 1) for m in range(20000)], "movie_id int, n int, events int")
+    leads = T.ranked_leads(shapes.select("movie_id", F.lit("x").alias("who"), "n", (F.col("n") + F.col("events")).alias("events"), (F.col("movie_id") % 1000).cast("double").alias("span"), F.lit(1000.0).alias("duration"), (F.col("movie_id") % 20 / 2.0).alias("mean_sig")), "who", "movie_id")
+    p = leads.select("movie_id", "n", "events", "screen_ratio", "mean_sig", "score").toPandas()
+    wrong = duckdb.sql("SELECT count(*) FROM p WHERE score <> round(least(1.0::DOUBLE, 0.40::DOUBLE * n / events + 0.30::DOUBLE * screen_ratio + 0.20::DOUBLE * (mean_sig / 10.0::DOUBLE) + 0.10::DOUBLE), 3)")
+    assert wrong.fetchall()[0][0] == 0
