@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import rounded
+
 
 def interval_join(left: DataFrame, right: DataFrame, bucket: float, how: str = "inner", by: list[str] = ()) -> DataFrame:
     """Rows whose closed intervals [ls, le] and [rs, re] overlap, by an equi-join on time buckets.
@@ -36,4 +38,4 @@ def match_cues(frames: DataFrame, cues: DataFrame, window: float, bucket: float
 def time_grid(spans: DataFrame, interval: float) -> DataFrame:
     """Points 0, i, 2i ... up to the duration of each row, clamped, 3 decimals; a non-positive or null duration gives 0 alone. Repeated rows have a grid each."""
     last = F.when(F.col("duration") > 0, F.floor((F.col("duration") + 1e-4) / interval + 1e-9)).otherwise(0)
-    return spans.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("t", F.round(F.greatest(F.lit(0.0), F.least(F.col("k") * interval, F.col("duration"))), 3))
+    return spans.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("t", rounded(F.greatest(F.lit(0.0), F.least(F.col("k") * interval, F.col("duration"))), 3))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import rounded
 from ..sources.documents import staged
 
 SECOND = 1_000_000_000
@@ -70,7 +71,7 @@ def pack_clips(events: DataFrame, length: float = 3.0, block: int = BLOCK) -> Da
     e = e.repartitionByRange("movie_id", "ord", "at").withColumn("part", F.spark_partition_id())
     own = Window.partitionBy("movie_id", "part").orderBy("ord", "at")
     e = e.withColumn("chunk", F.floor((F.row_number().over(own) - 1) / block))
-    hundredth = lambda x: F.round(x / SECOND, 2)
+    hundredth = lambda x: rounded(x / SECOND, 2)
     each = F.transform("e", lambda x: _map(x["s"] - SECOND, x["e"], nano(hundredth(x["e"] - x["s"])) + 2 * SECOND, x["end"]))
     blocks = e.groupBy("movie_id", "part", "chunk").agg(F.array_sort(F.collect_list(F.struct("ord", "at", "s", "e", "end"))).alias("e"))
     blocks = staged(blocks.withColumn("map", _composed(each)), "clip-blocks")

@@ -44,3 +44,13 @@ def test_leads_and_shares_round_as_sql(spark):
     p = leads.select("movie_id", "n", "events", "screen_ratio", "mean_sig", "score").toPandas()
     wrong = duckdb.sql("SELECT count(*) FROM p WHERE score <> round(least(1.0::DOUBLE, 0.40::DOUBLE * n / events + 0.30::DOUBLE * screen_ratio + 0.20::DOUBLE * (mean_sig / 10.0::DOUBLE) + 0.10::DOUBLE), 3)")
     assert wrong.fetchall()[0][0] == 0
+
+
+def test_shares_round_as_sql(spark):
+    """Movies of eight equal segments, whose shares of targets of one decimal lie on borders."""
+    weights = spark.range(16000).select(F.floor(F.col("id") / 8).alias("movie_id"), F.lit(3).cast("decimal(18,2)").alias("w"), (F.floor(F.col("id") / 8) / 10 + 45).alias("target"))
+    q = T.allocate(weights, "w", "target").toPandas()
+    q["w"] = q["w"].astype(float)
+    sql = "SELECT *, round(greatest(10.0::DOUBLE, w / sum(w) OVER (PARTITION BY movie_id) * target), 1)::DECIMAL(18,1) AS share FROM q"
+    wrong = duckdb.sql(f"SELECT count(*) FROM (SELECT *, round(share::DOUBLE * target / sum(share) OVER (PARTITION BY movie_id)::DOUBLE, 1) AS want FROM ({sql})) WHERE seconds <> want")
+    assert wrong.fetchall()[0][0] == 0
