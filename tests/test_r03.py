@@ -47,10 +47,10 @@ def test_leads_and_shares_round_as_sql(spark):
 
 
 def test_shares_round_as_sql(spark):
-    """Movies of eight equal segments, whose shares of targets of one decimal lie on borders."""
-    weights = spark.range(16000).select(F.floor(F.col("id") / 8).alias("movie_id"), F.lit(3).cast("decimal(18,2)").alias("w"), (F.floor(F.col("id") / 8) / 10 + 45).alias("target"))
-    q = T.allocate(weights, "w", "target").toPandas()
-    q["w"] = q["w"].astype(float)
-    sql = "SELECT *, round(greatest(10.0::DOUBLE, w / sum(w) OVER (PARTITION BY movie_id) * target), 1)::DECIMAL(18,1) AS share FROM q"
-    wrong = duckdb.sql(f"SELECT count(*) FROM (SELECT *, round(share::DOUBLE * target / sum(share) OVER (PARTITION BY movie_id)::DOUBLE, 1) AS want FROM ({sql})) WHERE seconds <> want")
-    assert wrong.fetchall()[0][0] == 0
+    """Equal segments whose seconds lie an ulp below a border, which the product with ten lies on."""
+    movies = [(1, 6, 753.9), (2, 12, 623.4), (3, 6, 84.9)]
+    rows = [(m, float(target)) for m, n, target in movies for _ in range(n)]
+    weights = spark.createDataFrame(rows, "movie_id int, target double").withColumn("w", F.lit(4).cast("decimal(18,2)"))
+    got = {r.movie_id: r.seconds for r in T.allocate(weights, "w", "target").collect()}
+    sql = "SELECT round(round({t}::DOUBLE / {n}, 1) * {t}::DOUBLE / (round({t}::DOUBLE / {n}, 1)::DECIMAL(18,1) * {n})::DOUBLE, 1)"
+    assert got == {m: duckdb.sql(sql.format(t=target, n=n)).fetchall()[0][0] for m, n, target in movies}
