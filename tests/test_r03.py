@@ -54,3 +54,26 @@ def test_shares_round_as_sql(spark):
     got = {r.movie_id: r.seconds for r in T.allocate(weights, "w", "target").collect()}
     sql = "SELECT round(round({t}::DOUBLE / {n}, 1) * {t}::DOUBLE / (round({t}::DOUBLE / {n}, 1)::DECIMAL(18,1) * {n})::DOUBLE, 1)"
     assert got == {m: duckdb.sql(sql.format(t=target, n=n)).fetchall()[0][0] for m, n, target in movies}
+
+
+def test_overlap_join_moves_items_not_pairs(spark):
+    """Pairs aren't shuffled, and null keys, repeated rows, null items and several columns are as a join's."""
+    items = spark.range(4000).select((F.col("id") % 100).alias("o"), (F.xxhash64("id") % 40).alias("p"), F.when(F.col("id") % 9 > 0, F.col("id") % 50).alias("s"), (F.col("id") % 3).alias("t"))
+    items = items.unionByName(spark.createDataFrame([(None, 1, 7, 0), (5, None, 8, 0)], "o long, p long, s long, t long"))
+    for own in (["s"], ["s", "t"]):
+        found = T.overlap_join(items.select("o", "p"), items.select(*own, "p"), "p")
+        assert "Exchange hashpartitioning(o#" not in final_plan(found)
+        want = items.select("o", "p").distinct().join(items.select(*own, "p").distinct(), "p").select("o", *own).distinct()
+        assert found.columns == want.columns and found.count() == want.count() and not found.exceptAll(want).count()
+
+
+def test_edges_expand_by_rows(spark, monkeypatch):
+    """An event's pairs come from its members, in as many tasks as the rows ask for, without a join of the rows with themselves."""
+    monkeypatch.setattr(T, "PAIRED", 500)
+    rows = spark.range(5000).select((F.col("id") % 700).alias("e"), (F.xxhash64("id") % 90).alias("w"), (F.col("id") % 2).alias("m"))
+    found = T.edges(rows, "e", "w", ("m",))
+    plan = final_plan(found)
+    assert "Join" not in plan and "hashpartitioning(m#" in plan and ", 10), REPARTITION_BY_NUM" in plan
+    a, b = rows.select("m", "e", F.col("w").alias("source")).distinct(), rows.select("m", "e", F.col("w").alias("target")).distinct()
+    want = a.join(b, ["m", "e"]).where("source <> target").groupBy("m", "source", "target").agg(F.min("e").alias("first_event"))
+    assert found.columns == want.columns and found.count() == want.count() and not found.exceptAll(want).count()
