@@ -7,6 +7,7 @@ import __spark_entry__  # noqa: F401  (the root of the repository is importable)
 from tempograph.functions import scalars as S
 from tempograph.llm.topk import top_k
 from tempograph.operators import timeline as T
+from tempograph.plans import stages as M
 
 
 def final_plan(df):
@@ -77,3 +78,13 @@ def test_edges_expand_by_rows(spark, monkeypatch):
     a, b = rows.select("m", "e", F.col("w").alias("source")).distinct(), rows.select("m", "e", F.col("w").alias("target")).distinct()
     want = a.join(b, ["m", "e"]).where("source <> target").groupBy("m", "source", "target").agg(F.min("e").alias("first_event"))
     assert found.columns == want.columns and found.count() == want.count() and not found.exceptAll(want).count()
+
+
+def test_scenes_are_worked_out_once(spark):
+    """The place of a scene comes with its other columns: the most frequent, of equal ones the first; empty ones don't count."""
+    places = ["b", "a", "a", "b", "", "", "", "", "c", "", "c", "d"]
+    rows = [(1, n + 1, float(n + (1000 if n > 5 else 0)), x, "", ["p"], "", [], 5, "low", ["p"], n + 1) for n, x in enumerate(places)]
+    names = "movie_id int, event int, sec double, location string, action string, labels array<string>, summary string, dialogue array<string>, sig int, uncertainty string, cast array<string>, idx int"
+    found = M.scenes(spark.createDataFrame(rows, names))
+    assert "Join" not in final_plan(found)
+    assert {r.scene: r.location for r in found.collect()} == {1: "b", 2: "c"}
